@@ -7,10 +7,10 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.summary import rate_by
-from . import cleaning
+from . import cleaning, features, summaries
 from .base import Registry, clean, r6
 
-MODULES = (cleaning,)
+MODULES = (cleaning, features, summaries)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
