@@ -57,22 +57,22 @@ def stratified_split(
     return joined.withColumn(out, F.when(first, names[0]).otherwise(names[1])).drop("_stratum", "_h", "_s", "_limit")
 
 
-def quantile_groups(df: DataFrame, column: str, edges: int = 5) -> Column:
-    """Group number by evenly spaced quantiles of the column, right-closed."""
+def with_quantile_group(df: DataFrame, column: str, edges: int = 5, out: str = "group") -> DataFrame:
+    """Group number by evenly spaced quantiles of the column, right-closed; equal edges merge."""
     probs = [i / (edges - 1) for i in range(edges)]
     marks = ranking.scalar_quantiles(df, {f"q{i}": (F.col(column), p) for i, p in enumerate(probs)})
-    above = [F.when(F.col(column) > marks.getField(f"q{i}"), 1).otherwise(0) for i in range(edges - 1)]
-    total = above[0]
-    for a in above[1:]:
-        total = total + a
-    return F.greatest(total, F.lit(1)) if edges > 1 else total
+    above = F.lit(0)
+    for i in range(edges - 1):
+        above = above + (F.col(column) > F.col(f"_marks.q{i}")).cast("int")
+    return df.withColumn("_marks", marks).withColumn(out, F.greatest(above, F.lit(1))).drop("_marks")
 
 
 def quantile_stratified_split(
     df: DataFrame, key: str, column: str, fraction: float, edges: int = 5, seed: int = 0, out: str = "dataset", names=("train", "test")
 ) -> DataFrame:
     """Split that keeps the distribution of a numeric column: strata are its quantile groups."""
-    return stratified_split(df, key, quantile_groups(df, column, edges), fraction, seed, out, names, "ceil")
+    grouped = with_quantile_group(df, column, edges, "_group")
+    return stratified_split(grouped, key, F.col("_group"), fraction, seed, out, names, "ceil").drop("_group")
 
 
 def apply_partition(df: DataFrame, train_keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
