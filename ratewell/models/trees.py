@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -74,6 +75,14 @@ def unpack_bins(column: pd.Series, p: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype="uint8").reshape(len(column), p)
 
 
+def read_batch(batch: pa.RecordBatch, p: int) -> tuple[pd.DataFrame, np.ndarray]:
+    """The batch's number columns and its bin matrix, taken from the buffer without a copy."""
+    column = batch.column("bins")
+    offsets = np.frombuffer(column.buffers()[1], dtype="int32")[column.offset :]
+    bins = np.frombuffer(column.buffers()[2], dtype="uint8", count=len(column) * p, offset=int(offsets[0]))
+    return batch.drop_columns(["bins"]).to_pandas(), bins.reshape(len(column), p)
+
+
 # --- trees
 
 
@@ -145,8 +154,10 @@ def level_sums(data: DataFrame, trees: Sequence[Tree], active: Sequence[tuple[in
 
     def partial(batches):
         total = np.zeros((n_stats, cells))
-        for pdf in batches:
-            bins = unpack_bins(pdf["bins"], p)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pdf, bins = read_batch(batch, p)
             for t in used:
                 use, stats = row_stats(pdf, bins, t)
                 slot = slots[t][route(frozen[t], bins)]
@@ -157,13 +168,16 @@ def level_sums(data: DataFrame, trees: Sequence[Tree], active: Sequence[tuple[in
                 for k in range(n_stats):
                     total[k] += np.bincount(index, weights=np.repeat(stats[pick, k], p), minlength=cells)
         seen = np.flatnonzero(total[0])
-        yield pd.DataFrame({"cell": seen, **{f"s{k}": total[k, seen] for k in range(n_stats)}})
+        yield pa.RecordBatch.from_pydict({"cell": seen, **{f"s{k}": total[k, seen] for k in range(n_stats)}})
 
     names = [f"s{k}" for k in range(n_stats)]
-    parts = data.mapInPandas(partial, "cell bigint, " + ", ".join(f"{n} double" for n in names))
-    summed = parts.groupBy("cell").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    parts = data.mapInArrow(partial, "cell bigint, " + ", ".join(f"{n} double" for n in names))
+    # At most ``cells`` rows, which MAX_CELLS bounds.
+    summed = parts.groupBy("cell").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     out = np.zeros((cells, n_stats))
-    out[summed["cell"].to_numpy()] = summed[names].to_numpy()
+    place = summed.column("cell").to_numpy()
+    for k, n in enumerate(names):
+        out[place, k] = summed.column(n).to_numpy()
     return out.reshape(len(active), p, n_bins, n_stats)
 
 
