@@ -289,6 +289,6 @@ def expand_vector(df: DataFrame, names: Sequence[str], vector: str = "features")
 
 
 def with_params(spec: BoosterSpec, **params) -> BoosterSpec:
-    """Spec with searched values; whole-number parameters are rounded down."""
+    """Spec with other values; whole-number parameters are rounded down."""
     whole = {k: int(v) for k, v in params.items() if k in ("max_depth", "n_estimators", "min_child_weight")}
     return replace(spec, **{**params, **whole})

@@ -19,13 +19,6 @@ BUCKETS = 1024
 _STEPS = [2**i for i in range(10, -1, -1)]
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def _edges_at_most(value: Column, edges: Column) -> Column:
     """How many edges are not above the value, by bisection over the array."""
     return F.aggregate(
@@ -88,6 +81,14 @@ def cumulative_counts(
     return joined.select(*out)
 
 
+def row_numbers(df: DataFrame, value: str, tie: str, out: str = "number") -> DataFrame:
+    """Number of every row in the order of a numeric column, then of ``tie``; from 1, without gaps."""
+    starts = cumulative_counts(df, value).select(F.col(value).alias("_v"), (F.col("n_to") - F.col("n")).alias("_start"))
+    joined = df.join(starts, df[value] == starts["_v"])
+    place = F.row_number().over(W.partitionBy("_v").orderBy(tie))
+    return joined.withColumn(out, (F.col("_start") + place).cast("bigint")).drop("_v", "_start")
+
+
 def quantile_name(p: float) -> str:
     return f"p{p * 100:g}".replace(".", "_")
 
