@@ -7,10 +7,10 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.summary import rate_by
-from . import cleaning, encoding, evaluation, features, splitting, summaries, tables
+from . import cleaning, encoding, evaluation, features, modelling, serving, splitting, streams, summaries, tables
 from .base import Registry, clean, r6
 
-MODULES = (cleaning, features, summaries, tables, encoding, splitting, evaluation)
+MODULES = (tables, cleaning, features, encoding, splitting, summaries, evaluation, modelling, serving, streams)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
