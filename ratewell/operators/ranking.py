@@ -54,27 +54,27 @@ def cumulative_counts(
             *[F.sum(s).alias(f"all_{s}") for s in sums],
         ).alias("s")
     ).scalar()
-    cut = counts.withColumn("_s", sketch).withColumn("_bucket", _edges_at_most(F.col(value), F.col("_s.edges")))
-    cut = cut.where(F.col("_s.all_n") > 0).drop("_s")
-
-    totals = cut.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    in_order = W.partitionBy(*by).orderBy("_bucket")
-    whole = W.partitionBy(*by)
+    # The totals are read too, so that the sketch is made of the very shuffle the counts come from.
+    cut = counts.withColumn("_s", sketch)
+    bucket = F.when(F.col("_s.all_n") > 0, _edges_at_most(F.col(value), F.col("_s.edges"))).otherwise(F.lit(0))
+    for s in sums[1:]:
+        bucket = F.when(F.col(f"_s.all_{s}").isNotNull(), bucket).otherwise(F.lit(0))
+    # One key for all group columns: equal for nulls too, and the same for window and join.
+    group = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
+    cut = cut.select(*by, value, *sums, group.alias("_group"), bucket.alias("_bucket"))
+
+    totals = cut.groupBy("_group", "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    in_order = W.partitionBy("_group").orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
+    whole = W.partitionBy("_group")
     totals = totals.select(
-        *[F.col(b).alias(f"_k_{b}") for b in by],
+        F.col("_group").alias("_k_group"),
         F.col("_bucket").alias("_k_bucket"),
-        *[
-            (F.sum(f"_t_{s}").over(in_order.rowsBetween(W.unboundedPreceding, 0)) - F.col(f"_t_{s}")).alias(f"_o_{s}")
-            for s in sums
-        ],
+        *[(F.sum(f"_t_{s}").over(in_order) - F.col(f"_t_{s}")).alias(f"_o_{s}") for s in sums],
         *[F.sum(f"_t_{s}").over(whole).alias(f"{s}_all") for s in sums],
     )
-    inside = W.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("_group", "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
     running = cut.select("*", *[F.sum(s).over(inside).alias(f"_i_{s}") for s in sums])
-    on = running["_bucket"] == totals["_k_bucket"]
-    for b in by:
-        on = on & running[b].eqNullSafe(totals[f"_k_{b}"])
-    joined = running.join(totals, on)
+    joined = running.join(totals, (F.col("_group") == F.col("_k_group")) & (F.col("_bucket") == F.col("_k_bucket")))
     out = [*by, value]
     for s in sums:
         out += [F.col(s), (F.col(f"_i_{s}") + F.col(f"_o_{s}")).alias(f"{s}_to"), F.col(f"{s}_all")]

@@ -53,7 +53,7 @@ def register(reg: Registry) -> None:
         lambda s, d: updates(
             s, jobs.latency_per_window(events_stream(s, d), "event_type", F.col("value") / 10.0, window="7 days"), ["window_start", "version", "le"]
         ).withColumn("total", r6("total")),
-        """WITH l AS (SELECT TIMESTAMP '1970-01-01' + to_days(CAST(epoch(ts) // 604800 * 7 AS INTEGER)) AS window_start, event_type AS version, value / 10 AS x FROM events),
+        """WITH l AS (SELECT TIMESTAMP '1970-01-01' + to_days(CAST(floor(epoch(ts) / 604800) AS INTEGER) * 7) AS window_start, event_type AS version, value / 10 AS x FROM events),
         t AS (SELECT window_start, version, count(x) AS n, round(sum(x), 6) AS total FROM l GROUP BY 1, 2) """
         + " UNION ALL ".join(
             f"SELECT window_start, version, '{b}' AS le, count(*) FILTER (x <= {b}::DOUBLE) AS cumulative, any_value(n) AS n, any_value(total) AS total FROM l JOIN t USING (window_start, version) GROUP BY 1, 2"
