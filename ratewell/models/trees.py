@@ -200,31 +200,44 @@ def grow(
     p, n_bins = len(n_edges), int(max(n_edges, default=0)) + 1
     trees = [Tree() for _ in range(n_trees)]
     usable = np.array([[b < n for b in range(n_bins)] for n in n_edges])
-    active = [(t, 0) for t in range(n_trees)]
     chunk = max(1, MAX_CELLS // (p * n_bins))
-    for depth in range(max_depth):
+
+    def best_split(t: int, n: int, sums: np.ndarray) -> bool:
+        whole = sums[0].sum(axis=0)
+        if not trees[t].stats[n]:
+            trees[t].stats[n] = tuple(whole)
+        left = sums.cumsum(axis=1)
+        g = np.where(usable, gain(left, whole - left, whole), -np.inf)
+        if allowed is not None:
+            mask = np.zeros(p, dtype=bool)
+            mask[list(allowed[t])] = True
+            g[~mask] = -np.inf
+        f, b = divmod(int(np.argmax(g)), n_bins)
+        if not g[f, b] > 0:
+            return False
+        trees[t].split(n, f, b, float(g[f, b]), tuple(left[f, b]), tuple(whole - left[f, b]))
+        return True
+
+    # (tree, node to sum up, nodes to split, parent's sums)
+    work: list[tuple] = [(t, 0, [0], None) for t in range(n_trees)]
+    for _ in range(max_depth):
         following = []
-        for start in range(0, len(active), chunk):
-            nodes = active[start : start + chunk]
-            sums = level_sums(data, trees, nodes, row_stats, p, n_bins, n_stats)
-            for s, (t, n) in enumerate(nodes):
-                whole = sums[s, 0].sum(axis=0)
-                trees[t].stats[n] = tuple(whole)
-                left = sums[s].cumsum(axis=1)
-                g = np.where(usable, gain(left, whole - left, whole), -np.inf)
-                if allowed is not None:
-                    mask = np.zeros(p, dtype=bool)
-                    mask[list(allowed[t])] = True
-                    g[~mask] = -np.inf
-                best = int(np.argmax(g))
-                f, b = divmod(best, n_bins)
-                if not g[f, b] > 0:
-                    continue
-                right = whole - left[f, b]
-                trees[t].split(n, f, b, float(g[f, b]), tuple(left[f, b]), tuple(right))
-                following += [(t, c) for c in (trees[t].left[n], trees[t].right[n]) if trees[t].stats[c][0] >= min_rows]
-        active = following
-        if not active:
+        for start in range(0, len(work), chunk):
+            part = work[start : start + chunk]
+            sums = level_sums(data, trees, [(t, n) for t, n, _, _ in part], row_stats, p, n_bins, n_stats)
+            for (t, small, nodes, parent), own in zip(part, sums):
+                for n in nodes:
+                    cells = own if n == small else parent - own
+                    if not best_split(t, n, cells):
+                        continue
+                    sides = (trees[t].left[n], trees[t].right[n])
+                    rows = [trees[t].stats[c][0] for c in sides]
+                    open_ = [c for c, r in zip(sides, rows) if r >= min_rows]
+                    if open_:
+                        # Rows of the smaller side are summed up, the other side is the rest of the parent.
+                        following.append((t, sides[int(rows[1] < rows[0])], open_, cells))
+        work = following
+        if not work:
             break
     return trees
 

@@ -1,7 +1,7 @@
 """Fit-and-transform encoders: drop-first indicators, population scaling, label flags.
 
-``Preprocessor.fit`` runs three small aggregations (levels, label counts,
-moments) and returns a ``PipelineModel`` of built-in stages, so transforming
+``Preprocessor.fit`` runs two aggregations (levels and labels, moments) and
+returns a ``PipelineModel`` of built-in stages, so transforming
 stays in the JVM and saving needs no code of ours.
 """
 
@@ -45,36 +45,52 @@ def _bounded(rows: list, what: str, limit: int) -> list:
     return rows
 
 
+def _tagged(name: str):
+    return lambda v: F.struct(F.lit(name).alias("c"), v.alias("v"))
+
+
+def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = (), sep: str = ", ") -> dict[str, dict[str, int]]:
+    """Rows per value of each text column and per label of each multi-label column: one pass."""
+    out: dict[str, dict[str, int]] = {c: {} for c in [*columns, *labels]}
+    if not out:
+        return out
+    pairs = [F.array(F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))) for c in columns]
+    for c in labels:
+        parts = F.coalesce(F.array_distinct(fx.label_array(c, sep)), F.array().cast("array<string>"))
+        pairs.append(F.transform(parts, _tagged(c)))
+    rows = df.select(F.explode(F.concat(*pairs)).alias("p")).select("p.c", "p.v")
+    kept = rows.where(F.col("v").isNotNull() & ~(F.col("c").isin(list(labels)) & (F.col("v") == "")))
+    counts = kept.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    limit = MAX_LEVELS * len(out)
+    for r in _bounded(counts.limit(limit + 1).collect(), "levels", limit):
+        out[r["c"]][r["v"]] = r["n"]
+    return out
+
+
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct values of each text column, found in one pass."""
-    if not columns:
-        return {}
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])
-    limit = MAX_LEVELS * len(columns)
-    seen = df.select(F.explode(pairs).alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
-    rows = _bounded(seen.limit(limit + 1).collect(), "levels", limit)
-    levels: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
-        levels[r["c"]].append(r["v"])
-    return {c: sorted(v) for c, v in levels.items()}
+    """Sorted distinct values of each text column."""
+    return {c: sorted(v) for c, v in value_counts(df, columns).items()}
 
 
 def fit_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of each column, one aggregate."""
-    if not columns:
-        return {}
+    return _moments_and_size(df, columns)[0]
+
+
+def _moments_and_size(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, tuple[float, float]], int]:
     pairs = [(F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")) for i, c in enumerate(columns)]
-    row = df.agg(*[x for p in pairs for x in p]).first()
-    return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 0.0) for i, c in enumerate(columns)}
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[x for p in pairs for x in p]).first()
+    return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 0.0) for i, c in enumerate(columns)}, row["n"]
 
 
 def fit_labels(df: DataFrame, column: str, sep: str = ", ") -> list[str]:
     """Labels carried by some rows but not by all: a constant flag says nothing."""
-    labels = df.select(F.explode(F.array_distinct(fx.label_array(column, sep))).alias("v")).where(F.col("v") != "")
-    counts = labels.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    rows = _bounded(counts.limit(MAX_LEVELS + 1).collect(), "labels", MAX_LEVELS)
-    return sorted(r["v"] for r in rows if r["n"] < total)
+    counts = value_counts(df, [], [column], sep)[column]
+    return _varying(counts, df.count())
+
+
+def _varying(counts: Mapping[str, int], rows: int) -> list[str]:
+    return sorted(v for v, n in counts.items() if n < rows)
 
 
 def scale(column: str, mean: float, deviation: float) -> Column:
@@ -148,8 +164,11 @@ class Preprocessor:
     levels: dict[str, list[str]] = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> FittedPreprocessor:
-        self.levels = fit_levels(df, list(self.categorical))
-        moments = fit_moments(df, list(self.numeric)) if self.scale else {c: (0.0, 1.0) for c in self.numeric}
+        counts = value_counts(df, list(self.categorical), list(self.labels), self.sep)
+        self.levels = {c: sorted(counts[c]) for c in self.categorical}
+        moments, size = _moments_and_size(df, list(self.numeric) if self.scale else [])
+        if not self.scale:
+            moments = {c: (0.0, 1.0) for c in self.numeric}
         exprs: list[str] = []
         names: list[str] = []
         for c in self.categorical:
@@ -161,7 +180,7 @@ class Preprocessor:
             exprs.append(f"(CAST(`{c}` AS DOUBLE) - {mean!r}D) / {(deviation if deviation > 0 else 1.0)!r}D")
             names.append(c)
         for c in self.labels:
-            for v in fit_labels(df, c, self.sep):
+            for v in _varying(counts[c], size):
                 pattern = _text("\\Q" + self.sep + "\\E")
                 exprs.append(f"CAST(coalesce(array_contains(split(`{c}`, {pattern}), {_text(v)}), false) AS DOUBLE)")
                 names.append(f"{c}_{v}")

@@ -59,6 +59,8 @@ def cumulative_counts(
     bucket = F.when(F.col("_s.all_n") > 0, _edges_at_most(F.col(value), F.col("_s.edges"))).otherwise(F.lit(0))
     for s in sums[1:]:
         bucket = F.when(F.col(f"_s.all_{s}").isNotNull(), bucket).otherwise(F.lit(0))
+    # Never null, so that the join adds no null filter with the sketch in it below the counts.
+    bucket = F.coalesce(bucket, F.lit(0))
     # One key for all group columns: equal for nulls too, and the same for window and join.
     group = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
     cut = cut.select(*by, value, *sums, group.alias("_group"), bucket.alias("_bucket"))
