@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -23,27 +24,24 @@ def local_session(app: str = "ratewell", cores: str = "*", partitions: int = 8)
     )
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="ratewell-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the session names it.
 
-    Only a local session may fall back to a folder of this machine.
+    Only a local session that names none falls back to a folder of this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ratewell-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_root()
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder if nobody has done so."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{shared_root(spark).rstrip('/')}/checkpoints")
