@@ -174,13 +174,12 @@ def register(reg: Registry) -> None:
         lambda s, d: cl.trim_below(clean(s, d), "INJ_RATE_PER2K", 0.5).select("MINE_ID", r6("INJ_RATE_PER2K")),
         with_clean("SELECT MINE_ID, round(INJ_RATE_PER2K, 6) AS INJ_RATE_PER2K FROM clean WHERE INJ_RATE_PER2K < 0.5"),
     )
-    shares = [r6(c) for c in MINE.shares]
     shares_sql = ", ".join(f"round({c}, 6) AS {c}" for c in MINE.shares)
     reg.add(
         "b17_basic_cleaning",
         lambda s, d: clean(s, d).select(
             "MINE_ID", "YEAR", "US_STATE", "COMMODITY", "TYPE_OF_MINE", "PRIMARY_LABELS", "SEAM_HEIGHT", "AVG_EMP_TOTAL",
-            "EMP_HRS_TOTAL", "NUM_INJURIES", "ADJ_STATUS", r6("INJ_RATE_PER2K"), *shares,
+            "EMP_HRS_TOTAL", "NUM_INJURIES", "ADJ_STATUS", r6("INJ_RATE_PER2K"), *[r6(c) for c in MINE.shares],
         ),
         with_clean(
             f"""SELECT MINE_ID, YEAR, US_STATE, COMMODITY, TYPE_OF_MINE, PRIMARY_LABELS, SEAM_HEIGHT, AVG_EMP_TOTAL,

@@ -42,7 +42,7 @@ def register(reg: Registry) -> None:
     def measure(name, columns, sql):
         reg.add(
             name,
-            lambda s, d: scored(s, d).groupBy("dataset").agg(*[r6(c, n) for n, c in columns.items()]),
+            lambda s, d: scored(s, d).groupBy("dataset").agg(*[r6(c, n) for n, c in columns().items()]),
             with_scored(
                 "SELECT dataset, " + ", ".join(f"round({x}, 6) AS {n}" for n, x in sql.items()) + " FROM (SELECT *, actual - predicted AS e FROM scored) GROUP BY 1"
             ),
@@ -50,7 +50,7 @@ def register(reg: Registry) -> None:
 
     measure(
         "i1_poisson_log_likelihood",
-        {"ll": ms.poisson_log_likelihood("actual", F.col("predicted") - 0.2)},
+        lambda: {"ll": ms.poisson_log_likelihood("actual", F.col("predicted") - 0.2)},
         {
             "ll": """sum(actual * ln(CASE WHEN predicted - 0.2::DOUBLE <= 0 THEN 1e-6::DOUBLE ELSE predicted - 0.2::DOUBLE END))
             - sum(greatest(predicted - 0.2::DOUBLE, 0))"""
@@ -58,7 +58,7 @@ def register(reg: Registry) -> None:
     )
     measure(
         "i2_errors",
-        {
+        lambda: {
             "mse": ms.mean_squared_error("actual", "predicted"),
             "rmse": ms.root_mean_squared_error("actual", "predicted"),
             "mae": ms.mean_absolute_error("actual", "predicted"),
@@ -67,7 +67,7 @@ def register(reg: Registry) -> None:
     )
     measure(
         "i3_weighted_errors",
-        {"weighted_rmse": ms.weighted_rmse("actual", "predicted", "weight"), "weighted_mae": ms.weighted_mae("actual", "predicted", "weight")},
+        lambda: {"weighted_rmse": ms.weighted_rmse("actual", "predicted", "weight"), "weighted_mae": ms.weighted_mae("actual", "predicted", "weight")},
         {"weighted_rmse": "sqrt(sum(weight * e * e) / sum(weight))", "weighted_mae": "sum(weight * abs(e)) / sum(weight)"},
     )
     reg.add(
@@ -84,13 +84,15 @@ def register(reg: Registry) -> None:
     )
     measure(
         "i5_rounded_accuracy",
-        {"rounded_accuracy": ms.hit_rate(F.bround("actual", 0), F.bround("predicted", 0))},
+        lambda: {"rounded_accuracy": ms.hit_rate(F.bround("actual", 0), F.bround("predicted", 0))},
         {"rounded_accuracy": "avg(CASE WHEN round_even(actual, 0) = round_even(predicted, 0) THEN 1.0::DOUBLE ELSE 0 END)"},
     )
-    flag = (F.col("score") >= 0.4).cast("int")
+    def flag():
+        return (F.col("score") >= 0.4).cast("int")
+
     reg.add(
         "i6_binary_scores",
-        lambda s, d: ev.binary_scores(scored(s, d), lb.any_event("actual"), flag, ["dataset"]).select(
+        lambda s, d: ev.binary_scores(scored(s, d), lb.any_event("actual"), flag(), ["dataset"]).select(
             "dataset", "tp", "fp", "fn", "tn", *[r6(c) for c in ("accuracy", "precision", "recall", "f1")]
         ),
         with_scored(
@@ -103,7 +105,7 @@ def register(reg: Registry) -> None:
     )
     reg.add(
         "i7_confusion",
-        lambda s, d: ev.confusion(scored(s, d), lb.any_event("actual"), flag),
+        lambda s, d: ev.confusion(scored(s, d), lb.any_event("actual"), flag()),
         with_scored(
             """SELECT CAST(a AS INTEGER) AS actual, CAST(p AS INTEGER) AS predicted, count(actual) AS n FROM range(2) x(a) CROSS JOIN range(2) y(p)
             LEFT JOIN scored ON CAST(scored.actual > 0 AS INTEGER) = a AND CAST(score >= 0.4::DOUBLE AS INTEGER) = p GROUP BY 1, 2"""
@@ -135,7 +137,7 @@ def register(reg: Registry) -> None:
     )
     reg.add(
         "i10_detection_rates",
-        lambda s, d: ev.detection_rates(scored(s, d), lb.class_from_rate("INJ_RATE_PER2K"), flag).withColumn("accuracy", r6("accuracy")),
+        lambda s, d: ev.detection_rates(scored(s, d), lb.class_from_rate("INJ_RATE_PER2K"), flag()).withColumn("accuracy", r6("accuracy")),
         with_scored(
             """SELECT class, count(*) FILTER (ok) AS correct, count(*) AS n, round(avg(CASE WHEN ok THEN 1.0::DOUBLE ELSE 0 END), 6) AS accuracy,
             CASE class WHEN 0 THEN 'No Injury' WHEN 1 THEN 'One Injury' WHEN 2 THEN 'Two Injuries' ELSE 'Three+ Injuries' END AS class_name
@@ -165,7 +167,7 @@ def register(reg: Registry) -> None:
         lambda s, d: ev.rank_scores(scored(s, d), "score", F.col("actual") > 0, ["dataset"]).select("dataset", r6("average_precision")),
         with_scored("SELECT dataset, round(ap, 6) AS average_precision FROM aps", aps=AP_SQL),
     )
-    measure("i14_gaussian_log_likelihood", {"ll": ms.gaussian_log_likelihood("actual", "predicted")}, {"ll": "-sum(e * e) / (2 * count(*))"})
+    measure("i14_gaussian_log_likelihood", lambda: {"ll": ms.gaussian_log_likelihood("actual", "predicted")}, {"ll": "-sum(e * e) / (2 * count(*))"})
     for name, fn, sql in (
         ("i15_nonzero_macro", ev.nonzero_macro, "sum(CASE WHEN class BETWEEN 1 AND 10 THEN {m} ELSE 0 END) / 10"),
         ("i16_event_weighted", ev.event_weighted, "sum(CASE WHEN class BETWEEN 1 AND 10 THEN (class + 1) * {m} ELSE 0 END) / 65"),

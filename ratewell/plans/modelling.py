@@ -300,10 +300,12 @@ def register(reg: Registry) -> None:
 
     reg.add("j17_random_search", searched)
 
-    gate = (F.col("score") >= 0.4).cast("int")
+    def gate():
+        return (F.col("score") >= 0.4).cast("int")
+
     reg.add(
         "j18_hard_gate",
-        lambda s, d: scored(s, d).select("MINE_ID", r6(lb.hard_gate(gate, "predicted"), "prediction")),
+        lambda s, d: scored(s, d).select("MINE_ID", r6(lb.hard_gate(gate(), "predicted"), "prediction")),
         with_scored("SELECT MINE_ID, round(CASE WHEN score >= 0.4::DOUBLE THEN predicted ELSE 0 END, 6) AS prediction FROM scored"),
     )
     reg.add(
