@@ -73,6 +73,19 @@ def attach_names(values: DataFrame, names: DataFrame, index: str = "index") -> D
     return values.join(names, index, "left")
 
 
+def salted_lookup(rows: DataFrame, groups: DataFrame, key: str, spread: Column, salts: int = 32) -> DataFrame:
+    """Join a one-row-per-key table to rows among which one key may be most of them.
+
+    The rows of a key are spread over ``salts`` join keys and the key's single
+    row is repeated for each, so no task gets a whole hot key, whatever a later
+    grouping asks for.  Null keys meet null keys.
+    """
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = groups.withColumnRenamed(key, "_lookup_key").withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    on = F.col(key).eqNullSafe(F.col("_lookup_key")) & (F.col("_salt") == F.col("_lookup_salt"))
+    return left.join(right, on).drop("_salt", "_lookup_salt", "_lookup_key")
+
+
 def _label_list(labels: DataFrame, column: str) -> Column:
     """All labels as one array; the table has one row per label already."""
     listed = labels.limit(MAX_GRID_LABELS + 1).agg(

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from ..functions.hashing import hash_text, hash_unit
+from ..session import scratch_dir
 from . import ranking
 
 _CELL_DIGITS = 4
@@ -36,7 +37,8 @@ def stratified_split(
     The rows with the smallest hashes of a stratum are taken.  No stratum is
     sorted whole: rows are counted per hash prefix, only the rows of the one
     prefix in which the cut falls are ranked, and the hash at the cut becomes
-    the stratum's threshold.  The key must be unique.
+    the stratum's threshold.  Finding the thresholds runs at once; the rows are
+    then compared with them where they are.  The key must be unique.
     """
     tagged = df.withColumns({"_stratum": stratum, "_h": hash_text(key, seed)})
     cell = F.substring("_h", 1, _CELL_DIGITS)
@@ -52,6 +54,10 @@ def stratified_split(
     near = narrow.join(cut, narrow["_stratum"].eqNullSafe(cut["_s"]) & (F.substring("_h", 1, _CELL_DIGITS) == cut["_c"]))
     place = F.row_number().over(W.partitionBy("_s").orderBy("_h"))
     limits = near.withColumn("_place", place).where(F.col("_place") == F.col("_need")).select("_s", F.col("_h").alias("_limit"))
+    # Stored, the thresholds are found once, and their size is known: only a small table is broadcast.
+    path = scratch_dir(df.sparkSession, "split")
+    limits.write.parquet(path)
+    limits = df.sparkSession.read.parquet(path)
     first = F.coalesce(F.col("_h") <= F.col("_limit"), F.lit(False))
     joined = tagged.join(limits, tagged["_stratum"].eqNullSafe(limits["_s"]), "left")
     return joined.withColumn(out, F.when(first, names[0]).otherwise(names[1])).drop("_stratum", "_h", "_s", "_limit")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..roles import MINE, Roles
 from . import ranking
+from .relational import salted_lookup
 
 # Upper bounds of the latency buckets in seconds.
 LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
@@ -147,7 +148,7 @@ def box_stats(df: DataFrame, group: str, value: str, reach: float = 1.5) -> Data
     boxes = ranking.quantiles_of_counts(counts, value, (0.25, 0.5, 0.75), [group])
     spread = F.col("p75") - F.col("p25")
     boxes = boxes.select(
-        F.col(group).alias("_g"),
+        group,
         "p25",
         "p50",
         "p75",
@@ -156,7 +157,7 @@ def box_stats(df: DataFrame, group: str, value: str, reach: float = 1.5) -> Data
     )
     inside = F.col(value).between(F.col("_low"), F.col("_high"))
     return (
-        counts.join(boxes, counts[group].eqNullSafe(boxes["_g"]))
+        salted_lookup(counts, boxes, group, F.col(value))
         .groupBy(group)
         .agg(
             F.sum("n").alias("n"),

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_unit
 from ..operators import clean as cl, encode as en, features as ft
+from ..roles import MINE
 from ..session import scratch_dir
 from .base import COMMODITIES, LABELS, Registry, clean, mine_year, r6, with_clean
+from .features import _REAL, FEATURE_SQL
 from .summaries import UNIT_SQL
 from .tables import feature_totals
 
@@ -69,9 +71,19 @@ def register(reg: Registry) -> None:
         rows = ft.build_features(clean(s, d)).drop("US_STATE", "MINE_CHAR", "MINE_ID")
         groups = en.feature_groups(rows)
         fitted = en.Preprocessor(groups["categorical"], groups["numeric"], groups["labels"]).fit(rows)
-        return feature_totals(fitted, fitted.transform(rows)).select("index", "name", "nonzero")
-
-    reg.add("d5_d6_assembled_features", assembled)
+        return feature_totals(fitted, fitted.transform(rows)).select("name", "nonzero")
+
+    def flag_count(column, levels):
+        return [f"SELECT '{column}_{v}' AS name, count(*) FILTER ({column} = '{v}') AS nonzero FROM feats" for v in levels[1:]]
+
+    numeric = ["YEAR", "SEAM_HEIGHT", "AVG_EMP_TOTAL", *MINE.shares, *_REAL, "HIGH_UNDERGROUND", "LARGE_OPERATION", "HIGH_OFFICE_HRS"]
+    lines = flag_count("COMMODITY", COMMODITIES) + flag_count("TYPE_OF_MINE", PRIORITIES) + flag_count("ADJ_STATUS", GROUPS)
+    # A scaled number is 0 only at the mean.
+    lines += [f"SELECT '{c}', count(*) FILTER ({c} <> (SELECT avg({c}) FROM feats)) FROM feats" for c in numeric]
+    lines += [
+        f"SELECT 'PRIMARY_LABELS_{v}', count(*) FILTER (list_contains(string_split(PRIMARY_LABELS, ', '), '{v}')) FROM feats" for v in LABELS
+    ]
+    reg.add("d5_d6_assembled_features", assembled, with_clean(" UNION ALL ".join(lines), feats=FEATURE_SQL))
 
     def minimal_dummies(s, d):
         rows = clean(s, d).select("MINE_ID", "COMMODITY", "TYPE_OF_MINE", "ADJ_STATUS")

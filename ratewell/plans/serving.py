@@ -92,7 +92,12 @@ def register(reg: Registry) -> None:
         lambda s, d: logged(s, d).metrics.read().select("metric", r6("value")),
         with_scored(f"SELECT substr(metric, 6) AS metric, value FROM ({METRIC_SQL}) WHERE metric LIKE 'test_%'"),
     )
-    reg.add("k4_register_and_activate", lambda s, d: logged(s, d).list().select("version", "description", "is_active", F.col("test_rmse").isNull().alias("no_metric")))
+    reg.add(
+        "k4_register_and_activate",
+        lambda s, d: logged(s, d).list().select("version", "description", "is_active", F.col("test_rmse").isNull().alias("no_metric")),
+        """SELECT * FROM (VALUES ('1', 'first', false, true), ('2', 'second', true, true)) v(version, description, is_active, no_metric)
+        WHERE (SELECT count(*) FROM lineitem) > 0""",
+    )
     reg.add(
         "k5_list_versions",
         lambda s, d: mr.list_versions(version_rows(s, d), rl.latest_metrics(metric_log(s, d)), pointer(s, d), ["click", "purchase", "test_rmse"]),
@@ -101,7 +106,12 @@ def register(reg: Registry) -> None:
         FROM ({VERSION_SQL}) LEFT JOIN ({LATEST_SQL}) USING (run_id) GROUP BY 1, 2""",
     )
     reg.add("k6_model_info", lambda s, d: logged(s, d).info().withColumn("top_features", F.concat_ws(",", "top_features")).drop("last_updated"))
-    reg.add("k7_feature_list", lambda s, d: logged(s, d).features())
+    reg.add(
+        "k7_feature_list",
+        lambda s, d: logged(s, d).features(),
+        """SELECT CAST(ordinal_position - 1 AS INTEGER) AS index, column_name AS name, CAST(NULL AS DOUBLE) AS importance
+        FROM (SELECT row_number() OVER () AS ordinal_position, column_name FROM (DESCRIBE lineitem))""",
+    )
     numbered = f"""SELECT run_id, CAST(row_number() OVER (ORDER BY start_ms, run_id) + 1 AS VARCHAR) AS version, make_timestamp(start_ms * 1000) AS created_at,
       CASE WHEN row_number() OVER (ORDER BY start_ms DESC, run_id DESC) = 1 THEN 'Production' ELSE 'Archived' END AS status,
       row_number() OVER (ORDER BY start_ms DESC, run_id DESC) = 1 AS is_active, 'run' AS description, feature_count FROM ({RUNS_SQL})"""

@@ -10,7 +10,7 @@ from ..operators import encode as en, evaluate as ev, relational as rel
 from ..roles import SHARE_COLUMNS
 from ..session import scratch_dir
 from ..sources import requests as rq, runlog as rl, tables as tb, versions as vs
-from .base import Registry, clean, mine_year, r6, scored, table, with_clean, with_mine, with_scored
+from .base import COMMODITIES, LABELS, Registry, clean, mine_year, r6, scored, table, with_clean, with_mine, with_scored
 from .summaries import UNIT_SQL
 
 _RAW = ["MINE_ID", "YEAR", "US_STATE", "COMMODITY", "PRIMARY_LABELS", "MINE_STATUS", "TYPE_OF_MINE", "SEAM_HEIGHT",
@@ -71,9 +71,14 @@ def register(reg: Registry) -> None:
         path = scratch_dir(s, "preprocessor")
         en.Preprocessor(["COMMODITY"], ["SEAM_HEIGHT"], ["PRIMARY_LABELS"]).fit(rows).save(path)
         fitted = en.FittedPreprocessor.load(path)
-        return feature_totals(fitted, fitted.transform(rows))
-
-    reg.add("a5_preprocessor_round_trip", preprocessor_round_trip)
+        return feature_totals(fitted, fitted.transform(rows)).select("name", "nonzero")
+
+    flags = [f"SELECT 'COMMODITY_{c}' AS name, count(*) FILTER (COMMODITY = '{c}') AS nonzero FROM clean" for c in COMMODITIES[1:]]
+    flags += ["SELECT 'SEAM_HEIGHT', count(*) FILTER (SEAM_HEIGHT <> (SELECT avg(SEAM_HEIGHT) FROM clean)) FROM clean"]
+    flags += [
+        f"SELECT 'PRIMARY_LABELS_{v}', count(*) FILTER (list_contains(string_split(PRIMARY_LABELS, ', '), '{v}')) FROM clean" for v in LABELS
+    ]
+    reg.add("a5_preprocessor_round_trip", preprocessor_round_trip, with_clean(" UNION ALL ".join(flags)))
 
     def result_tables(s, d):
         path = scratch_dir(s, "results")

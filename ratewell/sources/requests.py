@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.relational import salted_lookup
+
 # Fields of one request entry.
 ENTRY_SCHEMA = """MINE_ID string, MINE_NAME string, CURRENT_STATUS string, STATE string, CAL_YR int, YEAR int,
   AVG_EMPLOYEE_CNT double, HOURS_WORKED double, CURRENT_MINE_TYPE string, CURRENT_MINE_STATUS string,
@@ -36,7 +38,7 @@ def batch_responses(df: DataFrame, batch_id: str, entity: str, prediction: str,
     sums = df.groupBy(batch_id).agg(F.count(F.lit(1)).alias("_n"), F.avg(prediction).alias("average_predicted_rate"))
     sums = sums.withColumn("_pages", F.ceil(F.col("_n") / F.lit(page_rows)).cast("bigint"))
     page = F.pmod(F.xxhash64(F.col(entity)), F.col("_pages"))
-    paged = df.join(sums, batch_id).select(batch_id, entity, prediction, "average_predicted_rate", page.alias("page"))
+    paged = salted_lookup(df, sums, batch_id, F.col(entity)).select(batch_id, entity, prediction, "average_predicted_rate", page.alias("page"))
     item = F.struct(F.col(entity).cast("string").alias("mine_id"), F.col(prediction).alias("predicted_injury_rate"))
     return (
         paged.groupBy(batch_id, "page")
