@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -56,19 +56,36 @@ def add_ratio_with_median(
     return df.withColumn(out, F.coalesce(ratio, median))
 
 
-def build_features(df: DataFrame, roles: Roles = MINE, fit_on: Column | None = None, sep: str = " ") -> DataFrame:
+def _stats_column(df: DataFrame, roles: Roles, fit_on: Column | None) -> Column:
+    base = df if fit_on is None else df.where(fit_on)
+    ratio = fx.ratio_where_positive(roles.exposure, roles.size)
+    return scalar_quantiles(base, {"median": (ratio, 0.5), "large": (F.col(roles.size), 0.75)})
+
+
+def feature_stats(df: DataFrame, roles: Roles = MINE, fit_on: Column | None = None) -> dict[str, float]:
+    """The two fitted numbers of ``build_features``, to be kept with a model."""
+    row = df.sparkSession.range(1).select(_stats_column(df, roles, fit_on).alias("s")).select("s.*").first()
+    return row.asDict()
+
+
+def build_features(
+    df: DataFrame, roles: Roles = MINE, fit_on: Column | None = None, sep: str = " ", stats: Mapping[str, float] | None = None
+) -> DataFrame:
     """All derived features on a cleaned table.
 
     The median and the 75th percentile come from all rows, or from the rows of
     ``fit_on`` (say the training part) to keep test rows out of them.  Both are
-    one scalar subquery, so the result is a single plan.
+    one scalar subquery, so the result is a single plan.  New rows are built
+    with the ``stats`` of the training table instead.
     """
     have = set(df.columns)
-    base = df if fit_on is None else df.where(fit_on)
     ratio = fx.ratio_where_positive(roles.exposure, roles.size)
-    stats = scalar_quantiles(base, {"median": (ratio, 0.5), "large": (F.col(roles.size), 0.75)})
+    if stats is None:
+        fitted = _stats_column(df, roles, fit_on)
+    else:
+        fitted = F.struct(*[F.lit(stats[n]).cast("double").alias(n) for n in ("median", "large")])
 
-    df = df.withColumns({"LOG_AVG_EMP_TOTAL": fx.log_plus_one(roles.size), "_stats": stats})
+    df = df.withColumns({"LOG_AVG_EMP_TOTAL": fx.log_plus_one(roles.size), "_stats": fitted})
     log_size = F.col("LOG_AVG_EMP_TOTAL")
     new: dict[str, Column] = {}
     for name, share in (
