@@ -160,6 +160,8 @@ class Booster:
                 bins[:, i] = np.searchsorted(edges[i], columns[i].to_numpy(dtype="float64"), side="left")
             return pd.Series(_add_trees(np.full(len(bins), base), bins, arrays))
 
+        # Marked so that filters on the score stay above it and rows are scored once.
+        score = score.asNondeterministic()
         return score(*[F.col(f).cast("double") for f in self.spec.features])
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:

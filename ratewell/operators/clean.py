@@ -84,7 +84,8 @@ def drop_columns(df: DataFrame, names: Iterable[str] = (), where: Callable[[str]
 
 def safe_cast(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast to the given types; text that does not parse becomes null."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})
+    new = {c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns}
+    return df.withColumns(new) if new else df
 
 
 def align_columns(df: DataFrame, names: Sequence[str], fill: object = 0) -> DataFrame:
@@ -164,24 +165,42 @@ def cleaning_audit(df: DataFrame, roles: Roles = MINE, expected_null_rows: int |
 REQUEST_FIELDS = {"YEAR": "int", "AVG_EMPLOYEE_CNT": "double", "HOURS_WORKED": "double"}
 
 
-def validation_errors(df: DataFrame, required: Mapping[str, str] = REQUEST_FIELDS) -> DataFrame:
-    """Add ``errors``: one text per missing, empty or unreadable field of the row."""
+# Types a column can have so that no value of it fails the cast.
+_SURE = {"int": ("int",), "bigint": ("int", "bigint"), "double": ("int", "bigint", "float", "double")}
+
+
+def _field_checks(df: DataFrame, required: Mapping[str, str]) -> list[tuple[Column, Column]]:
+    """(field is fine, reason or null) per required field, as plain as the column's type allows."""
+    types = dict(df.dtypes)
     checks = []
     for name, kind in required.items():
-        if name not in df.columns:
-            checks.append(F.lit(f"missing field: {name}"))
-            continue
-        text = F.trim(F.col(name).cast("string"))
-        checks += [
-            F.when(F.col(name).isNull(), F.lit(f"missing field: {name}")),
-            F.when(text == "", F.lit(f"empty field: {name}")),
-            F.when((text != "") & F.col(name).try_cast(kind).isNull(), F.lit(f"not a {kind}: {name}")),
-        ]
-    return df.withColumn("errors", F.array_compact(F.array(*checks)))
+        missing = F.lit(f"missing field: {name}")
+        if name not in types:
+            checks.append((F.lit(False), missing))
+        elif types[name] in _SURE.get(kind, (kind,)):
+            checks.append((F.col(name).isNotNull(), F.when(F.col(name).isNull(), missing)))
+        else:
+            empty = F.trim(F.col(name).cast("string")) == ""
+            reason = F.when(F.col(name).isNull(), missing).when(empty, F.lit(f"empty field: {name}"))
+            fine = F.col(name).try_cast(kind).isNotNull()
+            checks.append((fine, reason.when(~fine, F.lit(f"not a {kind}: {name}"))))
+    return checks
+
+
+def validation_errors(df: DataFrame, required: Mapping[str, str] = REQUEST_FIELDS) -> DataFrame:
+    """Add ``errors``: one text per missing, empty or unreadable field of the row."""
+    return df.withColumn("errors", F.array_compact(F.array(*[reason for _, reason in _field_checks(df, required)])))
 
 
 def split_valid(df: DataFrame, required: Mapping[str, str] = REQUEST_FIELDS) -> tuple[DataFrame, DataFrame]:
-    """(rows that can be scored, typed; rows that cannot, with their reasons)."""
-    checked = validation_errors(df, required)
-    good = safe_cast(checked.where(F.size("errors") == 0).drop("errors"), required)
-    return good, checked.where(F.size("errors") > 0)
+    """(rows that can be scored, typed; rows that cannot, with their reasons).
+
+    Both filters are plain conditions per field, which the optimiser can push
+    to the source one by one; reasons are only put together for rejects.
+    """
+    fine = F.lit(True)
+    for ok, _ in _field_checks(df, required):
+        fine = fine & ok
+    types = dict(df.dtypes)
+    good = safe_cast(df.where(fine), {c: t for c, t in required.items() if types.get(c) != t})
+    return good, validation_errors(df.where(~fine), required)
