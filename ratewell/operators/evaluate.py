@@ -288,5 +288,6 @@ def prediction_summary(df: DataFrame, predicted: str = "predicted", by: Sequence
 def scored_report(df: DataFrame, actual: str = "actual", predicted: str = "predicted", part: str = "dataset") -> DataFrame:
     """Scored rows with errors, any-event flag, percentile of the prediction and large-error flag."""
     rows = with_errors(df, actual, predicted).withColumn("has_injury", lb.any_event(actual))
-    rows = ranking.percent_rank_average(rows, predicted, [part], "pred_percentile")
-    return ranking.flag_above_quantile(rows, "abs_error", 0.95, "large_error")
+    # The flag first: its quantile is then read off the scored rows and not off the ranked join.
+    rows = ranking.flag_above_quantile(rows, "abs_error", 0.95, "large_error")
+    return ranking.percent_rank_average(rows, predicted, [part], "pred_percentile")

@@ -166,6 +166,32 @@ def test_sweep_marks_the_best(rows):
     assert len(best) == 1 and best[0]["test_rmse"] == min(r["test_rmse"] for r in out)
 
 
+def test_sweep_registers_and_activates_the_best(spark, rows, tmp_path):
+    from ratewell.models.registry import ModelRegistry
+
+    df, _ = rows
+    parts = df.withColumn("dataset", F.when(F.col("id") % 4 == 0, "test").otherwise("train"))
+    registry = ModelRegistry(spark, str(tmp_path / "reg"))
+    configs = (("weak", "booster", {"n_estimators": 1, "max_depth": 1, "learning_rate": 0.01}), ("strong", "gbt", {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.5}))
+    out = {r["model"]: r for r in se.sweep(parts, ["a", "b", "rare"], "y", registry, configs).collect()}
+    assert out["strong"]["best"] and registry.active() == out["strong"]["version"] == "2"
+    listed = {r["version"]: r for r in registry.list().collect()}
+    assert listed["1"]["test_rmse"] == pytest.approx(out["weak"]["test_rmse"]) and listed["1"]["description"] == "Model version for weak"
+    assert bo.Booster.load(registry.resolve("1")[1]).predict(df).count() == df.count()
+
+
+def test_search_losses(rows):
+    df, _ = rows
+    train, val = df.where("id % 5 <> 0"), df.where("id % 5 = 0")
+    spec = bo.BoosterSpec(("a", "b", "rare"), "y", key="id")
+    point = {"n_estimators": 3.0, "max_depth": 2.0, "min_child_weight": 1.9, "learning_rate": 0.5}
+    f1 = 1 - se.classifier_loss(train, val, "y", spec)({**point, "scale_pos_weight": 2.0})
+    assert 0.3 < f1 <= 1
+    good = se.regressor_loss(train, val, "y", spec)({**point, "variance_power": 1.1})
+    none = se.regressor_loss(train, val, "y", spec)({**point, "variance_power": 1.0, "learning_rate": 1e-6})
+    assert 0 < good < none
+
+
 def test_weighted_variance_tree(rows):
     df, _ = rows
     model = se.weighted_tree(["a", "b"], "y", "hours").fit(df)
