@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 __all__ = [
+    "sketched_quantiles",
     "poisson_log_likelihood",
     "mean_squared_error",
     "root_mean_squared_error",
@@ -24,6 +25,16 @@ def _c(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def sketched_quantiles(column: str, parts: int, accuracy: int) -> Column:
+    """Approximate values at 1/parts, 2/parts, …, as one array.
+
+    Written as SQL text: as a list of literals it takes a call to the JVM for each.
+    """
+    name = "`" + column.replace("`", "``") + "`"
+    probs = ", ".join(f"{i / parts!r}D" for i in range(1, parts))
+    return F.expr(f"percentile_approx(CAST({name} AS DOUBLE), array({probs}), {accuracy})")
+
+
 def poisson_log_likelihood(actual, predicted, floor: float = 1e-6) -> Column:
     """Sum of y·ln(p) − p up to a constant.
 

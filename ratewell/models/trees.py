@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.measures import sketched_quantiles
+
 # Tasks get the code with the job, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,11 +40,10 @@ def fit_edges(df: DataFrame, features: Sequence[str], max_bins: int = 64) -> lis
     """
     if not 2 <= max_bins <= MAX_BINS:
         raise ValueError(f"max_bins must be 2 to {MAX_BINS}")
-    probs = [i / max_bins for i in range(1, max_bins)]
     columns = []
     for i, f in enumerate(features):
         c = F.col(f).cast("double")
-        columns += [F.percentile_approx(c, probs, 100 * max_bins).alias(f"q{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+        columns += [sketched_quantiles(f, max_bins, 100 * max_bins).alias(f"q{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
     row = df.agg(*columns).first()
     edges = []
     for i in range(len(features)):

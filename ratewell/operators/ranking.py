@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
+from ..functions.measures import sketched_quantiles
+
 BUCKETS = 1024
 _STEPS = [2**i for i in range(10, -1, -1)]
 
@@ -50,7 +52,7 @@ def cumulative_counts(
     )
     sketch = counts.agg(
         F.struct(
-            F.percentile_approx(value, [i / BUCKETS for i in range(1, BUCKETS)], 20 * BUCKETS).alias("edges"),
+            sketched_quantiles(value, BUCKETS, 20 * BUCKETS).alias("edges"),
             *[F.sum(s).alias(f"all_{s}") for s in sums],
         ).alias("s")
     ).scalar()
