@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import trees as tr
 
+# Task code names functions, not the module: a module is looked up on the executor.
+from .trees import route, unpack_bins
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OBJECTIVES = ("squared", "logistic", "poisson", "tweedie")
@@ -136,7 +139,7 @@ def _columns_of_tree(spec: BoosterSpec, number: int) -> list[int]:
 
 def _add_trees(margin: np.ndarray, bins: np.ndarray, arrays: Sequence) -> np.ndarray:
     for a in arrays:
-        margin = margin + a[4][tr.route(a, bins)]
+        margin = margin + a[4][route(a, bins)]
     return margin
 
 
@@ -182,7 +185,7 @@ class Booster:
         def partial(batches):
             total = np.zeros((len(arrays) + 1, 2))
             for pdf in batches:
-                bins, y, w = tr.unpack_bins(pdf["bins"], p), pdf["_y"].to_numpy(), pdf["_w"].to_numpy()
+                bins, y, w = unpack_bins(pdf["bins"], p), pdf["_y"].to_numpy(), pdf["_w"].to_numpy()
                 f = np.full(len(y), base)
                 for i in range(len(arrays) + 1):
                     total[i] += ((w * losses(spec, f, y)).sum(), w.sum())
@@ -276,7 +279,7 @@ def fit_booster(df: DataFrame, spec: BoosterSpec, edges: list[np.ndarray] | None
 def _with_margin(binned: DataFrame, arrays: Sequence, base: float, p: int) -> DataFrame:
     def add(batches):
         for pdf in batches:
-            pdf["_m"] = _add_trees(np.full(len(pdf), base), tr.unpack_bins(pdf["bins"], p), arrays)
+            pdf["_m"] = _add_trees(np.full(len(pdf), base), unpack_bins(pdf["bins"], p), arrays)
             yield pdf
 
     return binned.mapInPandas(add, "_y double, _w double, _u bigint, bins binary, _m double")

@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.hashing import hash_unit
 from . import trees as tr
 
+# Task code names functions, not the module: a module is looked up on the executor.
+from .trees import route, unpack_bins
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -241,14 +244,14 @@ def fit_with_complexity(df: DataFrame, spec: TreeSpec, key: str, folds: int = 10
         def score(batches):
             sums = np.zeros((len(typical), 2))
             for pdf in batches:
-                bins = tr.unpack_bins(pdf["bins"], p)
+                bins = unpack_bins(pdf["bins"], p)
                 y, e, own, rows_fold = pdf["_y"].to_numpy(), pdf["_e"].to_numpy(), _stats(pdf)[:, 3], pdf["_fold"].to_numpy()
                 for k in range(len(variants)):
                     mine = rows_fold == k
                     if not mine.any():
                         continue
                     for i, arrays in enumerate(variants[k]):
-                        rate = arrays[4][tr.route(arrays, bins[mine])]
+                        rate = arrays[4][route(arrays, bins[mine])]
                         # A leaf without events would make any event infinitely unlikely.
                         mu = np.maximum(rate * e[mine], 1e-6)
                         dev = 2 * (own[mine] - np.where(y[mine] > 0, y[mine] * np.log(mu / e[mine]), 0.0) - (y[mine] - mu))
