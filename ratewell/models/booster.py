@@ -238,14 +238,15 @@ def fit_booster(df: DataFrame, spec: BoosterSpec, edges: list[np.ndarray] | None
     binned = tr.bin_rows(rows, spec.features, edges, ["_y", "_w", "_u"]).persist(StorageLevel.MEMORY_AND_DISK)
     held = [binned]
     try:
-        sums = binned.agg((F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).alias("m")).first()
+        sums = binned.agg((F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).alias("m"), F.count(F.lit(1)).alias("n")).first()
+        data = tr.fewer_tasks(binned, sums["n"])
         base = base_score(spec.objective, sums["m"])
         p, n_edges = len(spec.features), [len(e) for e in edges]
         grown: list[tr.Tree] = []
-        settled, current = 0, binned.withColumn("_m", F.lit(base))
+        settled, current = 0, data.withColumn("_m", F.lit(base))
         for number in range(spec.n_estimators):
             if number - settled >= spec.refresh:
-                current, settled = _with_margin(binned, [t.arrays() for t in grown], base, p).persist(StorageLevel.MEMORY_AND_DISK), number
+                current, settled = _with_margin(data, [t.arrays() for t in grown], base, p).persist(StorageLevel.MEMORY_AND_DISK), number
                 held.append(current)
                 # The table before last is no longer read.
                 if len(held) > 2:

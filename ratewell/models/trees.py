@@ -139,6 +139,15 @@ def route(arrays, bins: np.ndarray) -> np.ndarray:
         node = np.where(inner, np.where(go_left, left[node], right[node]), node)
 
 
+ROWS_PER_TASK = 200_000
+
+
+def fewer_tasks(data: DataFrame, rows: int) -> DataFrame:
+    """Put small partitions together, without a shuffle: never fewer tasks than cores, nor more rows than fit one."""
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    return data.coalesce(max(cores, -(-int(rows) // ROWS_PER_TASK), 1))
+
+
 # (batch, tree number) -> (use row?, stats matrix); the first stat is the row count.
 RowStats = Callable[[pd.DataFrame, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
 
