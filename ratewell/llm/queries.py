@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact
+from . import bpe, exact, near
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -42,5 +42,10 @@ FROM (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTU
 WINDOW same AS (PARTITION BY text_sha256)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_byte_bpe": op4_byte_bpe, "op6_exact_dedup": op6_exact_dedup}
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85% of their 3-word shingles."""
+    return near.mark(table(spark, sf_dir, "documents"), size=3, num=85, den=100)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_byte_bpe": op4_byte_bpe, "op6_exact_dedup": op6_exact_dedup, "op8_near_dedup": op8_near_dedup}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
