@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, near
+from . import bpe, decontaminate, exact, near
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -22,6 +22,16 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path(RANKS), public_tokenizers.PATTERN
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of 10 consecutive benchmark words."""
+    hits = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.col("items").cast("array<string>"))
+    return hits.select(
+        "doc_id", "n_words", decontaminate.hit_words("spans").alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"),
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, decoded again."""
     encoded = bpe.encode(table(spark, sf_dir, "documents"), *vocabulary())
@@ -47,5 +57,5 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.mark(table(spark, sf_dir, "documents"), size=3, num=85, den=100)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_byte_bpe": op4_byte_bpe, "op6_exact_dedup": op6_exact_dedup, "op8_near_dedup": op8_near_dedup}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_decontamination": op2_decontamination, "op4_byte_bpe": op4_byte_bpe, "op6_exact_dedup": op6_exact_dedup, "op8_near_dedup": op8_near_dedup}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
