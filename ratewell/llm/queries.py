@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact, near
+from . import bpe, decontaminate, exact, near, quality, toxicity
 
+LEAST_QUALITY = 0.3
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -52,10 +53,27 @@ FROM (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTU
 WINDOW same AS (PARTITION BY text_sha256)
 """
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chance of the label toxic for every document, learnt from labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 85% of their 3-word shingles."""
     return near.mark(table(spark, sf_dir, "documents"), size=3, num=85, den=100)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_decontamination": op2_decontamination, "op4_byte_bpe": op4_byte_bpe, "op6_exact_dedup": op6_exact_dedup, "op8_near_dedup": op8_near_dedup}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chance of the label quality for every document, learnt from labels that are not held out."""
+    scored = quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        F.col("id").alias("doc_id"), quality.held_out("id").alias("held_out"), "score", (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted")
+    )
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op2_decontamination, op4_byte_bpe, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality)
+}
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
