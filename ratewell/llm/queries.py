@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact, near, quality, toxicity
+from . import bpe, decontaminate, exact, near, quality, toxicity, warc
 
 LEAST_QUALITY = 0.3
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -46,6 +46,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as an ARC record, converted to WARC and read back."""
+    archives = warc.convert(spark, warc.to_arc(table(spark, sf_dir, "pages"), version=2))
+    return warc.read(spark, archives).select(
+        F.col("key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_key").cast("bigint").alias("refers_to")
+    )
+
+
 OP6_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, text_sha256
@@ -74,6 +82,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontamination, op4_byte_bpe, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality)
+    f.__name__: f for f in (op2_decontamination, op4_byte_bpe, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality, op10_warc)
 }
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
