@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact, near, quality, toxicity, warc
+from . import bpe, decontaminate, exact, html, near, quality, toxicity, warc
 
 LEAST_QUALITY = 0.3
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +23,11 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path(RANKS), public_tokenizers.PATTERN
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside occurrences of 10 consecutive benchmark words."""
     hits = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -82,6 +87,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontamination, op4_byte_bpe, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality, op10_warc)
+    f.__name__: f for f in (op1_html_extraction, op2_decontamination, op4_byte_bpe, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality, op10_warc)
 }
 SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
