@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact, html, near, quality, toxicity, warc
+from . import bpe, decontaminate, exact, html, lines, near, quality, toxicity, warc
 
 LEAST_QUALITY = 0.3
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -38,6 +38,39 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines deleted from every document because a run of 50 words or more with them occurs earlier."""
+    out = lines.deduplicate(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("gone", F.lit(0).cast("bigint"), lambda total, run: total + run["b"] - run["a"])
+    return out.select("doc_id", removed.alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars_left"))
+
+
+OP3_SQL = """
+WITH rows AS (
+    SELECT doc_id, generate_subscripts(parts, 1) - 1 AS pos, unnest(parts) AS line
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+),
+words AS (SELECT doc_id, pos, line, trim(line, ' ' || chr(9) || chr(13)) AS bare, len(string_split(trim(line, ' ' || chr(9) || chr(13)), ' ')) AS w FROM rows),
+sums AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY pos) AS upto, sum(w) OVER (PARTITION BY doc_id ORDER BY pos) - w AS before FROM words),
+runs AS (
+    SELECT DISTINCT doc_id, start, run FROM (
+        SELECT doc_id, pos AS start, list(bare) OVER ahead AS run, sum(w) OVER ahead AS total FROM sums
+        WINDOW ahead AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+        UNION ALL
+        SELECT doc_id, pos - len(list(bare) OVER back) + 1, list(bare) OVER back, sum(w) OVER back FROM sums
+        WINDOW back AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+    ) WHERE total >= 50
+),
+later AS (SELECT doc_id, start, len(run) AS n FROM runs QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, start) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(start, start + n - 1)) AS pos FROM later),
+left_over AS (
+    SELECT s.doc_id, count(g.pos) AS n_removed, coalesce(string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+    FROM sums s LEFT JOIN gone g USING (doc_id, pos) GROUP BY s.doc_id
+)
+SELECT doc_id, n_removed, sha256(text) AS text_sha256, length(text) AS n_chars_left FROM left_over
+"""
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, decoded again."""
     encoded = bpe.encode(table(spark, sf_dir, "documents"), *vocabulary())
@@ -87,6 +120,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_decontamination, op4_byte_bpe, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality, op10_warc)
+    f.__name__: f for f in (op1_html_extraction, op2_decontamination, op3_line_dedup, op4_byte_bpe, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality, op10_warc)
 }
-SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
+SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL}
