@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, exact, html, lines, near, quality, toxicity, warc
+from . import bpe, counts, decontaminate, exact, html, lines, near, quality, toxicity, warc
 
 LEAST_QUALITY = 0.3
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -79,6 +79,15 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after personal data and secrets are masked, the latter from the trees of the former."""
+    edits = counts.masking(table(spark, sf_dir, "documents"))
+    trees = counts.build(edits, *vocabulary(), keep=("doc_id", "edits"))
+    return counts.apply(trees, *vocabulary()).select(
+        "doc_id", "n_edits", "n_tokens_before", "n_tokens", "n_chars_encoded", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with equal text, and the row of each that stays."""
     return exact.mark(table(spark, sf_dir, "documents"))
@@ -120,6 +129,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_decontamination, op3_line_dedup, op4_byte_bpe, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality, op10_warc)
+    f.__name__: f for f in (op1_html_extraction, op2_decontamination, op3_line_dedup, op4_byte_bpe, op5_token_counts, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality, op10_warc)
 }
 SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL}
