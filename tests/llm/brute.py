@@ -73,3 +73,28 @@ def contaminated(docs, items, window=10):
 
 def items_digest(items):
     return hashlib.sha256(",".join(sorted(str(i) for i in items)).encode()).hexdigest()
+
+
+def without_later_runs(texts, least):
+    """Texts without the lines of later copies of runs with at least `least` words, in the order of ids; {id: text}."""
+    first, runs = {}, []
+    for d in sorted(texts):
+        lines = (texts[d] or "").split("\n")
+        bare = [x.strip(" \t\r") for x in lines]
+        words = [len(x.split(" ")) for x in bare]
+        spans = set()
+        for i in range(len(lines)):
+            for step in (1, -1):
+                total, k = 0, i
+                while 0 <= k < len(lines) and total < least:
+                    total += words[k]
+                    k += step
+                if total >= least:
+                    spans.add((i, k) if step == 1 else (k + 1, i + 1))
+        runs += [(tuple(bare[a:b]), d, a, b) for a, b in spans]
+    gone = defaultdict(set)
+    for run, d, a, b in sorted(runs, key=lambda r: (r[1], r[2])):
+        if run in first:
+            gone[d] |= set(range(a, b))
+        first.setdefault(run, (d, a))
+    return {d: "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[d]) if gone[d] else t for d, t in texts.items()}
