@@ -159,7 +159,7 @@ class Shard:
         """Whether the list has a position at most `distance` away."""
         low = np.searchsorted(self.keys, (slot << 32) | np.maximum(position - distance, 0))
         low = np.minimum(low, len(self.keys) - 1)
-        return (slot >= 0) & (self.keys[low] >> 32 == slot) & ((self.keys[low] & 0xFFFFFFFF) <= position + distance)
+        return (slot >= 0) & (self.keys[low] >> 32 == slot) & (np.abs((self.keys[low] & 0xFFFFFFFF) - position) <= distance)
 
     def matches(self, passages: Passages, distance: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Documents, windows and places of all matches: the start of a phrase, or the rarest term's position."""
