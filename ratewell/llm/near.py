@@ -11,9 +11,10 @@
    one of each set is confirmed on the full sets first.
 4. Components of those links are formed.  Buckets inside one component are
    settled.  In the others, the rows outside the largest component are compared
-   with all rows of other components, in blocks of bounded size, with bit counts
-   of the sketches.  All pairs left are confirmed on the full sets and
-   the components are completed.
+   with all rows of other components, in blocks of bounded size: by bit counts
+   of the sketches, and the pairs left on their full sets, or, where such rows
+   are many, by products of incidence matrices of the full sets at once, so that no
+   row travels once per pair.  Then the components are completed.
 
 A pair with the asked similarity shares a band with probability ``1 - MISS``
 or more, and every such pair is confirmed or lies within a component already, so
@@ -42,7 +43,10 @@ MISS = 1e-7
 ROWS = 4
 BITS = 512
 WORDS = BITS // 64
-BLOCK = 256
+#: A block holds at most so many rows, and about so many shingles where full sets are compared.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 17
+#: Buckets with more rows outside the largest component are compared on full sets at once.
+DENSE = 16
 #: Standard deviations that the sketch filter allows.
 SLACK = 6
 
@@ -177,24 +181,28 @@ def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return met.where(F.expr(f"{den} * both >= {num} * (size(one) + size(two) - both)")).select("u", "v")
 
 
-def _unsettled(met: DataFrame, comps: DataFrame) -> DataFrame:
-    """Rows of buckets with several components, dealt to cells: (cell, rep, comp, small).
+def _unsettled(met: DataFrame, comps: DataFrame, sides: DataFrame) -> DataFrame:
+    """Rows of buckets with several components, dealt to cells: (dense, key, i, j, both_small, rep, comp, left).
 
     Rows outside the largest component of a bucket are small.  A cell holds a block of
     small rows and another block of the same bucket, so it is bounded; the rows of the
     largest component go to as many cells as there are blocks of small rows.
     """
-    met = met.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("comp")
+    named = sides.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    named = written(named.select("rep", F.coalesce("component", "rep").alias("comp"), "n"), "set-components")
+    met = written(met.join(named, "rep").select("key", "rep", "comp", "n"), "bucket-rows")
+    per = met.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("n").alias("s"))
+    per = per.groupBy("key").agg(
+        F.max_by("comp", F.struct("n", "comp")).alias("most"), F.max("n").alias("n_big"), F.max_by("s", F.struct("n", "comp")).alias("s_big"),
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("comps"),
     )
-    met = written(met, "bucket-rows")
-    per = met.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    per = per.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("most"), F.max("n").alias("n_big"), F.sum("n").alias("n"), F.count("*").alias("comps"))
-    per = written(per.where("comps > 1").select("key", "most", "n_big", F.expr("n - n_big").alias("n_small")), "open-buckets")
-    rows = met.join(per, "key").select(
-        "key", "rep", "comp", (F.col("comp") != F.col("most")).alias("small"),
-        F.expr(f"int(ceil(n_small / {BLOCK}))").alias("ns"), F.expr(f"int(ceil(n_big / {BLOCK}))").alias("nb"),
+    blocks = "int(if(n - n_big > {dense}, greatest(ceil({n} / {rows}), ceil({s} / {shingles})), ceil({n} / {rows})))"
+    sizes = {"dense": DENSE, "rows": BLOCK, "shingles": BLOCK_SHINGLES}
+    per = per.where("comps > 1").select(
+        "key", "most", F.expr(f"n - n_big > {DENSE}").alias("dense"),
+        F.expr(blocks.format(n="(n - n_big)", s="(s - s_big)", **sizes)).alias("ns"), F.expr(blocks.format(n="n_big", s="s_big", **sizes)).alias("nb"),
     )
+    rows = met.drop("n").join(written(per, "open-buckets"), "key").withColumn("small", F.col("comp") != F.col("most"))
     rows = rows.withColumn("own", F.expr("if(small, pmod(xxhash64(rep), ns), pmod(xxhash64(rep), nb))").cast("int"))
     cells = F.expr(
         """if(small,
@@ -202,31 +210,50 @@ def _unsettled(met: DataFrame, comps: DataFrame) -> DataFrame:
                     transform(sequence(0, nb - 1), j -> struct(own as i, j as j, false as both_small))),
              transform(sequence(0, ns - 1), i -> struct(i as i, own as j, false as both_small)))"""
     )
-    rows = rows.select("key", "rep", "comp", "small", "own", F.explode(cells).alias("c"))
-    return rows.select("key", F.col("c.i").alias("i"), F.col("c.j").alias("j"), F.col("c.both_small").alias("both_small"), "rep", "comp", (F.col("small") & (F.col("own") == F.col("c.i"))).alias("left"))
+    rows = rows.select("dense", "key", "rep", "comp", "small", "own", F.explode(cells).alias("c"))
+    return rows.select("dense", "key", "c.i", "c.j", "c.both_small", "rep", "comp", (F.col("small") & (F.col("own") == F.col("c.i"))).alias("left"))
 
 
-def _pairs_in_cells(rows: DataFrame, num: int, den: int, limit: int) -> DataFrame:
-    """Pairs of different components in a cell whose sketches and sizes allow the similarity."""
+CELL = ("key", "i", "j", "both_small")
+
+
+def _by_cell(work):
+    """Calls `work` with a table of whole cells and the numbers of their first rows; rows come sorted by cell."""
 
     def run(batches):
         held = []
         for batch in batches:
             table = pa.Table.from_batches([*held, batch])
-            cell = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j", "both_small")], axis=1)
+            cell = np.stack([table.column(c).to_numpy().astype(np.int64) for c in CELL], axis=1)
             cuts = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
             done = int(cuts[-1]) if len(cuts) else 0
             if done:
-                yield from pairs(table.slice(0, done), np.concatenate(([0], cuts)))
+                yield from work(table.slice(0, done).combine_chunks(), np.concatenate(([0], cuts)))
             held = table.slice(done).to_batches()
         if held:
-            table = pa.Table.from_batches(held)
-            yield from pairs(table, np.array([0, table.num_rows]))
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield from work(table, np.array([0, table.num_rows]))
+
+    return run
+
+
+def _column(table: pa.Table, name: str):
+    column = table.column(name)
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def _edges(us: list, vs: list):
+    if us:
+        found = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
+
+
+def _pairs_in_cells(rows: DataFrame, num: int, den: int, limit: int) -> DataFrame:
+    """Pairs of different components in a cell whose sketches and sizes allow the similarity."""
 
     def pairs(table, cuts):
         ids, comp, n, left = (table.column(c).to_numpy() for c in ("rep", "comp", "n", "left"))
-        flat = table.column("sketch").combine_chunks()
-        sketch = np.asarray(flat.flatten()).view(np.uint64).reshape(-1, WORDS)
+        sketch = np.asarray(_column(table, "sketch").flatten()).view(np.uint64).reshape(-1, WORDS)
         us, vs = [], []
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             rows = np.arange(lo, hi)
@@ -240,12 +267,67 @@ def _pairs_in_cells(rows: DataFrame, num: int, den: int, limit: int) -> DataFram
             x, y = x[bits <= limit], y[bits <= limit]
             us.append(np.maximum(ids[x], ids[y]))
             vs.append(np.minimum(ids[x], ids[y]))
-        if us:
-            found = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
+        yield from _edges(us, vs)
+
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(_by_cell(pairs), "u bigint, v bigint")
+
+
+def common(sets: list[np.ndarray], left: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets at `left` with all sets."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times > 1
+    number = np.cumsum(often) - 1
+    keep = often[code]
+    owner, code = owner[keep], number[code[keep]]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    both = np.zeros((len(left), len(sets)), dtype=np.float32)
+    total = int(often.sum())
+    for lo in range(0, total, 4096):
+        a, b = np.searchsorted(code, (lo, lo + 4096))
+        grid = np.zeros((len(sets), min(4096, total - lo)), dtype=np.float32)
+        grid[owner[a:b], code[a:b] - lo] = 1
+        both += grid[left] @ grid.T
+    return both.astype(np.int64)
+
+
+def _links_in_cells(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between different components in a cell, confirmed on the full sets; no more than connect the components."""
+
+    def links(table, cuts):
+        ids, comp, left = (table.column(c).to_numpy() for c in ("rep", "comp", "left"))
+        column = _column(table, "set")
+        flat, at = np.asarray(column.flatten()), np.concatenate(([0], np.cumsum(np.asarray(column.value_lengths()))))
+        us, vs = [], []
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            rows = np.arange(lo, hi)
+            a = np.flatnonzero(left[lo:hi])
+            if not len(a):
+                continue
+            both = common([flat[at[i] : at[i + 1]] for i in rows], a)
+            n = at[rows + 1] - at[rows]
+            ok = (comp[rows[a]][:, None] != comp[rows][None, :]) & (den * both >= num * (n[a][:, None] + n[None, :] - both))
+            x, y = np.nonzero(ok)
+            x, y = rows[a[x]], rows[y]
+            ends = np.stack([np.maximum(comp[x], comp[y]), np.minimum(comp[x], comp[y])], axis=1)
+            _, first = np.unique(ends, axis=0, return_index=True)
+            root = {}
+            for k in first.tolist():  # one link for each pair of components, and none that closes a ring
+                u, v = (_root(root, int(c)) for c in ends[k])
+                if u != v:
+                    root[max(u, v)] = min(u, v)
+                    us.append(np.maximum(ids[x[k : k + 1]], ids[y[k : k + 1]]))
+                    vs.append(np.minimum(ids[x[k : k + 1]], ids[y[k : k + 1]]))
+        yield from _edges(us, vs)
+
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(_by_cell(links), "u bigint, v bigint")
+
 
-    by = ("key", "i", "j", "both_small")
-    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "u bigint, v bigint")
+def _root(parent: dict[int, int], x: int) -> int:
+    while parent.get(x, x) != x:
+        x = parent[x]
+    return x
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -290,10 +372,10 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     links = links.unionAll(same_id)
     comps = written(components(links), "first-components")
 
-    cells = _unsettled(met, comps).join(sides, "rep")
-    more = _pairs_in_cells(cells, num, den, limit)
-    more = written(more.distinct(), "cross-pairs")
-    more = written(confirmed(more, sets, num, den), "more-links")
+    cells = _unsettled(met, comps, sides)
+    few = written(_pairs_in_cells(cells.where("not dense").join(sides, "rep"), num, den, limit).distinct(), "cross-pairs")
+    many = cells.where("dense").join(sets.withColumnRenamed("id", "rep"), "rep")
+    more = written(confirmed(few, sets, num, den).unionAll(_links_in_cells(many, num, den)), "more-links")
     if not more.isEmpty():
         comps = written(components(comps.select(F.col("id").alias("u"), F.col("component").alias("v")).unionAll(more)), "components")
 
