@@ -43,8 +43,10 @@ def resolve_versions(requests: DataFrame, versions: DataFrame, pointer: DataFram
     newest, then the default store.
     """
     known = versions.select(F.col("version").cast("string").alias("_known")).distinct()
+    # Requests that ask for none are spread over keys that no version has.
+    key = F.coalesce(F.col(asked), F.concat(F.lit("\0"), F.pmod(F.xxhash64(*requests.columns), F.lit(256)).cast("string")))
     active = pointer.agg(F.max(F.col("version").cast("string")).alias("v")).scalar()
-    joined = requests.join(known, requests[asked] == known["_known"], "left")
+    joined = requests.join(known, key == known["_known"], "left")
     joined = joined.withColumns({"_active": active, "_latest": latest_version(versions)})
     source = (
         F.when(F.col("_known").isNotNull(), "explicit")

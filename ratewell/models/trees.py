@@ -1,6 +1,6 @@
 """Level-wise histogram trees on DataFrames.
 
-Features are cut into at most 256 bins once.  For every level one job sends
+Features are cut once, at 255 edges at most, so that a bin number fits a byte.  For every level one job sends
 the sums per (tree, node, feature, bin) of each task to a shuffle that adds
 them up; the driver sees only that table, whose size depends on nodes,
 features and bins and never on rows.  Where a row stands in a tree is worked
@@ -27,7 +27,8 @@ from ..functions.measures import sketched_quantiles
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_CELLS = 2_000_000
-MAX_BINS = 256
+#: Edges per feature; bin numbers go from 0 to the number of edges.
+MAX_BINS = 255
 
 
 # --- binning
@@ -48,12 +49,14 @@ def fit_edges(df: DataFrame, features: Sequence[str], max_bins: int = 64) -> lis
     edges = []
     for i in range(len(features)):
         marks = {row[f"lo{i}"], *(row[f"q{i}"] or [])} - {row[f"hi{i}"], None}
-        edges.append(np.array(sorted(marks), dtype="float64"))
+        edges.append(np.array(sorted(marks), dtype="float64") + 0.0)  # no negative zero
     return edges
 
 
 def bin_rows(df: DataFrame, features: Sequence[str], edges: Sequence[np.ndarray], keep: Sequence[str]) -> DataFrame:
     """``keep`` columns and ``bins``: one byte per feature, the number of edges below the value."""
+    if max(map(len, edges), default=0) > MAX_BINS:
+        raise ValueError(f"a feature can have at most {MAX_BINS} edges")
     kept = [f for f in df.select(*keep).schema.fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", bins binary"
     places = [f"_f{i}" for i in range(len(features))]
@@ -210,7 +213,9 @@ def grow(
     p, n_bins = len(n_edges), int(max(n_edges, default=0)) + 1
     trees = [Tree() for _ in range(n_trees)]
     usable = np.array([[b < n for b in range(n_bins)] for n in n_edges])
-    chunk = max(1, MAX_CELLS // (p * n_bins))
+    if p * n_bins > MAX_CELLS:
+        raise ValueError(f"{p} features with {n_bins} bins make more than {MAX_CELLS} sums a node; use fewer bins")
+    chunk = max(1, MAX_CELLS // max(1, p * n_bins))
 
     def best_split(t: int, n: int, sums: np.ndarray) -> bool:
         whole = sums[0].sum(axis=0)

@@ -144,7 +144,9 @@ def threshold_scan(
     """Class accuracies at every threshold of an even grid, in one pass.
 
     A row falls in the cell of the last threshold its score reaches; running
-    sums over the grid's cells then give all thresholds at once.
+    sums over the grid's cells then give all thresholds at once.  Rows of a class
+    from ``classes`` up have no rate of their own but count in the overall
+    accuracy like all others above 0; a row without class is never right.
     """
     step = (high - low) / (steps - 1)
 
@@ -158,17 +160,19 @@ def threshold_scan(
     down = (F.col("_g") >= 0) & (at(F.col("_g")) > F.col("_s"))
     reached = F.col("_g") + F.when(up, 1).when(down, -1).otherwise(0)
     cells = rows.groupBy((reached + 1).cast("int").alias("cell")).agg(
-        *[F.count_if(F.col("_k") == c).alias(f"k{c}") for c in range(classes)]
+        *[F.count_if(F.col("_k") == c).alias(f"k{c}") for c in range(classes)],
+        F.count_if(F.col("_k") >= classes).alias("k_more"),
+        F.count_if(F.col("_k").isNull() | (F.col("_k") < 0)).alias("k_none"),
     )
     grid = df.sparkSession.range(steps + 1).select(F.col("id").cast("int").alias("cell"))
-    ks = [f"k{c}" for c in range(classes)]
+    ks = [*[f"k{c}" for c in range(classes)], "k_more", "k_none"]
     dense = grid.join(cells, "cell", "left").na.fill(0, ks)
     to_here, all_ = W.orderBy("cell").rowsBetween(W.unboundedPreceding, 0), W.partitionBy()
     sums = dense.select(
         "cell", *[F.sum(k_).over(to_here).alias(f"{k_}_no") for k_ in ks], *[F.sum(k_).over(all_).alias(f"{k_}_all") for k_ in ks]
     ).where(F.col("cell") < steps)
     right = {c: F.col(f"k{c}_no") if c == 0 else F.col(f"k{c}_all") - F.col(f"k{c}_no") for c in range(classes)}
-    overall, total = right[0], F.col("k0_all")
+    overall, total = right[0] + F.col("k_more_all") - F.col("k_more_no"), F.col("k0_all") + F.col("k_more_all") + F.col("k_none_all")
     for c in range(1, classes):
         overall, total = overall + right[c], total + F.col(f"k{c}_all")
     class0 = ms.ratio_or_zero(right[0], F.col("k0_all"))
@@ -245,11 +249,12 @@ def to_long(wide: DataFrame, part: str) -> DataFrame:
     )
 
 
-def metric_table(df: DataFrame, actual: str = "actual", predicted: str = "predicted", weight: str | None = "weight", part: str = "dataset", probability: str | None = None, classes: int = 0) -> DataFrame:
+def metric_table(df: DataFrame, actual: str = "actual", predicted: str = "predicted", weight: str | None = "weight", part: str = "dataset", probability: str | None = None, classes: int | None = 0) -> DataFrame:
     """Long metric table over all parts.
 
     With a probability column it adds ROC AUC and average precision; with
-    ``classes`` the accuracy of each rounded class.  Actual and predicted must
+    ``classes`` the accuracy of each rounded class below it, or of every class
+    if it is None.  Actual and predicted must
     be in the same unit: a rate scored against counts gives numbers that mean
     nothing.
     """
@@ -257,8 +262,9 @@ def metric_table(df: DataFrame, actual: str = "actual", predicted: str = "predic
     if probability is not None:
         ranks = rank_scores(df, probability, F.col(actual) > 0, [part])
         out = out.unionByName(to_long(ranks.select(part, "auc", F.col("average_precision").alias("ap")), part))
-    if classes:
-        acc = class_accuracy(df, lb.rounded(actual), lb.rounded(predicted), [part]).where(F.col("class").between(0, classes - 1))
+    if classes is None or classes:
+        acc = class_accuracy(df, lb.rounded(actual), lb.rounded(predicted), [part])
+        acc = acc.where(F.col("class") >= 0 if classes is None else F.col("class").between(0, classes - 1))
         out = out.unionByName(
             acc.select(F.concat(F.col(part), F.lit("_class_"), F.col("class"), F.lit("_accuracy")).alias("metric"), F.col("accuracy").alias("value"))
         )

@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from ..functions.measures import sketched_quantiles
+from .relational import salted_lookup
 
 BUCKETS = 1024
 _STEPS = [2**i for i in range(10, -1, -1)]
@@ -87,10 +89,16 @@ def cumulative_counts(
 
 def row_numbers(df: DataFrame, value: str, tie: str, out: str = "number") -> DataFrame:
     """Number of every row in the order of a numeric column, then of ``tie``; from 1, without gaps."""
-    starts = cumulative_counts(df, value).select(F.col(value).alias("_v"), (F.col("n_to") - F.col("n")).alias("_start"))
-    joined = df.join(starts, df[value] == starts["_v"])
-    place = F.row_number().over(W.partitionBy("_v").orderBy(tie))
-    return joined.withColumn(out, (F.col("_start") + place).cast("bigint")).drop("_v", "_start")
+    # Ranges of (value, tie) cut through a value that many rows share; a row's number is its place in
+    # its range and the rows of the ranges before.
+    rows = df.where(F.col(value).isNotNull()).repartitionByRange(value, tie).sortWithinPartitions(value, tie)
+    rows = rows.withColumn("_place", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.withColumn("_range", F.shiftright("_place", 33))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    number = F.col("_start") + F.col("_place") - F.shiftleft(F.col("_range"), 33) + 1
+    return rows.join(starts, "_range").withColumn(out, number.cast("bigint")).select(*df.columns, out)
 
 
 def quantile_name(p: float) -> str:
@@ -154,15 +162,15 @@ def scalar_quantiles(df: DataFrame, wanted: Mapping[str, tuple[Column, float]])
 
 def percent_rank_average(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "percentile") -> DataFrame:
     """Rank within the group over its size; tied rows share the mean of their ranks."""
+    key = F.struct(*[F.col(c) for c in (*by, value)])
     ranks = cumulative_counts(df, value, by).select(
-        *[F.col(b).alias(f"_r_{b}") for b in by],
-        F.col(value).alias("_r_value"),
-        ((F.col("n_to") - F.col("n") + (F.col("n") + 1) / 2) / F.col("n_all")).alias(out),
+        key.alias("_tied"), ((F.col("n_to") - F.col("n") + (F.col("n") + 1) / 2) / F.col("n_all")).alias(out)
     )
-    on = df[value] == ranks["_r_value"]
-    for b in by:
-        on = on & df[b].eqNullSafe(ranks[f"_r_{b}"])
-    return df.join(ranks, on, "left").drop("_r_value", *[f"_r_{b}" for b in by])
+    # A value that many rows share is spread over tasks, and rows without value stay out of the lookup.
+    rows = df.withColumn("_tied", key)
+    ranked = salted_lookup(rows.where(F.col(value).isNotNull()), ranks, "_tied", F.struct(*df.columns))
+    missing = rows.where(F.col(value).isNull()).withColumn(out, F.lit(None).cast("double"))
+    return ranked.select(*df.columns, out).unionByName(missing.select(*df.columns, out))
 
 
 def flag_above_quantile(df: DataFrame, value: str, p: float, out: str) -> DataFrame:

@@ -52,7 +52,7 @@ def first_split(objective, label):
 
     def run(s, d):
         rows = clean(s, d).withColumn("any_event", lb.any_event("NUM_INJURIES"))
-        spec = bo.BoosterSpec(SPLIT_FEATURES, label, objective, n_estimators=1, max_depth=1, max_bins=256)
+        spec = bo.BoosterSpec(SPLIT_FEATURES, label, objective, n_estimators=1, max_depth=1, max_bins=tr.MAX_BINS)
         nodes = bo.fit_booster(rows, spec).nodes()
         return nodes.agg(
             F.max("feature").alias("feature"),
@@ -187,7 +187,7 @@ def register(reg: Registry) -> None:
     # --- Poisson trees
     split_features = ("AVG_EMP_TOTAL", "YEAR")
     def single_split(s, d):
-        spec = pt.TreeSpec(split_features, cp=0.0, max_depth=1, max_bins=256)
+        spec = pt.TreeSpec(split_features, cp=0.0, max_depth=1, max_bins=tr.MAX_BINS)
         root = pt.fit_poisson_tree(clean(s, d), spec).nodes().where("node = 0")
         return root.select("feature", "threshold", F.round("gain", 4).alias("gain"))
 

@@ -12,6 +12,8 @@ PARAM_PATH = r"([^/]+)/params/([^/]+)$"
 PARTITIONED_METRIC_PATH = r"run_id=([^/]+)/metric=([^/]+)/[^/]+$"
 PARTITIONED_PARAM_PATH = r"run_id=([^/]+)/param=([^/]+)/[^/]+$"
 
+FILES = 8
+
 
 def _lines(spark: SparkSession, path: str, whole: bool) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", True).option("wholetext", whole)
@@ -50,9 +52,11 @@ def write_metric_log(df: DataFrame, path: str) -> None:
     """Write (run_id, metric, ts_ms, value, step) rows as log lines, one folder per run and metric."""
     line = F.concat_ws(" ", F.col("ts_ms").cast("string"), F.col("value").cast("string"), F.col("step").cast("string"))
     rows = df.select("run_id", "metric", line.alias("value"))
-    rows.write.mode("append").partitionBy("run_id", "metric").text(path)
+    # At most FILES files for a run and metric, and no task with all rows of a frequent one.
+    dealt = rows.repartition("run_id", "metric", F.pmod(F.xxhash64("value"), F.lit(FILES)))
+    dealt.write.mode("append").partitionBy("run_id", "metric").text(path)
 
 
 def write_param_log(df: DataFrame, path: str) -> None:
     """Write (run_id, param, value) rows, one file per parameter."""
-    df.select("run_id", "param", "value").write.mode("append").partitionBy("run_id", "param").text(path)
+    df.select("run_id", "param", "value").repartition("run_id", "param").write.mode("append").partitionBy("run_id", "param").text(path)

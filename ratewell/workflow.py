@@ -174,7 +174,9 @@ def train(raw: DataFrame, root: str, plan: TrainingPlan = TrainingPlan(), roles:
     registry = ModelRegistry(spark, f"{root}/registry")
     # A few dozen rows.
     metrics = {r["metric"]: r["value"] for r in evaluate(bundle, parts, plan).collect()}
-    sizes = {f"{r['dataset']}_samples": r["count"] for r in parts.groupBy("dataset").count().collect()}
+    ends = ("_zero_count", "_nonzero_count")
+    names = {m.removesuffix(e) for m in metrics for e in ends if m.endswith(e)}
+    sizes = {f"{part}_samples": int(sum(metrics.get(part + e) or 0 for e in ends)) for part in names if part + ends[0] in metrics}
     params = {
         "objective": "two_stage" if plan.two_stage else "count:poisson", "model_type": "boosted", "n_estimators": plan.n_estimators,
         "max_depth": plan.max_depth, "learning_rate": plan.learning_rate, "random_state": plan.seed,

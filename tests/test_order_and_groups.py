@@ -154,3 +154,19 @@ def test_event_weights_sum_to_65(spark):
     assert ev.nonzero_macro(scores).first()["f1"] == pytest.approx(1.0)
     only_one = ev.class_scores(df.where("a = 1"), "a", "p")
     assert ev.event_weighted(only_one).first()["precision"] == pytest.approx(2 / 65)
+
+
+def test_hot_values_and_nulls(spark):
+    """One value on most rows, and rows without value."""
+    df = spark.range(400).selectExpr("id", "if(id % 10 = 0, double(id), if(id % 10 = 1, null, 5.0)) as v", "concat('t', lpad(string(399 - id), 3, '0')) as tie")
+    ranked = {r["id"]: r["pct"] for r in rk.percent_rank_average(df, "v", (), "pct").collect()}
+    values = sorted(r["v"] for r in df.collect() if r["v"] is not None)
+    for r in df.collect():
+        if r["v"] is None:
+            assert ranked[r["id"]] is None
+        else:
+            low, n = values.index(r["v"]), values.count(r["v"])
+            assert abs(ranked[r["id"]] - (low + (n + 1) / 2) / len(values)) < 1e-12
+    numbered = {r["id"]: r["number"] for r in rk.row_numbers(df, "v", "tie").collect()}
+    order = sorted((r["v"], r["tie"], r["id"]) for r in df.collect() if r["v"] is not None)
+    assert numbered == {row[2]: i + 1 for i, row in enumerate(order)}

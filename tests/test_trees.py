@@ -18,7 +18,7 @@ def rows(spark):
     return spark.createDataFrame(pdf).repartition(4).persist(), pdf
 
 
-SPEC = pt.TreeSpec(("a", "b", "rare"), count="y", exposure="hours", max_bins=256, cp=0.0)
+SPEC = pt.TreeSpec(("a", "b", "rare"), count="y", exposure="hours", max_bins=255, cp=0.0)
 
 
 def test_single_split_equals_brute_force(rows):
@@ -106,7 +106,7 @@ def test_loss_falls_and_predictions_fit(rows, objective, label):
 
 def test_one_full_step_of_squared_loss_gives_leaf_means(rows):
     df, pdf = rows
-    spec = bo.BoosterSpec(("a",), "y", "squared", n_estimators=1, max_depth=1, learning_rate=1.0, reg_lambda=0.0, max_bins=256)
+    spec = bo.BoosterSpec(("a",), "y", "squared", n_estimators=1, max_depth=1, learning_rate=1.0, reg_lambda=0.0, max_bins=255)
     got = bo.fit_booster(df, spec).predict(df).groupBy("prediction").agg(F.avg("y").alias("m")).collect()
     assert len(got) == 2 and all(r["prediction"] == pytest.approx(r["m"]) for r in got)
 
@@ -196,3 +196,21 @@ def test_weighted_variance_tree(rows):
     df, _ = rows
     model = se.weighted_tree(["a", "b"], "y", "hours").fit(df)
     assert model.predict(df).select("prediction").distinct().count() <= 8 and "If" in model.rules()
+
+
+@pytest.mark.parametrize("bins", [64, tr.MAX_BINS])
+def test_largest_values_keep_their_bin(spark, bins):
+    """A continuous column whose top values alone have the target: the first split is at the top for any number of bins."""
+    rows = spark.range(20_000).selectExpr("id", "double(id) as x", "double(id >= 19000) as y")
+    spec = bo.BoosterSpec(("x",), "y", "squared", n_estimators=1, max_depth=1, learning_rate=1.0, reg_lambda=0.0, max_bins=bins)
+    model = bo.fit_booster(rows, spec)
+    assert abs(model.nodes().where("node = 0").first()["threshold"] - 19_000) < 20_000 / bins
+    ends = {r["id"]: r["p"] for r in model.predict(rows, "p").where("id in (0, 19999)").collect()}
+    assert ends[0] < 0.05 and ends[19_999] > 0.7
+
+
+def test_more_edges_than_a_byte_can_number_are_refused(spark):
+    with pytest.raises(ValueError, match="edges"):
+        tr.bin_rows(spark.range(3).selectExpr("double(id) as x"), ["x"], [tr.np.arange(256.0)], ["x"])
+    with pytest.raises(ValueError, match="max_bins"):
+        tr.fit_edges(spark.range(3).selectExpr("double(id) as x"), ["x"], 256)
