@@ -58,6 +58,20 @@ def resolve_versions(requests: DataFrame, versions: DataFrame, pointer: DataFram
     return joined.withColumns({out: served, "source": source}).drop("_known", "_active", "_latest")
 
 
+def best_run(metrics: DataFrame, metric: str, version: str = "version") -> DataFrame:
+    """The version with the lowest value of a metric, and the value; of equal ones the smallest version."""
+    runs = metrics.where(F.col("metric") == metric)
+    best = F.min_by(F.struct(version, "value"), F.struct("value", F.col(version).cast("bigint"), version))
+    return runs.agg(best.alias("b")).where("b is not null").select("b.*")
+
+
+def mark_latest(versions: DataFrame, created: str = "created_at") -> DataFrame:
+    """Versions with status and active flag: the newest is in production, the others are archived."""
+    newest = versions.agg(F.max(F.struct(created, "version")).alias("m")).scalar()
+    last = F.struct(created, "version") == newest
+    return versions.select("version", created, F.when(last, "Production").otherwise("Archived").alias("status"), last.alias("is_active"))
+
+
 def export_runs(runs: DataFrame, first: int = 2) -> DataFrame:
     """Serving rows when nothing is registered: runs numbered by start, the last one in production.
 

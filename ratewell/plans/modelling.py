@@ -18,7 +18,7 @@ ROUNDS, DEPTH = 3, 3
 FEATURES = ("SEAM_HEIGHT", "AVG_EMP_TOTAL", "PCT_HRS_UNDERGROUND", "PCT_HRS_STRIP", "PCT_HRS_OFFICE")
 
 
-def _level_glm(s, d):
+def level_glm(s, d):
     rows = clean(s, d).select("MINE_ID", "COMMODITY", "NUM_INJURIES", "EMP_HRS_TOTAL")
     return rows, glm.fit_glm(rows, glm.GlmSpec((glm.category("COMMODITY"),), tol=1e-12))
 
@@ -36,6 +36,30 @@ def _glm_rows(s, d):
     return rows.withColumn("LOG_AVG_EMP_TOTAL", fx.log_positive("AVG_EMP_TOTAL"))
 
 
+def fitted_totals(s, d, kind):
+    """Per coefficient of the full model the sum of its column times the fitted counts: at the maximum of the
+    likelihood that of the counts themselves, and only there."""
+    rows = _glm_rows(s, d).withColumn("MINE_CHAR", fx.joined_levels("TYPE_OF_MINE", "COMMODITY"))
+    fitted = glm.fit_glm(rows, glm.GlmSpec(glm.full_model_terms(kind=kind), tol=1e-12))
+    columns = {n: c for t in fitted.spec.terms for n, c in glm._columns(t, fitted.levels)} | {"(Intercept)": F.lit(1.0)}
+    sums = fitted.predict(rows).agg(*[F.sum(c * F.col("prediction")).alias(f"s{i}") for i, c in enumerate(columns.values())])
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.round(F.col(f"s{i}"), 2).alias("total")) for i, n in enumerate(columns)])
+    return sums.select(F.explode(pairs).alias("p")).select("p.*")
+
+
+def totals_of_counts_sql(kind, level):
+    size = "ln(AVG_EMP_TOTAL)"
+    columns = {
+        "SEAM_HEIGHT": "SEAM_HEIGHT", "PCT_HRS_UNDERGROUND": "PCT_HRS_UNDERGROUND", "PCT_HRS_MILL_PREP": "PCT_HRS_MILL_PREP",
+        "PCT_HRS_OFFICE": "PCT_HRS_OFFICE", "LOG_AVG_EMP_TOTAL": size, "LOG_AVG_EMP_TOTAL:PCT_HRS_UNDERGROUND": f"{size} * PCT_HRS_UNDERGROUND",
+        "LOG_AVG_EMP_TOTAL:PCT_HRS_STRIP": f"{size} * PCT_HRS_STRIP", "(Intercept)": "1",
+    }
+    parts = [f"SELECT '{n}' AS name, round(CAST(sum(NUM_INJURIES * {x}) AS DOUBLE), 2) AS total FROM clean" for n, x in columns.items()]
+    parts.append(f"""SELECT '{kind}_' || {level} AS name, round(CAST(sum(NUM_INJURIES) AS DOUBLE), 2) AS total FROM clean
+        WHERE {level} <> (SELECT min({level}) FROM clean) GROUP BY 1""")
+    return with_clean(" UNION ALL ".join(parts))
+
+
 FULL_SPEC = glm.GlmSpec(glm.full_model_terms(kind="COMMODITY"), tol=1e-12)
 
 
@@ -99,7 +123,7 @@ def register(reg: Registry) -> None:
     # --- linear models
     reg.add(
         "j1_glm_by_level",
-        lambda s, d: _level_glm(s, d)[1].coefficients().select("name", F.round("estimate", 5).alias("estimate")),
+        lambda s, d: level_glm(s, d)[1].coefficients().select("name", F.round("estimate", 5).alias("estimate")),
         with_clean(f"SELECT name, round(estimate, 5) AS estimate FROM ({LEVEL_SQL})", totals=TOTALS_SQL),
     )
 
@@ -126,7 +150,7 @@ def register(reg: Registry) -> None:
         "SELECT unnest([" + ", ".join(f"'{n}'" for n in names) + "]) AS name, CAST(0 AS DOUBLE) AS score",
     )
     def level_response(s, d):
-        rows, fitted = _level_glm(s, d)
+        rows, fitted = level_glm(s, d)
         return fitted.predict(rows).select("MINE_ID", F.round("prediction", 5).alias("prediction"))
 
     reg.add(
@@ -136,7 +160,7 @@ def register(reg: Registry) -> None:
     )
     reg.add(
         "j3_glm_summary",
-        lambda s, d: _level_glm(s, d)[1]
+        lambda s, d: level_glm(s, d)[1]
         .coefficients()
         .select("name", F.round("estimate", 5).alias("estimate"), F.round("std_error", 5).alias("std_error"), F.round("z", 3).alias("z")),
         with_clean(
@@ -146,12 +170,12 @@ def register(reg: Registry) -> None:
     )
     reg.add(
         "i17_coefficient_effect",
-        lambda s, d: _level_glm(s, d)[1].coefficients().select("name", F.round("effect_pct", 4).alias("effect_pct")),
+        lambda s, d: level_glm(s, d)[1].coefficients().select("name", F.round("effect_pct", 4).alias("effect_pct")),
         with_clean(f"SELECT name, round(100 * (exp(estimate) - 1), 4) AS effect_pct FROM ({LEVEL_SQL})", totals=TOTALS_SQL),
     )
 
     def aic(s, d):
-        rows, fitted = _level_glm(s, d)
+        rows, fitted = level_glm(s, d)
         return rows.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(round(fitted.aic, 3)).alias("aic"))
 
     reg.add(
@@ -182,7 +206,7 @@ def register(reg: Registry) -> None:
         ),
         with_clean("SELECT MINE_ID, concat_ws(' ', TYPE_OF_MINE, COMMODITY) AS MINE_CHAR, round(PCT_HRS_OFFICE, 6) AS PCT_HRS_OFFICE FROM clean"),
     )
-    reg.add("j6_final_refit", lambda s, d: glm.fit_glm(_glm_rows(s, d), glm.GlmSpec(glm.full_model_terms())).coefficients())
+    reg.add("j6_final_refit", lambda s, d: fitted_totals(s, d, "MINE_CHAR"), totals_of_counts_sql("MINE_CHAR", "concat_ws(' ', TYPE_OF_MINE, COMMODITY)"))
 
     # --- Poisson trees
     split_features = ("AVG_EMP_TOTAL", "YEAR")
@@ -276,9 +300,9 @@ def register(reg: Registry) -> None:
         reg.add(name, first_split(objective, label), first_split_sql(objective, label))
 
     small = (
-        ("Boosted - Default", "booster", {"n_estimators": 2, "max_depth": 3, "learning_rate": 0.1}),
-        ("RandomForest", "forest", {"n_estimators": 5, "max_depth": 5}),
-        ("GradientBoosting", "gbt", {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.1}),
+        ("booster", {"n_estimators": 2, "max_depth": 3, "learning_rate": 0.1}),
+        ("forest", {"n_estimators": 5, "max_depth": 5}),
+        ("gbt", {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.1}),
     )
     reg.add(
         "j15_j16_sweep",
@@ -374,4 +398,4 @@ def register(reg: Registry) -> None:
         return out.groupBy("cls", "synthetic").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("x1"), "x1"))
 
     reg.add("e9_adaptive_oversampling", oversampled)
-    reg.add("d10_formula_terms", lambda s, d: (lambda r: r.select("name", r6("estimate")))(glm.fit_glm(_glm_rows(s, d), FULL_SPEC).coefficients()))
+    reg.add("d10_formula_terms", lambda s, d: fitted_totals(s, d, "COMMODITY"), totals_of_counts_sql("COMMODITY", "COMMODITY"))

@@ -2,34 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, Window as W
 
 from ..models import registry as mr
-from ..models.scoring import ColumnModel, Scorer
+from ..models.glm import FittedGlm
+from ..models.scoring import Scorer
 from ..operators import evaluate as ev
 from ..session import scratch_dir
 from ..sources import runlog as rl
-from .base import Registry, r6, scored, table, with_scored
+from .base import COMMODITIES, Registry, clean, r6, scored, table, with_clean, with_scored
+from .modelling import TOTALS_SQL, level_glm
 from .tables import METRIC_LOG_SQL, METRIC_SQL, metric_log
 
 
-def requests(s, d):
+def requests(events):
     """Scoring requests from the event log; every 23rd lacks its hours."""
-    e = table(s, d, "events")
-    return e.select(
+    kinds = F.array(*[F.lit(c) for c in COMMODITIES])
+    return events.select(
         F.col("event_id").cast("string").alias("MINE_ID"),
         F.year("ts").alias("YEAR"),
         F.col("user_id").cast("double").alias("AVG_EMPLOYEE_CNT"),
         F.when(F.col("event_id") % 23 != 0, F.col("value") * 1000).alias("HOURS_WORKED"),
+        F.get(kinds, (F.col("user_id") % len(COMMODITIES)).cast("int")).alias("COMMODITY"),
     )
 
 
-def scorer() -> Scorer:
-    return Scorer(ColumnModel(F.col("EMP_HRS_TOTAL") / 2000.0 * 0.03), "7")
+def scorer(s, d) -> Scorer:
+    """Fitted on the cleaned rows, registered, saved and loaded again by the version's path."""
+    fitted = level_glm(s, d)[1]
+    store = mr.ModelRegistry(s, scratch_dir(s, "registry"))
+    run = store.log_run({"model_type": "glm", "objective": "poisson"}, {"aic": fitted.aic}, fitted.names)
+    fitted.save(store.model_path(run))
+    version, path = store.resolve(store.register(run, "rate by commodity"))
+    return Scorer(FittedGlm.load(path, fitted.spec), version)
 
 
-OUTCOME_SQL = """SELECT CAST(event_id AS VARCHAR) AS mine_id, CASE WHEN event_id % 23 <> 0 THEN round(value * 1000 / 2000 * 0.03::DOUBLE, 6) END AS predicted_injury_rate,
-  CASE WHEN event_id % 23 = 0 THEN 'missing field: HOURS_WORKED' END AS reasons, '7' AS model_version FROM events"""
+OUTCOME_SQL = with_clean(
+    f"""SELECT CAST(event_id AS VARCHAR) AS mine_id, CASE WHEN event_id % 23 <> 0 THEN round(value * 1000 / 2000 * y / e, 5) END AS predicted_injury_rate,
+  CASE WHEN event_id % 23 = 0 THEN 'missing field: HOURS_WORKED' END AS reasons, '1' AS model_version
+  FROM events LEFT JOIN totals ON COMMODITY = list_extract({list(COMMODITIES)}, CAST(user_id % {len(COMMODITIES)} AS INTEGER) + 1)""",
+    totals=TOTALS_SQL,
+)
 
 # The event log as a registry: a day is a run and a version, its newest events are its metrics.
 DAY = "yyyy-MM-dd"
@@ -61,7 +74,11 @@ LATEST_SQL = f"SELECT run_id, metric, arg_max(value, (step, ts_ms)) AS value FRO
 
 
 def register(reg: Registry) -> None:
-    reg.add("k1_batch_score", lambda s, d: scorer().outcomes(requests(s, d)).withColumn("predicted_injury_rate", r6("predicted_injury_rate")), OUTCOME_SQL)
+    reg.add(
+        "k1_batch_score",
+        lambda s, d: scorer(s, d).outcomes(requests(table(s, d, "events"))).withColumn("predicted_injury_rate", F.round("predicted_injury_rate", 5)),
+        OUTCOME_SQL,
+    )
 
     def resolved(s, d):
         asked = table(s, d, "events").select(
@@ -79,24 +96,40 @@ def register(reg: Registry) -> None:
     )
 
     def logged(s, d):
+        """A run and a version per fold of the scored rows; the one with the lowest test error is active."""
         store = mr.ModelRegistry(s, scratch_dir(s, "registry"))
-        first = ev.metric_columns(scored(s, d)).where("dataset = 'test'").first().asDict()
-        names = s.read.parquet(f"{d}/lineitem.parquet").columns
-        run = store.log_run({"objective": "poisson", "model_type": "fixed"}, first, names, {"test_samples": first["zero_count"] + first["nonzero_count"]})
-        store.register(run, "first")
-        store.set_active(store.register(run, "second", activate=False))
+        hours = clean(s, d).groupBy(F.col("COMMODITY").alias("feature")).agg(F.sum("EMP_HRS_TOTAL").alias("h"))
+        share = hours.select("feature", (F.col("h") / F.sum("h").over(W.partitionBy())).alias("importance"))
+        names = sorted(share.toArrow().column("feature").to_pylist())
+        rows = scored(s, d).withColumn("fold", F.floor(F.col("MINE_ID") / 4) % 2).persist()
+        errors = {}
+        for fold in (0, 1):
+            found = ev.metric_table(rows.where(F.col("fold") == fold)).toArrow()
+            metrics = dict(zip(found.column("metric").to_pylist(), found.column("value").to_pylist(), strict=True))
+            run = store.log_run({"objective": "poisson", "model_type": f"fold {fold}"}, metrics, names, importance=share)
+            errors[store.register(run, f"fold {fold}", activate=False)] = metrics["test_rmse"]
+        rows.unpersist()
+        store.set_active(min(errors, key=errors.get))
         return store
 
-    reg.add(
-        "k3_log_run",
-        lambda s, d: logged(s, d).metrics.read().select("metric", r6("value")),
-        with_scored(f"SELECT substr(metric, 6) AS metric, value FROM ({METRIC_SQL}) WHERE metric LIKE 'test_%'"),
-    )
+    def fold_metrics(fold: int) -> str:
+        return METRIC_SQL.replace("FROM scored", f"FROM scored WHERE (MINE_ID // 4) % 2 = {fold}")
+
+    both = {f"fold{f}": f"SELECT '{f + 1}' AS version, 'fold {f}' AS description, metric, value FROM ({fold_metrics(f)})" for f in (0, 1)}
+    both["runs"] = "SELECT * FROM fold0 UNION ALL SELECT * FROM fold1"
+    both["listed"] = "SELECT version, description, max(value) FILTER (metric = 'test_rmse') AS test_rmse FROM runs GROUP BY 1, 2"
+    both["best"] = "SELECT version, description FROM listed ORDER BY test_rmse, version LIMIT 1"
+    both["shares"] = "SELECT COMMODITY AS name, sum(EMP_HRS_TOTAL) / (SELECT sum(EMP_HRS_TOTAL) FROM clean) AS importance FROM clean GROUP BY 1"
+
+    def by_version(s, d):
+        store = logged(s, d)
+        return store.metrics.read().join(store.versions.read().select("run_id", "version"), "run_id").select("version", "metric", r6("value"))
+
+    reg.add("k3_log_run", by_version, with_scored("SELECT version, metric, value FROM runs", **both))
     reg.add(
         "k4_register_and_activate",
-        lambda s, d: logged(s, d).list().select("version", "description", "is_active", F.col("test_rmse").isNull().alias("no_metric")),
-        """SELECT * FROM (VALUES ('1', 'first', false, true), ('2', 'second', true, true)) v(version, description, is_active, no_metric)
-        WHERE (SELECT count(*) FROM lineitem) > 0""",
+        lambda s, d: logged(s, d).list().select("version", "description", "is_active", r6("test_rmse")),
+        with_scored("SELECT version, description, version = (SELECT version FROM best) AS is_active, test_rmse FROM listed", **both),
     )
     reg.add(
         "k5_list_versions",
@@ -105,12 +138,19 @@ def register(reg: Registry) -> None:
         make_timestamp(any_value(created_ms) * 1000) AS created_at, version = (SELECT min(version) FROM ({VERSION_SQL})) AS is_active
         FROM ({VERSION_SQL}) LEFT JOIN ({LATEST_SQL}) USING (run_id) GROUP BY 1, 2""",
     )
-    reg.add("k6_model_info", lambda s, d: logged(s, d).info().withColumn("top_features", F.concat_ws(",", "top_features")).drop("last_updated"))
+    reg.add(
+        "k6_model_info",
+        lambda s, d: logged(s, d).info().withColumn("top_features", F.concat_ws(",", "top_features")).drop("last_updated"),
+        with_scored(
+            """SELECT version, description AS model_type, 'poisson' AS objective, (SELECT count(*) FROM shares) AS feature_count,
+            (SELECT string_agg(name, ',' ORDER BY name) FROM shares) AS top_features FROM best""",
+            **both,
+        ),
+    )
     reg.add(
         "k7_feature_list",
-        lambda s, d: logged(s, d).features(),
-        """SELECT CAST(ordinal_position - 1 AS INTEGER) AS index, column_name AS name, CAST(NULL AS DOUBLE) AS importance
-        FROM (SELECT row_number() OVER () AS ordinal_position, column_name FROM (DESCRIBE lineitem))""",
+        lambda s, d: logged(s, d).features().withColumn("importance", r6("importance")),
+        with_scored("SELECT CAST(row_number() OVER (ORDER BY name) - 1 AS INTEGER) AS index, name, round(importance, 6) AS importance FROM shares", **both),
     )
     numbered = f"""SELECT run_id, CAST(row_number() OVER (ORDER BY start_ms, run_id) + 1 AS VARCHAR) AS version, make_timestamp(start_ms * 1000) AS created_at,
       CASE WHEN row_number() OVER (ORDER BY start_ms DESC, run_id DESC) = 1 THEN 'Production' ELSE 'Archived' END AS status,

@@ -8,7 +8,7 @@ from ..operators.summary import LATENCY_BOUNDS
 from ..session import scratch_dir
 from ..streaming import jobs
 from .base import Registry, r6, table
-from .serving import OUTCOME_SQL, scorer
+from .serving import OUTCOME_SQL, requests, scorer
 
 
 def events_stream(s, d):
@@ -19,21 +19,16 @@ def events_stream(s, d):
 
 def register(reg: Registry) -> None:
     def scored_stream(s, d):
-        raw = events_stream(s, d).select(
-            F.col("event_id").cast("string").alias("MINE_ID"),
-            F.year("ts").alias("YEAR"),
-            F.col("user_id").cast("double").alias("AVG_EMPLOYEE_CNT"),
-            F.when(F.col("event_id") % 23 != 0, F.col("value") * 1000).alias("HOURS_WORKED"),
-        )
         path = scratch_dir(s, "scored")
-        jobs.score_stream(raw, scorer(), path, scratch_dir(s, "stream"))
+        model = scorer(s, d)
+        jobs.score_stream(requests(events_stream(s, d)), model, path, scratch_dir(s, "stream"))
         good = s.read.parquet(f"{path}/scored").select(
-            F.col("MINE_ID").alias("mine_id"), r6("predicted_injury_rate"), F.lit(None).cast("string").alias("reasons")
+            F.col("MINE_ID").alias("mine_id"), F.round("predicted_injury_rate", 5).alias("predicted_injury_rate"), F.lit(None).cast("string").alias("reasons")
         )
         bad = s.read.parquet(f"{path}/rejected").select(
             F.col("MINE_ID").alias("mine_id"), F.lit(None).cast("double").alias("predicted_injury_rate"), F.concat_ws("; ", "errors").alias("reasons")
         )
-        return good.unionByName(bad).withColumn("model_version", F.lit("7"))
+        return good.unionByName(bad).withColumn("model_version", F.lit(model.version))
 
     reg.add("l1_stream_scoring", scored_stream, OUTCOME_SQL)
 

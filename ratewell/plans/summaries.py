@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import features as fx, labels as lb, measures as ms
 from ..functions.hashing import hash_unit
+from ..models import registry as mr
 from ..operators import evaluate as ev, ranking as rk, relational as rel, splits as sp, summary as sm
 from .base import COMMODITIES, Registry, clean, mine_year, r6, scored, table, with_clean, with_mine, with_scored
 from .features import RATE_BIN_SQL
@@ -250,13 +251,9 @@ def register(reg: Registry) -> None:
         ),
     )
 
-    def best_run(s, d):
-        runs = run_metrics(s, d).where(F.col("metric") == "click")
-        return runs.agg(F.min_by(F.struct("version", "value"), F.struct("value", F.col("version").cast("bigint"))).alias("b")).select("b.*")
-
     reg.add(
         "h5_best_run",
-        best_run,
+        lambda s, d: mr.best_run(run_metrics(s, d), "click"),
         f"SELECT version, value FROM ({RUN_METRICS_SQL}) WHERE metric = 'click' ORDER BY value, CAST(version AS BIGINT) LIMIT 1",
     )
     reg.add(
@@ -271,17 +268,9 @@ def register(reg: Registry) -> None:
         ),
     )
 
-    def states(s, d):
-        ordered = versions(s, d)
-        newest = ordered.agg(F.max(F.struct("created_at", "version")).alias("m")).scalar()
-        last = F.struct("created_at", "version") == newest
-        return ordered.select(
-            "version", "created_at", F.when(last, "Production").otherwise("Archived").alias("status"), last.alias("is_active")
-        )
-
     reg.add(
         "h7_latest_version",
-        states,
+        lambda s, d: mr.mark_latest(versions(s, d)),
         f"""SELECT version, created_at, CASE WHEN rn = 1 THEN 'Production' ELSE 'Archived' END AS status, rn = 1 AS is_active
         FROM (SELECT *, row_number() OVER (ORDER BY created_at DESC, version DESC) AS rn FROM ({VERSIONS_SQL}))""",
     )

@@ -154,18 +154,28 @@ def register(reg: Registry) -> None:
         "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     )
 
-    def responses(s, d):
-        rows = table(s, d, "events").select("user_id", F.col("event_id").cast("string").alias("mine_id"), "value")
-        out = rq.batch_responses(rows, "user_id", "mine_id", "value", F.lit("2"))
-        return out.withColumn("average_predicted_rate", r6("average_predicted_rate"))
+    def answered(s, d):
+        return table(s, d, "events").select("user_id", F.col("event_id").cast("string").alias("mine_id"), "value")
 
     reg.add(
         "a12_batch_responses",
-        responses,
+        lambda s, d: rq.batch_responses(answered(s, d), "user_id", "mine_id", "value", F.lit("2"), 1_000_000).withColumn(
+            "average_predicted_rate", r6("average_predicted_rate")
+        ),
         """SELECT user_id, CAST(0 AS BIGINT) AS page, '[' || string_agg('{"mine_id":"' || event_id || '","predicted_injury_rate":'
           || CAST(value AS VARCHAR) || '}', ',' ORDER BY CAST(event_id AS VARCHAR)) || ']' AS predictions,
         round(avg(value), 6) AS average_predicted_rate, '2' AS model_version FROM events GROUP BY 1""",
     )
+    # One batch with nearly all entries, and some without batch.
+    one_batch = "CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 49 = 0 THEN user_id ELSE -1 END"
+    reg.add(
+        "a12_response_rows",
+        lambda s, d: rq.response_rows(answered(s, d).select(F.expr(one_batch.replace("event_id", "bigint(mine_id)")).alias("batch"), "mine_id", "value"), "batch", "mine_id", "value", F.lit("2")).withColumn(
+            "average_predicted_rate", r6("average_predicted_rate")
+        ),
+        f"""SELECT {one_batch} AS batch, CAST(event_id AS VARCHAR) AS mine_id, value AS predicted_injury_rate,
+        round(avg(value) OVER (PARTITION BY {one_batch}), 6) AS average_predicted_rate, '2' AS model_version FROM events""",
+    )
 
     def export_test_set(s, d):
         rows = clean(s, d)

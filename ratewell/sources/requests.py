@@ -14,7 +14,6 @@ ENTRY_SCHEMA = """MINE_ID string, MINE_NAME string, CURRENT_STATUS string, STATE
   AVG_EMPLOYEE_CNT_UNDERGROUND double, UNDERGROUND_HOURS double, AVG_EMPLOYEE_CNT_SURFACE double,
   SURFACE_HOURS double, INJURIES_COUNT int"""
 BATCH_SCHEMA = f"mines array<struct<{ENTRY_SCHEMA.replace(' string', ': string').replace(' double', ': double').replace(' int', ': int')}>>"
-PAGE_ROWS = 10_000
 
 
 def parse_batches(df: DataFrame, body: str, batch_id: str, schema: str = BATCH_SCHEMA, entries: str = "mines") -> DataFrame:
@@ -28,12 +27,19 @@ def parse_batches(df: DataFrame, body: str, batch_id: str, schema: str = BATCH_S
     return rows.select(batch_id, "entry_no", "_e.*")
 
 
-def batch_responses(df: DataFrame, batch_id: str, entity: str, prediction: str, version: Column, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """JSON answers per batch with the batch's mean.
+def response_rows(df: DataFrame, batch_id: str, entity: str, prediction: str, version: Column) -> DataFrame:
+    """One row per answered entry, with the mean of its batch: the form for batches of any size."""
+    sums = df.groupBy(batch_id).agg(F.avg(prediction).alias("average_predicted_rate"))
+    rows = salted_lookup(df, sums, batch_id, F.col(entity))
+    return rows.select(
+        batch_id, F.col(entity).cast("string").alias("mine_id"), F.col(prediction).alias("predicted_injury_rate"), "average_predicted_rate", version.alias("model_version")
+    )
+
+
+def batch_responses(df: DataFrame, batch_id: str, entity: str, prediction: str, version: Column, page_rows: int) -> DataFrame:
+    """JSON answers per batch with the batch's mean, in pages of about ``page_rows`` entries.
 
-    A batch of more than ``page_rows`` rows is answered in several pages, so
-    no array grows with the data; every page carries the mean of the whole
-    batch.
+    So no array grows with the data; every page carries the mean of the whole batch.
     """
     sums = df.groupBy(batch_id).agg(F.count(F.lit(1)).alias("_n"), F.avg(prediction).alias("average_predicted_rate"))
     sums = sums.withColumn("_pages", F.ceil(F.col("_n") / F.lit(page_rows)).cast("bigint"))

@@ -160,7 +160,7 @@ def test_search_starts_at_the_given_point_and_takes_the_best():
 def test_sweep_marks_the_best(rows):
     df, _ = rows
     parts = df.withColumn("dataset", F.when(F.col("id") % 4 == 0, "test").otherwise("train"))
-    configs = (("one", "booster", {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.5}), ("two", "forest", {"n_estimators": 3, "max_depth": 3}))
+    configs = (("booster", {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.5}), ("forest", {"n_estimators": 3, "max_depth": 3}))
     out = se.sweep(parts, ["a", "b", "rare"], "y", configs=configs).collect()
     best = [r for r in out if r["best"]]
     assert len(best) == 1 and best[0]["test_rmse"] == min(r["test_rmse"] for r in out)
@@ -172,11 +172,12 @@ def test_sweep_registers_and_activates_the_best(spark, rows, tmp_path):
     df, _ = rows
     parts = df.withColumn("dataset", F.when(F.col("id") % 4 == 0, "test").otherwise("train"))
     registry = ModelRegistry(spark, str(tmp_path / "reg"))
-    configs = (("weak", "booster", {"n_estimators": 1, "max_depth": 1, "learning_rate": 0.01}), ("strong", "gbt", {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.5}))
+    configs = (("booster", {"n_estimators": 1, "max_depth": 1, "learning_rate": 0.01}), ("gbt", {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.5}))
+    weak, strong = (se.label_of(*c) for c in configs)
     out = {r["model"]: r for r in se.sweep(parts, ["a", "b", "rare"], "y", registry, configs).collect()}
-    assert out["strong"]["best"] and registry.active() == out["strong"]["version"] == "2"
+    assert out[strong]["best"] and registry.active() == out[strong]["version"] == "2"
     listed = {r["version"]: r for r in registry.list().collect()}
-    assert listed["1"]["test_rmse"] == pytest.approx(out["weak"]["test_rmse"]) and listed["1"]["description"] == "Model version for weak"
+    assert listed["1"]["test_rmse"] == pytest.approx(out[weak]["test_rmse"]) and listed["1"]["description"] == f"Model version for {weak}"
     assert bo.Booster.load(registry.resolve("1")[1]).predict(df).count() == df.count()
 
 
