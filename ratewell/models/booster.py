@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import scratch_dir
 from . import trees as tr
 
 # Task code names functions, not the module: a module is looked up on the executor.
@@ -230,8 +231,9 @@ def fit_booster(df: DataFrame, spec: BoosterSpec, edges: list[np.ndarray] | None
     """Fit round by round; each level of a tree is one job over the binned rows.
 
     Scores of the rows are kept for the trees up to the last refresh; a task
-    adds the few trees since.  Each refresh starts from the binned rows, so
-    the plan stays as short as at the start.
+    adds the few trees since.  A refresh adds those to the scores of the one
+    before and writes the table to the shared folder, so the work of a round does
+    not grow with their number and the plan stays as short as at the start.
     """
     rows = _labelled(df, spec)
     edges = tr.fit_edges(rows, spec.features, spec.max_bins) if edges is None else edges
@@ -246,7 +248,10 @@ def fit_booster(df: DataFrame, spec: BoosterSpec, edges: list[np.ndarray] | None
         settled, current = 0, data.withColumn("_m", F.lit(base))
         for number in range(spec.n_estimators):
             if number - settled >= spec.refresh:
-                current, settled = _with_margin(data, [t.arrays() for t in grown], base, p).persist(StorageLevel.MEMORY_AND_DISK), number
+                path = scratch_dir(df.sparkSession, "scores")
+                _with_margin(current, [t.arrays() for t in grown[settled:]], p).write.parquet(path)
+                stored = df.sparkSession.read.parquet(path)
+                current, settled = tr.fewer_tasks(stored, sums["n"]).persist(StorageLevel.MEMORY_AND_DISK), number
                 held.append(current)
                 # The table before last is no longer read.
                 if len(held) > 2:
@@ -277,13 +282,15 @@ def fit_booster(df: DataFrame, spec: BoosterSpec, edges: list[np.ndarray] | None
             table.unpersist()
 
 
-def _with_margin(binned: DataFrame, arrays: Sequence, base: float, p: int) -> DataFrame:
+def _with_margin(scored: DataFrame, arrays: Sequence, p: int) -> DataFrame:
+    """The rows with more trees added to their scores."""
+
     def add(batches):
         for pdf in batches:
-            pdf["_m"] = _add_trees(np.full(len(pdf), base), unpack_bins(pdf["bins"], p), arrays)
+            pdf["_m"] = _add_trees(pdf["_m"].to_numpy(), unpack_bins(pdf["bins"], p), arrays)
             yield pdf
 
-    return binned.mapInPandas(add, "_y double, _w double, _u bigint, bins binary, _m double")
+    return scored.mapInPandas(add, "_y double, _w double, _u bigint, bins binary, _m double")
 
 
 def expand_vector(df: DataFrame, names: Sequence[str], vector: str = "features") -> DataFrame:

@@ -49,8 +49,11 @@ def _tagged(name: str):
     return lambda v: F.struct(F.lit(name).alias("c"), v.alias("v"))
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = (), sep: str = ", ") -> dict[str, dict[str, int]]:
-    """Rows per value of each text column and per label of each multi-label column: one pass."""
+def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = (), sep: str = ", ", max_levels: int = MAX_LEVELS) -> dict[str, dict[str, int]]:
+    """Rows per value of each text column and per label of each multi-label column: one pass.
+
+    A column with more than ``max_levels`` values is refused, not cut.
+    """
     out: dict[str, dict[str, int]] = {c: {} for c in [*columns, *labels]}
     if not out:
         return out
@@ -61,9 +64,11 @@ def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] =
     rows = df.select(F.explode(F.concat(*pairs)).alias("p")).select("p.c", "p.v")
     kept = rows.where(F.col("v").isNotNull() & ~(F.col("c").isin(list(labels)) & (F.col("v") == "")))
     counts = kept.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    limit = MAX_LEVELS * len(out)
+    limit = max_levels * len(out)
     for r in _bounded(counts.limit(limit + 1).collect(), "levels", limit):
         out[r["c"]][r["v"]] = r["n"]
+    for c, found in out.items():
+        _bounded(list(found), f"levels of {c}", max_levels)
     return out
 
 

@@ -86,25 +86,25 @@ def salted_lookup(rows: DataFrame, groups: DataFrame, key: str, spread: Column,
     return left.join(right, on).drop("_salt", "_lookup_salt", "_lookup_key")
 
 
-def _label_list(labels: DataFrame, column: str) -> Column:
+def _label_list(labels: DataFrame, column: str, most: int) -> Column:
     """All labels as one array; the table has one row per label already."""
-    listed = labels.limit(MAX_GRID_LABELS + 1).agg(
+    listed = labels.limit(most + 1).agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(column)).alias("v")).alias("s")
     )
     s = listed.scalar()
-    too_many = F.raise_error(F.lit(f"a grid takes at most {MAX_GRID_LABELS} labels a side"))
+    too_many = F.raise_error(F.lit(f"a grid takes at most {most} labels a side"))
     kind = f"array<{labels.schema[column].dataType.simpleString()}>"
-    return F.when(s.getField("n") > MAX_GRID_LABELS, too_many.cast(kind)).otherwise(s.getField("v"))
+    return F.when(s.getField("n") > most, too_many.cast(kind)).otherwise(s.getField("v"))
 
 
-def complete_grid(counts: DataFrame, left: str, right: str, value: str = "n", by: Sequence[str] = ()) -> DataFrame:
+def complete_grid(counts: DataFrame, left: str, right: str, value: str = "n", by: Sequence[str] = (), max_labels: int = MAX_GRID_LABELS) -> DataFrame:
     """Counts for every pair of labels seen on either axis, 0 where none occurred.
 
     ``counts`` is already aggregated, so the label lists are as small as the
-    grid's sides; a grid nobody could read raises instead of running on.
+    grid's sides; a grid with more than ``max_labels`` labels a side raises, nothing is cut.
     """
     labels = distinct_union(counts, [left, right], "_label")
-    axis = _label_list(labels, "_label")
+    axis = _label_list(labels, "_label", max_labels)
     groups = counts.select(*by).distinct() if by else counts.limit(1).select()
     grid = groups.select(*by, F.explode(axis).alias(left)).select("*", F.explode(axis).alias(right))
     keys = [*by, left, right]

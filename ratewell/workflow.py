@@ -9,10 +9,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import labels as lb
-from .models.booster import Booster, BoosterSpec, expand_vector, fit_booster
+from .models import search as se
+from .models.booster import Booster, BoosterSpec, expand_vector, fit_booster, with_params
 from .models.registry import ModelRegistry
 from .models.scoring import Scorer
-from .models.two_stage import TwoStage, fit_two_stage
+from .models.two_stage import TwoStage, fit_two_stage, three_parts
 from .operators import clean as cl, encode as en, evaluate as ev, features as ft, splits as sp
 from .roles import MINE, Roles
 from .sources import tables as tb
@@ -23,6 +24,8 @@ class TrainingPlan:
     """Settings of one training run."""
 
     test_size: float = 0.25
+    val_size: float = 0.2
+    search_points: int = 0
     seed: int = 1234
     n_estimators: int = 100
     max_depth: int = 5
@@ -105,7 +108,8 @@ def prepare(raw: DataFrame, root: str, plan: TrainingPlan = TrainingPlan(), role
         tb.write_snapshot(cl.basic_cleaning(raw, roles), f"{root}/processed")
         rows = tb.read_snapshot(spark, f"{root}/processed")
         stratum = lb.right_closed_bin(roles.rate)
-        return sp.stratified_split(rows, roles.key, stratum, 1 - plan.test_size, plan.seed)
+        parts = sp.stratified_split(rows, roles.key, stratum, 1 - plan.test_size, plan.seed)
+        return three_parts(parts, roles.key, share=plan.val_size, seed=plan.seed + 1)
 
     if not reuse:
         tb.write_snapshot(build(), f"{root}/features", "dataset")
@@ -115,7 +119,11 @@ def prepare(raw: DataFrame, root: str, plan: TrainingPlan = TrainingPlan(), role
 
 
 def fit_bundle(parts: DataFrame, stats: dict[str, float], plan: TrainingPlan = TrainingPlan(), roles: Roles = MINE) -> ModelBundle:
-    """Encoder fitted on the training part, then one model or two stages on the rate."""
+    """Encoder fitted on the training part, then one model or two stages on the rate.
+
+    With ``search_points`` the parameters of both stages are first chosen among so many
+    points by their loss on the validation part.
+    """
     featured = ft.build_features(parts, roles, stats=stats)
     train = featured.where(F.col("dataset") == "train")
     groups = en.feature_groups(featured, roles)
@@ -135,7 +143,10 @@ def fit_bundle(parts: DataFrame, stats: dict[str, float], plan: TrainingPlan = T
     )
     try:
         if plan.two_stage:
-            bundle.model = fit_two_stage(matrix, roles.rate, spec, roles.key, plan.positive_weight, plan.oversample)
+            first, second, weight_of_yes = spec, None, plan.positive_weight
+            if plan.search_points:
+                first, second, weight_of_yes = _searched(bundle, matrix, parts, spec, plan, columns)
+            bundle.model = fit_two_stage(matrix, roles.rate, first, roles.key, weight_of_yes, plan.oversample, second)
         else:
             bundle.model = fit_booster(matrix, replace(spec, objective="poisson", weight="_weight"))
     finally:
@@ -143,8 +154,25 @@ def fit_bundle(parts: DataFrame, stats: dict[str, float], plan: TrainingPlan = T
     return bundle
 
 
+def _searched(bundle: ModelBundle, train: DataFrame, parts: DataFrame, spec: BoosterSpec, plan: TrainingPlan, columns: list[str]) -> tuple[BoosterSpec, BoosterSpec, float]:
+    """Parameters of both stages with the least loss on the validation part."""
+    r = bundle.roles
+    spec = replace(spec, key=r.key)
+    val = bundle.matrix(parts.where(F.col("dataset") == "val")).select(r.key, *columns, r.rate).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yes = se.search(se.classifier_loss(train, val, r.rate, spec), se.candidates(se.CLASSIFIER_SPACE, plan.search_points, plan.seed, se.CLASSIFIER_START)).best
+        some = [x.where(F.col(r.rate) > 0) for x in (train, val)]
+        size = se.search(se.regressor_loss(*some, r.rate, spec), se.candidates(se.REGRESSOR_SPACE, plan.search_points, plan.seed, se.REGRESSOR_START)).best
+    finally:
+        val.unpersist()
+    return with_params(spec, **yes), with_params(spec, **size), yes["scale_pos_weight"]
+
+
 def evaluate(bundle: ModelBundle, parts: DataFrame, plan: TrainingPlan = TrainingPlan()) -> DataFrame:
-    """(metric, value) over both parts; for two stages also ranks and, if asked for, the best threshold."""
+    """(metric, value) over all parts; for two stages also ranks and, if asked for, the best threshold.
+
+    The threshold is chosen on the validation part, which neither the fit nor the test uses.
+    """
     r = bundle.roles
     weight = (F.col(r.exposure) / F.lit(r.unit)).alias("weight")
     rows = bundle.matrix(parts)
@@ -156,9 +184,9 @@ def evaluate(bundle: ModelBundle, parts: DataFrame, plan: TrainingPlan = Trainin
     )
     out = ev.metric_table(scored, probability="injury_probability")
     if plan.optimize_threshold:
-        test = scored.where(F.col("dataset") == "test")
+        val = scored.where(F.col("dataset") == "val")
         best = ev.best_threshold(
-            ev.threshold_scan(test, "injury_probability", lb.class_from_rate("actual"), target=plan.target_class0_accuracy)
+            ev.threshold_scan(val, "injury_probability", lb.class_from_rate("actual"), target=plan.target_class0_accuracy)
         )
         names = ("threshold", "class0_accuracy", "overall_accuracy")
         pairs = F.array(*[F.struct(F.lit(f"best_{n}").alias("metric"), F.col(n).alias("value")) for n in names])

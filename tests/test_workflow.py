@@ -22,7 +22,8 @@ def test_train_register_and_score(spark, tmp_path, two_stage):
     assert info["feature_count"] == len(bundle.preprocessor.names) and len(info["top_features"]) == 10
     params = {r["param"]: r["value"] for r in ModelRegistry(spark, f"{root}/registry").params.read().collect()}
     parts = spark.read.parquet(f"{root}/features")
-    assert int(params["train_samples"]) + int(params["test_samples"]) == parts.count()
+    assert sum(int(params[f"{p}_samples"]) for p in ("train", "val", "test")) == parts.count()
+    assert {"val_rmse", "val_mae"} <= set(values)
 
     # New rows: no count, some without hours.
     requests = raw.drop("NUM_INJURIES").withColumn("EMP_HRS_TOTAL", F.when(F.col("MINE_ID") % 10 != 0, F.col("EMP_HRS_TOTAL")))
@@ -45,3 +46,18 @@ def test_stats_can_be_frozen(mines):
     a = ft.build_features(mines).select("MINE_ID", "HRS_PER_EMP", "LARGE_OPERATION")
     b = ft.build_features(mines, stats=stats).select("MINE_ID", "HRS_PER_EMP", "LARGE_OPERATION")
     assert a.exceptAll(b).count() == 0
+
+
+def test_search_within_training(spark, tmp_path, monkeypatch):
+    from ratewell.models import search as se
+
+    small = {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.2}
+    space = {"max_depth": se.Stepped(1, 3, 1)}
+    for stage, extra in (("CLASSIFIER", {"scale_pos_weight": 3.0}), ("REGRESSOR", {"variance_power": 1.1})):
+        monkeypatch.setattr(se, f"{stage}_START", small | extra)
+        monkeypatch.setattr(se, f"{stage}_SPACE", {**space, **{k: se.Uniform(v, v + 0.05) for k, v in extra.items()}, "n_estimators": se.Stepped(2, 3, 1)})
+    plan = wf.TrainingPlan(two_stage=True, oversample=False, search_points=2, n_estimators=50, register=False)
+    parts, stats = wf.prepare(mine_year(spark, SMALL), str(tmp_path), plan)
+    assert {r["dataset"] for r in parts.select("dataset").distinct().collect()} == {"train", "val", "test"}
+    model = wf.fit_bundle(parts, stats, plan).model
+    assert model.classifier.spec.n_estimators <= 3 and model.regressor.spec.n_estimators <= 3 and model.classifier.spec.scale_pos_weight >= 3.0
