@@ -139,5 +139,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = F.col("gone lines of a changed row")
     left = F.filter(_lines_of(F.col(f"`{text_col}`")), lambda line, i: ~F.exists(gone, lambda run: (i >= run["a"]) & (i < run["b"])))
     text = F.when(gone.isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(left, "\n"))
-    out = docs.join(runs, same, "left").withColumn(text_col, text)
+    # A merge join at every size: whether the deleted runs are few depends on the data.
+    out = docs.join(runs.hint("merge"), same, "left").withColumn(text_col, text)
     return out.withColumn("gone", F.coalesce(gone, F.expr("cast(array() as array<struct<a: bigint, b: bigint>>)"))).drop("id of a changed row", "hash of a changed row", "gone lines of a changed row")
