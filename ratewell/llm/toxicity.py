@@ -2,10 +2,10 @@
 
 Labelled texts become lists of hashed features: words, pairs of neighbours and
 pairs with one word between.  They are dealt to shards of bounded size; each
-shard runs FTRL-proximal with a rate per coordinate and L1 over its rows, starting
-from the state of the round before.  A coordinate's new state is the mean over the
-shards in which it occurred, so rare features are not thinned out.  The weights that L1 leaves
-are a sparse vector of at most ``2**HASH_BITS`` numbers, which is broadcast to score all texts.
+shard runs FTRL-proximal with a rate per coordinate and L1 some times over its rows.
+A coordinate's state is then the mean over the shards in which it occurred, so rare
+features are not thinned out.  Means are taken on the cluster; only the weights that L1
+leaves, a sparse vector, come to the driver and are broadcast to score all texts.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from .shared import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-HASH_BITS = 20
-ALPHA, BETA, L1, L2 = 1.5, 1.0, 2.5, 0.0
-ROUNDS = 2
+HASH_BITS = 22
+ALPHA, BETA, L1, L2 = 1.5, 1.0, 3.0, 0.0
+PASSES = 2
 #: Labelled rows that the model is fitted on at most, the first in the order of a hash of their id.
 MOST_LABELS = 30_000
 SHARD_ROWS = 6_000
@@ -50,19 +50,14 @@ def texts_features(column: pa.Array):
 class Ftrl:
     """State per coordinate: z (gradients less what the weights took up) and n (squared gradients)."""
 
-    def __init__(self, z: np.ndarray | None = None, n: np.ndarray | None = None) -> None:
-        self.z = np.zeros(1 << HASH_BITS) if z is None else z.copy()
-        self.n = np.zeros(1 << HASH_BITS) if n is None else n.copy()
+    def __init__(self) -> None:
+        self.z, self.n = np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS)
         self.seen = np.zeros(1 << HASH_BITS, dtype=bool)
 
-    def weights(self, at=slice(None)) -> np.ndarray:
-        z, n = self.z[at], self.n[at]
-        return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
-
     def learn(self, at: np.ndarray, label: float) -> None:
         """One row; coordinate 0 is the bias that every row has."""
         at = at if len(at) and at[0] == 0 else np.concatenate((np.zeros(1, at.dtype), at))
-        w = self.weights(at)
+        w = weights(self.z[at], self.n[at])
         g = chance(w.sum()) - label
         root = np.sqrt(self.n[at])
         self.n[at] += g * g
@@ -70,6 +65,10 @@ class Ftrl:
         self.seen[at] = True
 
 
+def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+
+
 def chance(x: float) -> float:
     return 1 / (1 + math.exp(-min(max(x, -35.0), 35.0)))
 
@@ -104,36 +103,32 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     lists, first, size = [], i + 1, 0
 
     rows = written(rows.mapInArrow(listed, "label double, shard int, turn bigint, at array<int>"), "toxic-features")
-    z, n = np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS)
-    for _ in range(ROUNDS):
-        state = docs.sparkSession.sparkContext.broadcast((z, n))
-        mixed = rows.groupBy("shard").applyInArrow(_learner(state), "at int, z double, n double")
-        mixed = mixed.groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
-        at = mixed.column("at").to_numpy()
-        z, n = z.copy(), n.copy()
-        z[at], n[at] = mixed.column("z").to_numpy(), mixed.column("n").to_numpy()
-        state.destroy()
-    return Ftrl(z, n).weights()
-
-
-def _learner(state):
+    learnt = rows.groupBy("shard").applyInArrow(_learner(), "at int, z float, n float")
+    mixed = learnt.groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).where(F.abs("z") > L1).toArrow()
+    out = np.zeros(1 << HASH_BITS)
+    out[mixed.column("at").to_numpy()] = weights(mixed.column("z").to_numpy(), mixed.column("n").to_numpy())
+    return out
+
+
+def _learner():
     def learnt(table: pa.Table) -> pa.Table:
-        model = Ftrl(*state.value)
+        model = Ftrl()
         table = table.sort_by("turn")
         column, label = table.column("at").combine_chunks(), table.column("label").to_numpy()
         flat, cut = np.asarray(column.values), np.asarray(column.offsets)
-        for i in range(len(label)):
-            model.learn(flat[cut[i] : cut[i + 1]], label[i])
+        for _ in range(PASSES):
+            for i in range(len(label)):
+                model.learn(flat[cut[i] : cut[i + 1]], label[i])
         at = np.flatnonzero(model.seen)
-        return pa.table({"at": at.astype(np.int32), "z": model.z[at], "n": model.n[at]})
+        return pa.table({"at": at.astype(np.int32), "z": model.z[at].astype(np.float32), "n": model.n[at].astype(np.float32)})
 
     return learnt
 
 
-def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, learnt: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and `score`, the chance of the label 1, of every text; null and empty texts get the bias alone."""
-    there = np.flatnonzero(weights)
-    sparse = docs.sparkSession.sparkContext.broadcast((there, weights[there].astype(np.float32)))
+    there = np.flatnonzero(learnt)
+    sparse = docs.sparkSession.sparkContext.broadcast((there, learnt[there].astype(np.float32)))
 
     def run(batches):
         dense = np.zeros(1 << HASH_BITS, dtype=np.float32)
