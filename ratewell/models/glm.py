@@ -12,6 +12,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 import numpy as np
+from pyspark import StorageLevel
+from pyspark.errors import UnsupportedOperationException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -89,7 +91,7 @@ class FittedGlm:
         try:
             s = self.model.summary
             spread = list(zip(s.coefficientStandardErrors, s.tValues, s.pValues))
-        except Exception:  # the solver that copes with dependent columns gives none
+        except UnsupportedOperationException:  # the solver that copes with dependent columns gives none
             spread = [(None, None, None)] * len(names)
         rows = [
             (n, float(v), *[None if x is None else float(x) for x in e], 100.0 * (float(np.exp(v)) - 1.0))
@@ -170,7 +172,11 @@ def fit_glm(df: DataFrame, spec: GlmSpec, levels: dict[str, list[str]] | None =
     rows = design(df, spec, levels).select(
         "_x", "_offset", F.col(spec.count).cast("double").alias("_y"), *([F.col(spec.weight).cast("double").alias("_w")] if spec.weight else [])
     )
-    return FittedGlm(spec, solver.fit(rows), feature_names(spec.terms, levels), levels)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return FittedGlm(spec, solver.fit(rows), feature_names(spec.terms, levels), levels)
+    finally:
+        rows.unpersist()
 
 
 @dataclass

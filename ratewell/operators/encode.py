@@ -49,10 +49,10 @@ def _tagged(name: str):
     return lambda v: F.struct(F.lit(name).alias("c"), v.alias("v"))
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = (), sep: str = ", ", max_levels: int = MAX_LEVELS) -> dict[str, dict[str, int]]:
+def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = (), sep: str = ", ", max_levels: int | None = None) -> dict[str, dict[str, int]]:
     """Rows per value of each text column and per label of each multi-label column: one pass.
 
-    A column with more than ``max_levels`` values is refused, not cut.
+    A column with more than ``max_levels`` values (``MAX_LEVELS`` unless given) is refused, not cut.
     """
     out: dict[str, dict[str, int]] = {c: {} for c in [*columns, *labels]}
     if not out:
@@ -64,6 +64,7 @@ def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] =
     rows = df.select(F.explode(F.concat(*pairs)).alias("p")).select("p.c", "p.v")
     kept = rows.where(F.col("v").isNotNull() & ~(F.col("c").isin(list(labels)) & (F.col("v") == "")))
     counts = kept.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    max_levels = MAX_LEVELS if max_levels is None else max_levels
     limit = max_levels * len(out)
     for r in _bounded(counts.limit(limit + 1).collect(), "levels", limit):
         out[r["c"]][r["v"]] = r["n"]
@@ -72,9 +73,9 @@ def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] =
     return out
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> dict[str, list[str]]:
     """Sorted distinct values of each text column."""
-    return {c: sorted(v) for c, v in value_counts(df, columns).items()}
+    return {c: sorted(v) for c, v in value_counts(df, columns, max_levels=max_levels).items()}
 
 
 def fit_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

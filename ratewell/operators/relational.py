@@ -97,14 +97,14 @@ def _label_list(labels: DataFrame, column: str, most: int) -> Column:
     return F.when(s.getField("n") > most, too_many.cast(kind)).otherwise(s.getField("v"))
 
 
-def complete_grid(counts: DataFrame, left: str, right: str, value: str = "n", by: Sequence[str] = (), max_labels: int = MAX_GRID_LABELS) -> DataFrame:
+def complete_grid(counts: DataFrame, left: str, right: str, value: str = "n", by: Sequence[str] = (), max_labels: int | None = None) -> DataFrame:
     """Counts for every pair of labels seen on either axis, 0 where none occurred.
 
     ``counts`` is already aggregated, so the label lists are as small as the
-    grid's sides; a grid with more than ``max_labels`` labels a side raises, nothing is cut.
+    grid's sides; a grid with more than ``max_labels`` labels a side (``MAX_GRID_LABELS`` unless given) raises, nothing is cut.
     """
     labels = distinct_union(counts, [left, right], "_label")
-    axis = _label_list(labels, "_label", max_labels)
+    axis = _label_list(labels, "_label", MAX_GRID_LABELS if max_labels is None else max_labels)
     groups = counts.select(*by).distinct() if by else counts.limit(1).select()
     grid = groups.select(*by, F.explode(axis).alias(left)).select("*", F.explode(axis).alias(right))
     keys = [*by, left, right]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -26,7 +28,9 @@ def local_session(app: str = "ratewell", cores: str = "*", partitions: int = 8)
 
 @lru_cache(maxsize=1)
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="ratewell-")
+    root = tempfile.mkdtemp(prefix="ratewell-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def shared_root(spark: SparkSession) -> str:
