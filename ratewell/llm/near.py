@@ -126,7 +126,7 @@ def signatures(rows: DataFrame, size: int, bands: int) -> DataFrame:
             for row, own in text_sets(batch.column(1), size):
                 found.append(own)
                 pending += len(own)
-                if pending >= 1 << 18 or row + 1 == len(ids):
+                if pending >= 1 << 18 or len(found) >= 4096 or row + 1 == len(ids):
                     yield result(ids.slice(first, row + 1 - first), found)
                     found, first, pending = [], row + 1, 0
 

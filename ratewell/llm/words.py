@@ -18,7 +18,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TILE = 1 << 20
 #: Texts are handled in chunks of about so many bytes; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 PRIME = 0x9E3779B97F4A7C15
 
 # A-Z become a-z, all other bytes stay.
