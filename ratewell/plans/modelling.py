@@ -10,11 +10,10 @@ from ..models import booster as bo, glm, poisson_tree as pt, search as se, trees
 from ..operators import clean as cl, encode as en, features as ft, relational as rel, resample as rs, splits as sp
 from ..roles import SHARE_COLUMNS
 from ..session import scratch_dir
+from ..workflow import feature_columns
 from .base import Registry, clean, r6, scored, with_clean, with_scored
 from .summaries import UNIT_SQL
 
-# Enough rounds to show the method; the library's defaults are the full-size ones.
-ROUNDS, DEPTH = 3, 3
 FEATURES = ("SEAM_HEIGHT", "AVG_EMP_TOTAL", "PCT_HRS_UNDERGROUND", "PCT_HRS_STRIP", "PCT_HRS_OFFICE")
 
 
@@ -68,6 +67,16 @@ def _parts(s, d):
     return sp.random_split(rows, "MINE_ID", 0.75, 42)
 
 
+def _encoded(s, d):
+    """The parts with their assembled features as number columns, those columns, and the features' names."""
+    rows = ft.build_features(sp.random_split(clean(s, d), "MINE_ID", 0.75, 42))
+    groups, own = en.feature_groups(rows), ("MINE_ID", "dataset")
+    kinds = [[c for c in groups[k] if c not in own] for k in ("categorical", "numeric", "labels")]
+    fitted = en.Preprocessor(*kinds).fit(rows.where("dataset = 'train'"))
+    columns = tuple(feature_columns(len(fitted.names)))
+    return bo.expand_vector(fitted.transform(rows), columns).drop("features"), columns, fitted.names
+
+
 SPLIT_FEATURES = ("AVG_EMP_TOTAL", "YEAR")
 
 
@@ -277,11 +286,12 @@ def register(reg: Registry) -> None:
 
     def boosted(objective, label, **params):
         def run(s, d):
-            rows = _parts(s, d).withColumn("any_event", lb.any_event("NUM_INJURIES"))
+            rows, columns, _ = _encoded(s, d)
+            rows = rows.withColumn("any_event", lb.any_event("NUM_INJURIES"))
             if objective == "tweedie":
                 rows = rows.where(F.col(label) > 0)
             train = rows.where("dataset = 'train'")
-            spec = bo.BoosterSpec(FEATURES, label, objective, n_estimators=ROUNDS, max_depth=DEPTH, **params)
+            spec = bo.BoosterSpec(columns, label, objective, **params)
             return bo.fit_booster(train, spec).staged_loss(train).select("trees", r6("loss"))
 
         return run
@@ -382,8 +392,8 @@ def register(reg: Registry) -> None:
     reg.add("f10_attach_names", attached, with_clean(" UNION ALL ".join(flags)))
 
     def round_trip(s, d):
-        rows = _parts(s, d)
-        model = bo.fit_booster(rows.where("dataset = 'train'"), bo.BoosterSpec(FEATURES, "NUM_INJURIES", n_estimators=2, max_depth=2))
+        rows, columns, _ = _encoded(s, d)
+        model = bo.fit_booster(rows.where("dataset = 'train'"), bo.BoosterSpec(columns, "NUM_INJURIES"))
         path = scratch_dir(s, "model")
         model.save(path)
         both = bo.Booster.load(path).predict(model.predict(rows, "a"), "b")
