@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import features as fx, labels as lb
 from ..functions.hashing import hash_unit
-from ..models import booster as bo, glm, poisson_tree as pt, search as se, trees as tr, two_stage as ts
+from ..models import booster as bo, glm, poisson_tree as pt, registry as mr, search as se, trees as tr, two_stage as ts
 from ..operators import clean as cl, encode as en, features as ft, relational as rel, resample as rs, splits as sp
 from ..roles import SHARE_COLUMNS
 from ..session import scratch_dir
@@ -309,30 +309,35 @@ def register(reg: Registry) -> None:
     ):
         reg.add(name, first_split(objective, label), first_split_sql(objective, label))
 
-    small = (
-        ("booster", {"n_estimators": 2, "max_depth": 3, "learning_rate": 0.1}),
-        ("forest", {"n_estimators": 5, "max_depth": 5}),
-        ("gbt", {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.1}),
-    )
-    reg.add(
-        "j15_j16_sweep",
-        lambda s, d: se.sweep(_parts(s, d), FEATURES, "INJ_RATE_PER2K", configs=small).select(
-            "place", "model", *[r6(c) for c in ("train_rmse", "test_rmse", "train_mae", "test_mae", "test_ll")], "best"
-        ),
-    )
+    def swept(s, d):
+        rows, columns, _ = _encoded(s, d)
+        store = mr.ModelRegistry(s, scratch_dir(s, "sweep"))
+        table = se.sweep(rows, columns, "INJ_RATE_PER2K", store)
+        return table.select(
+            "place", "model", "version", *[r6(c) for c in ("train_rmse", "test_rmse", "train_mae", "test_mae", "test_ll")], "best",
+            F.col("version").eqNullSafe(store.pointer.read().agg(F.max("version")).scalar()).alias("active"),
+        )
+
+    reg.add("j15_j16_sweep", swept)
+
+    SEARCH_POINTS = 10
+
+    def searched(loss, space, start, positive):
+        def run(s, d):
+            parts, columns, _ = _encoded(s, d)
+            rows = ts.three_parts(parts, "MINE_ID").select("MINE_ID", "dataset", "NUM_INJURIES", "INJ_RATE_PER2K", *columns)
+            rows = (rows.where("NUM_INJURIES > 0") if positive else rows).persist()
+            spec = bo.BoosterSpec(columns, "INJ_RATE_PER2K", key="MINE_ID")
+            value = loss(rows.where("dataset = 'train'"), rows.where("dataset = 'val'"), "INJ_RATE_PER2K", spec)
+            try:
+                return se.search(value, se.candidates(space, SEARCH_POINTS, start=start)).table()
+            finally:
+                rows.unpersist()
+
+        return run
 
-    def searched(s, d):
-        rows = ts.three_parts(_parts(s, d), "MINE_ID").where("NUM_INJURIES > 0").persist()
-        space = {"learning_rate": se.LogUniform(-5, -1), "max_depth": se.Stepped(2, 4, 1), "variance_power": se.Uniform(1.0, 1.2)}
-        spec = bo.BoosterSpec(FEATURES, "INJ_RATE_PER2K", "tweedie", n_estimators=2, key="MINE_ID")
-        loss = se.regressor_loss(rows.where("dataset = 'train'"), rows.where("dataset = 'val'"), "INJ_RATE_PER2K", spec)
-        points = se.candidates(space, 3, start={"learning_rate": 0.05, "max_depth": 3, "variance_power": 1.1})
-        try:
-            return se.search(loss, points).table()
-        finally:
-            rows.unpersist()
-
-    reg.add("j17_random_search", searched)
+    reg.add("j17_random_search", searched(se.regressor_loss, se.REGRESSOR_SPACE, se.REGRESSOR_START, True))
+    reg.add("j17_classifier_search", searched(se.classifier_loss, se.CLASSIFIER_SPACE, se.CLASSIFIER_START, False))
 
     def gate():
         return (F.col("score") >= 0.4).cast("int")

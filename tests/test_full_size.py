@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
-from ratewell.models import booster as bo
+from ratewell.models import booster as bo, search as se
 
 QUERIES = entry.queries()
 
@@ -34,3 +34,24 @@ def test_boosters_are_full_size(spark, monkeypatch, query):
     assert (spec.objective, spec.n_estimators, spec.max_depth, spec.max_bins) == (BOOSTERS[query], 100, 5, 64)
     assert len(spec.features) > 40 and set(spec.features) <= set(train.columns)
     assert "EMP_HRS_TOTAL" not in spec.features and "NUM_INJURIES" not in spec.features
+
+
+def test_sweep_fits_registers_and_activates_all(spark, monkeypatch):
+    fitted = []
+
+    def cheap(kind, params, df, features, label, seed=42):
+        fitted.append((kind, params))
+        return bo.fit_booster(df, bo.BoosterSpec(tuple(features), label, "squared", n_estimators=len(fitted), max_depth=1))
+
+    monkeypatch.setattr(se, "fit_kind", cheap)
+    rows = QUERIES["j15_j16_sweep"](spark, SMALL).orderBy("place").collect()
+    assert fitted == list(se.SWEEP) and [r["model"] for r in rows] == [se.label_of(*c) for c in se.SWEEP]
+    assert [r["version"] for r in rows] == ["1", "2", "3", "4", "5", "6"]
+    assert sum(r["best"] for r in rows) == 1 and [r["active"] for r in rows] == [r["best"] for r in rows]
+
+
+@pytest.mark.parametrize("query,stage", [("j17_random_search", "REGRESSOR"), ("j17_classifier_search", "CLASSIFIER")])
+def test_searches_try_ten_points_of_the_whole_space(spark, monkeypatch, query, stage):
+    (_, points), _ = asked(monkeypatch, se, "search", spark, query)
+    assert len(points) == 10 and points[0] == getattr(se, f"{stage}_START")
+    assert all(set(p) == set(getattr(se, f"{stage}_SPACE")) and p["n_estimators"] >= 100 for p in points)
