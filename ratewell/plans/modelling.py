@@ -354,20 +354,26 @@ def register(reg: Registry) -> None:
     )
 
     def two_stage(s, d):
-        rows = ts.three_parts(_parts(s, d), "MINE_ID")
-        spec = bo.BoosterSpec(FEATURES, "", n_estimators=2, max_depth=2)
-        model = ts.fit_two_stage(rows.where("dataset = 'train'"), "INJ_RATE_PER2K", spec, "MINE_ID", 3.0, oversample=False)
-        return rows, model
+        parts, columns, names = _encoded(s, d)
+        rows = ts.three_parts(parts, "MINE_ID")
+        model = ts.fit_two_stage(rows.where("dataset = 'train'"), "INJ_RATE_PER2K", bo.BoosterSpec(columns, ""), "MINE_ID")
+        return rows, model, dict(zip(columns, names))
 
     def frame(s, d):
-        rows, model = two_stage(s, d)
+        rows, model, _ = two_stage(s, d)
         out = ts.scored_frame(model, rows, "INJ_RATE_PER2K")
         return out.groupBy("dataset").agg(
             F.count(F.lit(1)).alias("n"), r6(F.avg("predicted"), "predicted"), r6(F.avg("injury_probability"), "injury_probability"), r6(F.avg("residual"), "residual")
         )
 
+    def stage_importance(s, d):
+        _, model, names = two_stage(s, d)
+        named = s.createDataFrame(list(names.items()), "feature string, name string")
+        table = model.importance().join(named, "feature").select("stage", F.col("name").alias("feature"), r6("importance"), "splits")
+        return table.orderBy(F.desc("importance"), "feature")
+
     reg.add("j20_scored_frame", frame)
-    reg.add("j21_stage_importance", lambda s, d: two_stage(s, d)[1].importance().withColumn("importance", r6("importance")))
+    reg.add("j21_stage_importance", stage_importance)
     reg.add("j22_evaluate_parts", lambda s, d: (lambda r: ts.evaluate_two_stage(r[1], r[0], "INJ_RATE_PER2K"))(two_stage(s, d)).select("metric", r6("value")))
     u42, u53 = UNIT_SQL.format(key="MINE_ID", seed=42), UNIT_SQL.format(key="MINE_ID", seed=53)
     reg.add(

@@ -1,10 +1,13 @@
 """Registered model queries do the whole job: what they ask of the library, without the long fits."""
 
+from dataclasses import replace
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SMALL
-from ratewell.models import booster as bo, search as se
+from ratewell.models import booster as bo, search as se, two_stage as ts
 
 QUERIES = entry.queries()
 
@@ -55,3 +58,26 @@ def test_searches_try_ten_points_of_the_whole_space(spark, monkeypatch, query, s
     (_, points), _ = asked(monkeypatch, se, "search", spark, query)
     assert len(points) == 10 and points[0] == getattr(se, f"{stage}_START")
     assert all(set(p) == set(getattr(se, f"{stage}_SPACE")) and p["n_estimators"] >= 100 for p in points)
+
+
+def test_two_stages_are_full_size_weighted_and_oversampled(spark, monkeypatch):
+    fits, fit = [], bo.fit_booster
+
+    def cheap(df, spec, edges=None):
+        fits.append((df, spec))
+        return fit(df, replace(spec, n_estimators=1, max_depth=1), edges)
+
+    monkeypatch.setattr(ts, "fit_booster", cheap)
+    table = QUERIES["j21_stage_importance"](spark, SMALL)
+    (yes, first), (size, second) = fits
+    assert (first.objective, second.objective) == ("logistic", "tweedie") and len(first.features) > 40
+    assert all((spec.n_estimators, spec.max_depth) == (100, 5) for spec in (first, second))
+    assert yes.where(F.col("_yes") == 1).select("_pw").distinct().first()[0] == 20
+    assert size.where("synthetic").count() > 0 and {r[0] for r in size.select("_sw").distinct().collect()} <= {1.0, 5.0, 10.0}
+    assert {r["stage"] for r in table.collect()} == {"classification", "regression"} and table.where("feature = 'SEAM_HEIGHT'").count() == 2
+
+
+@pytest.mark.parametrize("query", ["j20_scored_frame", "j22_evaluate_parts"])
+def test_two_stage_queries_use_the_defaults(spark, monkeypatch, query):
+    (_, _, spec, _), settings = asked(monkeypatch, ts, "fit_two_stage", spark, query)
+    assert settings == {} and spec == bo.BoosterSpec(spec.features, "") and len(spec.features) > 40
