@@ -198,8 +198,8 @@ def register(reg: Registry) -> None:
     )
 
     def stepwise(s, d):
-        terms = (glm.number("SEAM_HEIGHT"), glm.number("PCT_HRS_MILL_PREP"), glm.number("PCT_HRS_OFFICE"), glm.number("LOG_AVG_EMP_TOTAL"))
-        return glm.step_table(glm.step_aic(_glm_rows(s, d), glm.GlmSpec(terms))[1])
+        rows = _glm_rows(s, d).withColumn("MINE_CHAR", fx.joined_levels("TYPE_OF_MINE", "COMMODITY"))
+        return glm.step_table(glm.step_aic(rows, glm.GlmSpec(glm.full_model_terms()))[1])
 
     reg.add("j4_step_aic", stepwise)
     reg.add(
@@ -240,13 +240,13 @@ def register(reg: Registry) -> None:
     )
     reg.add(
         "j7_poisson_tree",
-        lambda s, d: pt.fit_poisson_tree(clean(s, d), pt.TreeSpec(FEATURES, cp=0.0005, max_depth=4)).nodes().select(
+        lambda s, d: pt.fit_poisson_tree(clean(s, d), pt.TreeSpec(FEATURES, cp=0.0005)).nodes().select(
             "node", "depth", "feature", r6("threshold"), r6("value"), r6("gain"), "rows"
         ),
     )
 
     def complexity(s, d):
-        spec = pt.TreeSpec(FEATURES, cp=0.0005, max_depth=4, max_bins=32)
+        spec = pt.TreeSpec(FEATURES, cp=0.0005)
         return pt.fit_with_complexity(clean(s, d), spec, "MINE_ID", folds=10)[1].table()
 
     reg.add("j8_complexity_table", complexity)
@@ -272,7 +272,7 @@ def register(reg: Registry) -> None:
     reg.add(
         "j10_tree_rules",
         lambda s, d: s.createDataFrame(
-            list(enumerate(pt.fit_poisson_tree(clean(s, d), pt.TreeSpec(FEATURES, cp=0.0005, max_depth=3)).rules())), "line int, rule string"
+            list(enumerate(pt.fit_poisson_tree(clean(s, d), pt.TreeSpec(FEATURES, cp=0.0005)).rules())), "line int, rule string"
         ),
     )
 

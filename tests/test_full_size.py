@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SMALL
-from ratewell.models import booster as bo, search as se, two_stage as ts
+from ratewell.models import booster as bo, glm, poisson_tree as pt, search as se, two_stage as ts
 
 QUERIES = entry.queries()
 
@@ -81,3 +81,14 @@ def test_two_stages_are_full_size_weighted_and_oversampled(spark, monkeypatch):
 def test_two_stage_queries_use_the_defaults(spark, monkeypatch, query):
     (_, _, spec, _), settings = asked(monkeypatch, ts, "fit_two_stage", spark, query)
     assert settings == {} and spec == bo.BoosterSpec(spec.features, "") and len(spec.features) > 40
+
+
+@pytest.mark.parametrize("query,name", [("j7_poisson_tree", "fit_poisson_tree"), ("j8_complexity_table", "fit_with_complexity"), ("j10_tree_rules", "fit_poisson_tree")])
+def test_poisson_trees_are_cut_by_cp_alone(spark, monkeypatch, query, name):
+    (_, spec, *_), _ = asked(monkeypatch, pt, name, spark, query)
+    assert (spec.max_depth, spec.max_bins, spec.cp) == (10, 64, 0.0005)
+
+
+def test_stepwise_starts_from_the_full_model(spark, monkeypatch):
+    (rows, spec), _ = asked(monkeypatch, glm, "step_aic", spark, "j4_step_aic")
+    assert spec.terms == glm.full_model_terms() and {c for t in spec.terms for c in t.columns} <= set(rows.columns)
