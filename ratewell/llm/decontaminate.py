@@ -11,7 +11,9 @@ terms need only be near the rarest one.  A document's postings lie in one row, s
 a search moves no postings between tasks.
 
 Passages are searched in blocks of items with a bounded number of words, so what is
-sent to the tasks is bounded whatever the size of the benchmark.
+sent to the tasks is bounded whatever the size of the benchmark.  Frequencies of all test
+terms are counted on the cluster, and a block gets those of its own terms; its hits are
+written before the next block is sent.
 """
 
 from __future__ import annotations
@@ -23,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import words
-from .shared import written
+from .shared import folder, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,6 +37,8 @@ WINDOW = 10
 BLOCK_WORDS = 200_000
 #: Distinct test terms up to which the index is limited to them; beyond, it holds every term.
 MOST_TERMS = 1_000_000
+#: Number of a document in the index.
+ROW = "row of the index"
 #: Positions that a task works on at a time.
 CHUNK_POSITIONS = 1 << 19
 
@@ -54,7 +59,7 @@ INDEX = [("n_words", "bigint"), ("terms", "array<bigint>"), ("counts", "array<in
 
 
 def build_index(docs: DataFrame, terms: np.ndarray | None = None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, `n_words`, and the postings `terms`, `counts` and `positions` of every document.
+    """The kept columns, `n_words`, the postings `terms`, `counts` and `positions`, and a number (ROW) of every document.
 
     `terms` (sorted hashes) limits the postings to those terms; None stores all.
     Null and empty texts have no words and no postings.
@@ -92,13 +97,17 @@ def build_index(docs: DataFrame, terms: np.ndarray | None = None, text_col: str
     for name, kind in INDEX:
         schema = schema.add(name, T.DataType.fromDDL(kind))
     out = schema.names
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(run, schema).withColumn(ROW, F.monotonically_increasing_id())
 
 
 def _list(at: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values.astype(kind.to_pandas_dtype()), kind))
 
 
+SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+NONE = np.zeros(0, np.int64)
+
+
 class Passages:
     """Distinct windows of a block of items, each with its terms from the rarest to the most frequent and their offsets."""
 
@@ -173,11 +182,14 @@ class Shard:
         doc, group = np.repeat(self.doc[lists], self.counts[lists]), np.repeat(group, self.counts[lists])
         found = []
         step = max(1, CHUNK_POSITIONS // 8)
-        for lo in range(0, len(posting), step):
-            part = slice(lo, lo + step)
-            n = np.diff(passages.first)[group[part]]
-            window = passages.windows[_span(passages.first[group[part]], n)]
-            d, at = np.repeat(doc[part], n), np.repeat(self.positions[posting[part]], n).astype(np.int64)
+        n = np.diff(passages.first)[group]
+        upto = np.cumsum(n)
+        # Pairs of a posting and a window of its term, so many at a time.
+        for lo in range(0, int(upto[-1]) if len(upto) else 0, step):
+            pair = np.arange(lo, min(lo + step, upto[-1]))
+            part = np.searchsorted(upto, pair, side="right")
+            window = passages.windows[passages.first[group[part]] + pair - (upto - n)[part]]
+            d, at = doc[part], self.positions[posting[part]].astype(np.int64)
             if distance is None:
                 at = at - passages.offsets[window, 0]
             for k in range(1, passages.terms.shape[1]):
@@ -204,78 +216,97 @@ def _shards(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Shard]]:
         first = last
 
 
-def frequencies(index: DataFrame, terms: np.ndarray | None) -> dict[int, int]:
-    """Postings per test term over the whole index; the result is as small as the list of terms."""
-    if terms is None or not len(terms):
-        return {}
+def frequencies(index: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
+    """(term, n): postings per test term over the whole index, a table however many terms there are."""
 
     def run(batches):
-        total = np.zeros(len(wanted.value), dtype=np.int64)
         for batch in batches:
             found, counts = (np.asarray(batch.column(c).flatten()) for c in ("terms", "counts"))
-            place = np.minimum(np.searchsorted(wanted.value, found), len(total) - 1)
-            known = wanted.value[place] == found
-            total += np.bincount(place[known], weights=counts[known], minlength=len(total)).astype(np.int64)
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted.value[there]), pa.array(total[there])], names=["term", "n"])
+            term, place = np.unique(found, return_inverse=True)
+            total = np.bincount(place, weights=counts, minlength=len(term)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(total)], names=["term", "n"])
 
-    wanted = index.sparkSession.sparkContext.broadcast(np.sort(terms.view(np.int64)))
     counted = index.select("terms", "counts").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    table = counted.toArrow()
-    return dict(zip(table.column("term").to_pylist(), table.column("n").to_pylist(), strict=True))
+    return written(counted.join(terms_of(items, text_col), "term", "left_semi"), "frequencies")
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int | None, np.ndarray]]]:
-    """Ids and word hashes of the items, in blocks of about BLOCK_WORDS words; a longer item is a block of its own."""
+def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[DataFrame, list[tuple[int | None, np.ndarray]]]]:
+    """Items, and their ids and word hashes, in blocks of about BLOCK_WORDS words; a longer item is a block of its own."""
     chosen = items.select(items[f"`{id_col}`"].alias("id"), items[f"`{text_col}`"].alias("text"))
     total = chosen.agg(F.sum(F.size(F.split("text", "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+")))).first()[0] or 0
     count = int(total // BLOCK_WORDS) + 1
     for b in range(count):
-        block = chosen.where(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == b).toArrow()
+        own = chosen.where(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == b)
+        block = own.toArrow()
         rows = []
         for first, last, data, at in words.chunks(block.column("text")):
             hashed, start = words.word_hashes(data, at, words.PLAIN)
             rows += [(block.column("id")[first + i].as_py(), hashed[start[i] : start[i + 1]]) for i in range(last - first)]
         if rows:
-            yield rows
+            yield own, rows
 
 
-def search(index: DataFrame, items: DataFrame, terms: np.ndarray | None = None, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, distance: int | None = None) -> DataFrame:
-    """The index without postings, with `spans` (start and end of hit words, merged) and `items` per document.
+def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, distance: int | None = None) -> DataFrame:
+    """The (written) index without postings, with `spans` (start and end of hit words, merged) and `items` per document.
 
     Every run of `window` item words is searched, or the whole item when it is shorter.
     `distance` None asks for exact phrases; a number asks for all terms of a run at most
     so many words from its rarest one, and a span is then the rarest term's word.
     """
-    frequency = frequencies(index, terms)
-    keep = [c for c in index.columns if c not in ("terms", "counts", "positions")]
-    found = index.withColumn("spans", F.expr("cast(array() as array<struct<a: bigint, b: bigint>>)"))
-    found = found.withColumn("items", F.expr(f"cast(array() as array<{items.schema[id_col].dataType.simpleString()}>)"))
-    for rows in _blocks(items, id_col, text_col):
-        passages = index.sparkSession.sparkContext.broadcast(Passages(rows, frequency, window))
-        found = found.mapInArrow(_searched(passages, distance), found.schema)
-    return found.select(*keep, "spans", "items")
+    frequency = frequencies(index, items, text_col)
+    keep = [c for c in index.columns if c not in ("terms", "counts", "positions", ROW)]
+    spans, names = "array<struct<a: bigint, b: bigint>>", f"array<{items.schema[id_col].dataType.simpleString()}>"
+    schema = f"`{ROW}` bigint, spans {spans}, items {names}"
+    kind = to_arrow_type(items.schema[id_col].dataType)
+    path = folder(index.sparkSession, "hits")
+    index.sparkSession.createDataFrame([], schema).write.parquet(path)
+    for own, rows in _blocks(items, id_col, text_col):
+        known = frequency.join(terms_of(own, "text"), "term", "left_semi").toArrow()
+        counts = dict(zip(known.column("term").to_pylist(), known.column("n").to_pylist(), strict=True))
+        passages = index.sparkSession.sparkContext.broadcast(Passages(rows, counts, window))
+        index.select(ROW, "terms", "counts", "positions").mapInArrow(_searched(passages, distance, kind), schema).write.mode("append").parquet(path)
+        passages.destroy()
+    hits = index.sparkSession.read.schema(schema).parquet(path).groupBy(ROW)
+    hits = hits.agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items")).mapInArrow(_joined, schema)
+    found = index.select(ROW, *[F.col(f"`{c}`") for c in keep]).join(hits, ROW, "left")
+    empty = {c: F.coalesce(c, F.expr(f"cast(array() as {kind})")) for c, kind in (("spans", spans), ("items", names))}
+    return found.withColumns(empty).select(*[F.col(f"`{c}`") for c in keep], "spans", "items")
+
+
+def _searched(passages, distance: int | None, kind: pa.DataType):
+    """Per document with hits in the block its number, its spans and the items."""
 
-
-def _searched(passages, distance: int | None):
     def run(batches):
         for batch in batches:
-            spans, items = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
+            rows, spans, items = [], [], []
+            number = batch.column(ROW)
             for first, _, shard in _shards(batch):
                 doc, window, at = shard.matches(passages.value, distance)
                 length = passages.value.length[window] if distance is None else np.ones(len(window), np.int64)
                 for d in np.unique(doc).tolist():
                     own = doc == d
-                    spans[first + d] = merged(spans[first + d], at[own], at[own] + length[own])
-                    names = {passages.value.names[k] for w in np.unique(window[own]).tolist() for k in passages.value.owners[w]}
-                    items[first + d] = sorted(names.union(items[first + d]), key=lambda x: (x is not None, x))
-            columns = [pa.array(spans, batch.schema.field("spans").type), pa.array(items, batch.schema.field("items").type)]
-            others = [batch.column(c) for c in batch.schema.names[:-2]]
-            yield pa.RecordBatch.from_arrays(others + columns, names=batch.schema.names)
+                    rows.append(number[first + d].as_py())
+                    spans.append(merged([], at[own], at[own] + length[own]))
+                    items.append(_sorted({passages.value.names[k] for w in np.unique(window[own]).tolist() for k in passages.value.owners[w]}))
+            columns = [pa.array(rows, pa.int64()), pa.array(spans, SPANS), pa.array(items, pa.list_(kind))]
+            yield pa.RecordBatch.from_arrays(columns, names=[ROW, "spans", "items"])
 
     return run
 
 
+def _joined(batches):
+    """Hits of several blocks in one document as ones."""
+    for batch in batches:
+        spans = [merged(x, NONE, NONE) for x in batch.column("spans").to_pylist()]
+        items = [_sorted(set(x)) for x in batch.column("items").to_pylist()]
+        columns = [batch.column(ROW), pa.array(spans, batch.schema.field("spans").type), pa.array(items, batch.schema.field("items").type)]
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+
+def _sorted(names: set) -> list:
+    return sorted(names, key=lambda x: (x is not None, x))
+
+
 def merged(spans: list[dict], starts: np.ndarray, ends: np.ndarray) -> list[dict]:
     """Old and new spans as ascending ones that neither overlap nor touch."""
     every = sorted([(s["a"], s["b"]) for s in spans] + list(zip(starts.tolist(), ends.tolist(), strict=True)))
@@ -296,12 +327,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "item_id", te
     under the id null.  Repeated rows are searched each; a repeated item id is one item.
     Empty tables give empty or unhit results.
     """
-    test_terms = terms_of(items, text_col)
-    terms = None
+    test_terms, terms = terms_of(items, text_col), None
     if test_terms.count() <= MOST_TERMS:
         terms = np.sort(np.asarray(test_terms.toArrow().column("term").combine_chunks()).astype(np.int64).view(np.uint64))
     index = written(build_index(docs, terms, doc_text, keep), "postings")
-    return search(index, items, terms, id_col, text_col, window, distance)
+    return search(index, items, id_col, text_col, window, distance)
 
 
 def clean(docs: DataFrame, items: DataFrame, most_words: int = 0, key: str = "doc_id", **settings) -> DataFrame:

@@ -126,6 +126,28 @@ def test_proximity(spark):
     assert near_by == {1, 2} and exactly == set()
 
 
+def test_proximity_starts_from_the_rarest_term_at_every_size(spark, monkeypatch):
+    near = [(i, f"a{i} x x x b{i} x x x c{i}") for i in range(8)]
+    docs = spark.createDataFrame(near + [(10 + i, f"a{i} c{i}") for i in range(8)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(8)], "item_id bigint, text string")
+    for most, words_ in ((decontaminate.MOST_TERMS, 1000), (3, 1000), (3, 5)):
+        monkeypatch.setattr(decontaminate, "MOST_TERMS", most)
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", words_)
+        got = {r.doc_id: ([(s.a, s.b) for s in r.spans], r["items"]) for r in decontaminate.contamination(docs, items, distance=5).collect()}
+        assert got == {i: ([(4, 5)], [i]) for i in range(8)} | {10 + i: ([], []) for i in range(8)}
+
+
+def test_a_frequent_anchor_meets_its_windows_in_bounded_steps(monkeypatch):
+    monkeypatch.setattr(decontaminate, "CHUNK_POSITIONS", 800)
+    seen, slot = [], decontaminate.Shard.slot
+    monkeypatch.setattr(decontaminate.Shard, "slot", lambda self, doc, term: seen.append(len(doc)) or slot(self, doc, term))
+    shard = decontaminate.Shard(np.array([1, 2]), np.array([0, 2]), np.array([300, 300]), np.r_[0:600:2, 1:600:2])
+    items = [(k, np.array([1, 2 if k == 0 else 10 + k]).view(np.uint64)) for k in range(50)]
+    passages = decontaminate.Passages(items, {1: 0, **{10 + k: 1 for k in range(50)}, 2: 1}, 2)
+    doc, window, at = shard.matches(passages, None)
+    assert max(seen) <= 100 and sorted(at.tolist()) == list(range(0, 600, 2)) and set(window.tolist()) == {0}
+
+
 # ---- 3
 
 
