@@ -5,11 +5,12 @@ scripts, adverts and the like, by element, role or name) are taken out.  Each
 paragraph then gives points for being there, for its commas and for its length
 to its ancestors, less to the more distant ones; an ancestor's points are
 discounted by its link density, the share of its text inside links.  The best
-container is kept, widened to the article it lies in, together with siblings
+container is kept, widened to the article or main part it lies in, together with siblings
 that score nearly as well or read like paragraphs.
 
 Defined cases: null and empty html give the empty text, and so does a page without
-any text in its body; unclosed elements end where HTML ends them; a page that breaks
+any text in its body; unclosed elements end where HTML ends them, an unclosed svg, math,
+template or noscript at once; a page that breaks
 off inside a tag, comment or script ends before it; repeated rows give repeated results.
 """
 
@@ -122,6 +123,8 @@ def parse(html: str) -> Node:
             lowered = html.lower() if lowered is None else lowered
             end = lowered.find(f"</{tag}", at) if len(lowered) == len(html) else _find(html, tag, at)
             if end < 0:
+                if tag in ("svg", "math", "template", "noscript"):  # never closed: taken as empty
+                    continue
                 break
             at = html.find(">", end) + 1 or len(html)
             stack[-1].children.append(" ")
@@ -257,7 +260,7 @@ def chosen(root: Node, nodes: list[Node]) -> list[Node]:
         return [next((n for n in nodes if n.tag in ("article", "main") and n.size), root)]
     up = top
     while up is not None:
-        if up.tag == "article":
+        if up.tag in ("article", "main"):
             return [up]
         up = up.parent
     if top.parent is None:

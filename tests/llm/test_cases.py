@@ -86,6 +86,17 @@ def test_the_best_container_wins_over_boilerplate():
     assert html.main_text(page).split("\n") == ["Title", *[f"Sentence {i}, with some commas, and quite a few words to be scored by." for i in range(6)]]
 
 
+def test_main_is_kept_whole_without_an_article():
+    long = "".join(f"<p>Sentence {i}, with some commas, and quite a few words to be scored by.</p>" for i in range(10))
+    page = f"<body><nav><a href=1>Home</a></nav><main><section>{long}</section><section><p>One more paragraph, short, but part of the text.</p></section></main></body>"
+    assert html.main_text(page).split("\n")[-1] == "One more paragraph, short, but part of the text."
+
+
+@pytest.mark.parametrize("tag", ["svg", "math", "template", "noscript"])
+def test_an_unclosed_element_is_empty(tag):
+    assert html.main_text(f"<article><p>before</p><{tag}><p>after</p></article>") == "before\nafter"
+
+
 def test_pages(spark, nothing):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (1, "u", "<p>x"), (None, None, None)], "page_id bigint, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
     assert sorted(map(tuple, html.extract(pages).collect()), key=str) == [(1, "u", "x", 1), (1, "u", "x", 1), (None, None, "", 0)]
