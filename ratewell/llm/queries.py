@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, counts, decontaminate, exact, html, lines, near, quality, toxicity, warc
+from . import bpe, counts, decontaminate, exact, html, lines, near, negatives, quality, spelling, syncmers, toxicity, warc
 
 LEAST_QUALITY = 0.3
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -128,7 +128,47 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, by inner products of whole numbers."""
+    rows = table(spark, sf_dir, "embeddings")
+    whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    rows = rows.where(whole).select("vec_id", label.alias("label"), vector.alias("vector"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+),
+positives AS (SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id, CAST(row_number() OVER ranked AS INTEGER) AS rank, n.other_id AS negative_id,
+       p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW ranked AS (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)
+QUALIFY row_number() OVER ranked <= 10
+"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standard forms of all words of six letters and five occurrences or more."""
+    return spelling.variants(table(spark, sf_dir, "documents"), noise=199)
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return syncmers.edited(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_decontamination, op3_line_dedup, op4_byte_bpe, op5_token_counts, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality, op10_warc)
+    f.__name__: f for f in (op1_html_extraction, op2_decontamination, op3_line_dedup, op4_byte_bpe, op5_token_counts, op6_exact_dedup, op7_toxicity, op8_near_dedup, op9_quality, op10_warc, op11_hard_negatives, op12_spelling_variants, op13_fingerprints)
 }
-SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL}
+SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op11_hard_negatives": OP11_SQL}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -98,3 +99,95 @@ def without_later_runs(texts, least):
             gone[d] |= set(range(a, b))
         first.setdefault(run, (d, a))
     return {d: "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[d]) if gone[d] else t for d, t in texts.items()}
+
+
+def hard_negatives(rows, anchors, n_positives=5, n_negatives=10, low=30, high=90):
+    """Rows (anchor, positive, rank, negative, positive's score, negative's score) of (id, label, numbers) rows."""
+    rows = [r for r in rows if None not in r and None not in r[2]]
+    out = []
+    for a, label, v in sorted({(i, b, tuple(v)) for i, b, v in rows if anchors(i)}):
+        scored = sorted((-sum(x * y for x, y in zip(v, w)), i, b) for i, b, w in rows if len(w) == len(v))
+        positives = [(i, -s) for s, i, b in scored if b == label and i != a][:n_positives]
+        for p, ps in positives:
+            fits = [(i, -s) for s, i, b in scored if b != label and low * ps <= -100 * s <= high * ps][:n_negatives]
+            out += [(a, p, k + 1, i, ps, s) for k, (i, s) in enumerate(fits)]
+    return sorted(out)
+
+
+def spelling(docs, noise=None, least_letters=6, least_count=5, ratio=5):
+    """{word: (form, root, n, near words, n of the form)}; pairs by trying all edits."""
+    n = Counter()
+    for d, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.encode().lower().decode()
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if noise and h % noise == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    n = {w: k for w, k in n.items() if len(w) >= least_letters and k >= least_count}
+    letters = sorted({c for w in n for c in w})
+    near = {}
+    for w in n:
+        cuts = [(w[:i], w[i:]) for i in range(len(w) + 1)]
+        edits = {a + b[1:] for a, b in cuts} | {a + c + b[1:] for a, b in cuts if b for c in letters} | {a + c + b for a, b in cuts for c in letters}
+        near[w] = sorted((e for e in edits - {w} if e in n), key=lambda e: (-n[e], e))
+    form = {w: e[0] if e and n[e[0]] >= ratio * n[w] else None for w, e in near.items()}
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n}
+
+
+def signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
+def fingerprint(text, size=64):
+    """Packed anchors of a text, ascending."""
+    import regex
+    import xxhash
+
+    alone = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+    tokens = regex.findall(rf"(?V1)[{alone}]|[[\p{{L}}\p{{M}}\p{{N}}]--[{alone}]]+|[^\s\p{{L}}\p{{M}}\p{{N}}]", lower(text))
+
+    def chain(numbers):
+        seed = 42
+        for x in numbers:
+            seed = xxhash.xxh64_intdigest((x % 2**64).to_bytes(8, "little"), seed)
+        return seed
+
+    h = [xxhash.xxh64_intdigest(t.encode(), 42) for t in tokens]
+    if 0 < len(h) < 4:
+        found = [(chain(h), 0)]
+    else:
+        s = [chain(h[i : i + 2]) for i in range(len(h) - 1)]
+        found = [(chain((s[i], s[i + 2])), i) for i in range(len(h) - 3) if min(map(signed, (s[i], s[i + 2]))) <= signed(s[i + 1])]
+    first = {}
+    for x, place in found:
+        first.setdefault(signed(x) >> 20, place)
+    return sorted((x << 20) | min(p, 2**20 - 1) for x, p in first.items())[:size]
+
+
+def likeness(a, b, size=64):
+    a, b = {x >> 20 for x in a}, {x >> 20 for x in b}
+    both = a | b
+    if len(a) >= size or len(b) >= size:
+        both = set(sorted(both)[:size])
+    return len(a & b & both) / len(both) if both else 1.0
+
+
+def edited(docs):
+    """{id: (characters, edited text's digest, fingerprint, edited fingerprint, both likenesses)} of distinct ids."""
+    order = sorted(docs, reverse=True)
+    out = {}
+    for k, (d, text) in enumerate(order):
+        text, ahead = text or "", order[(k + 1) % len(order)][1] or ""
+        third = len(text) // 3
+        new = text[: len(text) - third] + ahead[:third]
+        marks, changed, after = fingerprint(text), fingerprint(new), fingerprint(ahead)
+        as_text = ["".join(f"{x % 2**64:016X}" for x in m) for m in (marks, changed)]
+        out[d] = (len(text), hashlib.sha256(new.encode()).hexdigest(), *as_text, likeness(marks, changed), likeness(marks, after))
+    return out

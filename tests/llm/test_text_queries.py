@@ -31,7 +31,7 @@ def test_equals_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
 
 
 def test_main_text(spark):
@@ -88,6 +88,19 @@ def test_archives(spark):
     assert got == {p: (n, d, *(("response", None) if first[d] == p else ("revisit", first[d]))) for p, (n, d) in want.items()}
 
 
+def test_spelling_variants(spark):
+    got = {r.word: tuple(r)[1:] for r in queries.op12_spelling_variants(spark, SMALL).collect()}
+    want = brute.spelling(rows("documents", "doc_id, text"), noise=199)
+    assert got == want and any(w[0] for w in want.values()) and any(w[3] > 1 for w in want.values())
+
+
+def test_fingerprints(spark):
+    got = {r.doc_id: tuple(r)[1:7] for r in queries.op13_fingerprints(spark, SMALL).collect()}
+    want = brute.edited(rows("documents", "doc_id, text"))
+    assert got == want
+    assert sum(w[4] > w[5] for w in want.values()) > 0.9 * len(want)
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op7_toxicity", "toxic", 0.9), ("op9_quality", "quality", 0.98)])
 def test_scores_of_held_out_rows(spark, name, label, least):
     """The share of pairs of a good and a bad held-out document that are in the right order."""
