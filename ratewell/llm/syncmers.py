@@ -35,7 +35,9 @@ RUN, INNER = 4, 2
 SIZE = 64
 PLACE_BITS = 20
 PLACES = (1 << PLACE_BITS) - 1
-TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]]+|[^\s\p{L}\p{M}\p{N}]"
+# Blocks of scripts written without spaces (Thai and Lao, Burmese, Khmer, kana, Han).
+ALONE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+TOKEN = rf"[0-9a-z[\p{{L}}\p{{M}}\p{{N}}&&[^{ALONE}]]]+|[{ALONE}]|[^\s\p{{L}}\p{{M}}\p{{N}}]"
 
 
 def _packed(digest: Column, place: Column) -> Column:

@@ -150,8 +150,8 @@ def fingerprint(text, size=64):
     import regex
     import xxhash
 
-    alone = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
-    tokens = regex.findall(rf"(?V1)[{alone}]|[[\p{{L}}\p{{M}}\p{{N}}]--[{alone}]]+|[^\s\p{{L}}\p{{M}}\p{{N}}]", lower(text))
+    alone = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)))
+    tokens = regex.findall(rf"(?V1)[[\p{{L}}\p{{M}}\p{{N}}]--[{alone}]]+|[{alone}]|[^\s\p{{L}}\p{{M}}\p{{N}}]", lower(text))
 
     def chain(numbers):
         seed = 42

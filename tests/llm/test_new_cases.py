@@ -83,7 +83,7 @@ def words_of(seed=5):
                 w = r.choice((w[:i] + w[i + 1 :], w[:i] + r.choice(letters) + w[i:], w[:i] + r.choice(letters) + w[i + 1 :]))
             out.append(w.upper() if r.random() < 0.1 else w)
         texts.append((d, r.choice((" ", "-", "1", "Ā")).join(out)))
-    texts += [(400 + i, " ".join(["rootword"] * 80 + ["rootwore"] * 12 + ["rootwoe"] * 2)) for i in range(6)]
+    texts += [(400 + i, " ".join(["rootword"] * 80 + ["rootwore"] * 12 + ["rootwoe"])) for i in range(20)]
     return texts + [(None, " ".join(["nullid"] * 6)), (900, None), (901, ""), (901, ""), (902, "x" * 70_000 + " "), (903, ("y" * 70_000 + " ") * 5), (906, ("y" * 69_999 + " ") * 30)]
 
 
