@@ -14,14 +14,15 @@ from dataclasses import asdict, dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import scratch_dir
+from ..session import drop_dir, scratch_dir
 from . import trees as tr
 
 # Task code names functions, not the module: a module is looked up on the executor.
-from .trees import route, unpack_bins
+from .trees import add_trees, grow_small, read_batch, tree_row, unpack_bins
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,7 +50,7 @@ class BoosterSpec:
     max_bins: int = 64
     seed: int = 0
     key: str | None = None
-    refresh: int = 10
+    refresh: int = 20
 
     def __post_init__(self):
         if self.objective not in OBJECTIVES:
@@ -138,12 +139,6 @@ def _columns_of_tree(spec: BoosterSpec, number: int) -> list[int]:
     return sorted(order[:take])
 
 
-def _add_trees(margin: np.ndarray, bins: np.ndarray, arrays: Sequence) -> np.ndarray:
-    for a in arrays:
-        margin = margin + a[4][route(a, bins)]
-    return margin
-
-
 @dataclass
 class Booster:
     spec: BoosterSpec
@@ -162,7 +157,7 @@ class Booster:
             bins = np.empty((len(columns[0]), p), dtype="uint8")
             for i in range(p):
                 bins[:, i] = np.searchsorted(edges[i], columns[i].to_numpy(dtype="float64"), side="left")
-            return pd.Series(_add_trees(np.full(len(bins), base), bins, arrays))
+            return pd.Series(add_trees(np.full(len(bins), base), bins, arrays))
 
         # Marked so that filters on the score stay above it and rows are scored once.
         score = score.asNondeterministic()
@@ -186,12 +181,12 @@ class Booster:
         def partial(batches):
             total = np.zeros((len(arrays) + 1, 2))
             for pdf in batches:
-                bins, y, w = unpack_bins(pdf["bins"], p), pdf["_y"].to_numpy(), pdf["_w"].to_numpy()
-                f = np.full(len(y), base)
+                bins, y = unpack_bins(pdf["bins"], p), pdf["_y"].to_numpy()
+                w, f = row_weights(spec, y, pdf["_w"].to_numpy()), np.full(len(y), base)
                 for i in range(len(arrays) + 1):
                     total[i] += ((w * losses(spec, f, y)).sum(), w.sum())
                     if i < len(arrays):
-                        f = _add_trees(f, bins, arrays[i : i + 1])
+                        f = add_trees(f, bins, arrays[i : i + 1])
             yield pd.DataFrame({"trees": np.arange(len(total)), "l": total[:, 0], "w": total[:, 1]})
 
         parts = rows.mapInPandas(partial, "trees int, l double, w double")
@@ -218,79 +213,193 @@ class Booster:
         return cls(spec, tr.trees_from_json(row["trees"]), [np.array(e) for e in state["edges"]], state["base"])
 
 
+def row_weights(spec: BoosterSpec, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Weights of rows with the extra weight of the positive ones."""
+    return w * np.where(y == 1, spec.scale_pos_weight, 1.0) if spec.objective == "logistic" else w
+
+
 def _labelled(df: DataFrame, spec: BoosterSpec) -> DataFrame:
     y = F.col(spec.label).cast("double")
     w = F.lit(1.0) if spec.weight is None else F.col(spec.weight).cast("double")
-    if spec.objective == "logistic" and spec.scale_pos_weight != 1.0:
-        w = w * F.when(y == 1, F.lit(spec.scale_pos_weight)).otherwise(F.lit(1.0))
     u = F.xxhash64(F.col(spec.key)) if spec.key else F.lit(0).cast("bigint")
     return df.select(*spec.features, y.alias("_y"), w.alias("_w"), u.alias("_u"))
 
 
 def fit_booster(df: DataFrame, spec: BoosterSpec, edges: list[np.ndarray] | None = None) -> Booster:
-    """Fit round by round; each level of a tree is one job over the binned rows.
+    """Fit one model."""
+    return fit_boosters(df, [spec], edges)[0]
+
 
-    Scores of the rows are kept for the trees up to the last refresh; a task
-    adds the few trees since.  A refresh adds those to the scores of the one
-    before and writes the table to the shared folder, so the work of a round does
-    not grow with their number and the plan stays as short as at the start.
+#: What models that are fitted together must have in common.
+SHARED = ("features", "label", "objective", "weight", "key", "max_bins")
+
+
+def fit_boosters(df: DataFrame, specs: Sequence[BoosterSpec], edges: list[np.ndarray] | None = None) -> list[Booster]:
+    """Fit several models of one target over the same rows, round by round and all together.
+
+    The models share the binned rows, and every job works for all of them, so ten points of a
+    search take as many passes as the longest of them.  Rounds come in blocks of ``refresh``.
+    Where all rows fit a task, a block is one job: each model's rows meet in a task
+    that grows the block's trees.  Otherwise the jobs of ``trees.grow`` make one round.  Both
+    ways search the same sums with the same rules.  Scores of the rows are kept for the trees up
+    to the last block, one number per model; a task adds the few trees since, which are
+    broadcast once.  After a block the scores are written to the shared folder, so the work of
+    a round does not grow with their number and the plan stays as short as at the start.
     """
-    rows = _labelled(df, spec)
-    edges = tr.fit_edges(rows, spec.features, spec.max_bins) if edges is None else edges
-    binned = tr.bin_rows(rows, spec.features, edges, ["_y", "_w", "_u"]).persist(StorageLevel.MEMORY_AND_DISK)
-    held = [binned]
+    lead, spark = specs[0], df.sparkSession
+    if any(getattr(s, name) != getattr(lead, name) for s in specs for name in SHARED):
+        raise ValueError(f"models fitted together must have the same {', '.join(SHARED)}")
+    rows = _labelled(df, lead)
+    edges = tr.fit_edges(rows, lead.features, lead.max_bins) if edges is None else edges
+    binned = tr.bin_rows(rows, lead.features, edges, ["_y", "_w", "_u"]).persist(StorageLevel.MEMORY_AND_DISK)
+    held, stored, sent = [binned], [], []
     try:
-        sums = binned.agg((F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).alias("m"), F.count(F.lit(1)).alias("n")).first()
-        data = tr.fewer_tasks(binned, sums["n"])
-        base = base_score(spec.objective, sums["m"])
-        p, n_edges = len(spec.features), [len(e) for e in edges]
-        grown: list[tr.Tree] = []
-        settled, current = 0, data.withColumn("_m", F.lit(base))
-        for number in range(spec.n_estimators):
-            if number - settled >= spec.refresh:
-                path = scratch_dir(df.sparkSession, "scores")
-                _with_margin(current, [t.arrays() for t in grown[settled:]], p).write.parquet(path)
-                stored = df.sparkSession.read.parquet(path)
-                current, settled = tr.fewer_tasks(stored, sums["n"]).persist(StorageLevel.MEMORY_AND_DISK), number
+        yes = F.col("_y") == 1
+        sums = binned.agg(
+            F.count(F.lit(1)).alias("n"), F.sum("_w").alias("w"), F.sum(F.col("_w") * F.col("_y")).alias("wy"), F.sum(F.when(yes, F.col("_w"))).alias("w1")
+        ).first()
+        p, n_edges, n = len(lead.features), [len(e) for e in edges], sums["n"]
+        extra = [(s.scale_pos_weight - 1.0) * (sums["w1"] or 0.0) if s.objective == "logistic" else 0.0 for s in specs]
+        bases = np.array([base_score(lead.objective, ((sums["wy"] or 0.0) + x) / (sums["w"] + x)) if n else 0.0 for x in extra])
+        current = tr.fewer_tasks(binned, n, p)
+        grown: list[list[tr.Tree]] = [[] for _ in specs]
+        total = max(s.n_estimators for s in specs)
+        for start in range(0, total, lead.refresh):
+            if start:
+                path = scratch_dir(spark, "scores")
+                _settled(current, sent, bases, p).write.parquet(path)
+                current = tr.fewer_tasks(spark.read.parquet(path), n, p).persist(StorageLevel.MEMORY_AND_DISK)
                 held.append(current)
-                # The table before last is no longer read.
+                stored.append(path)
+                # The table before this one is no longer read, nor are the trees in it.
                 if len(held) > 2:
                     held.pop(1).unpersist()
-            recent = [t.arrays() for t in grown[settled:]]
-
-            def row_stats(pdf, bins, t, recent=recent, number=number):
-                f = _add_trees(pdf["_m"].to_numpy(), bins, recent)
-                y, w = pdf["_y"].to_numpy(), pdf["_w"].to_numpy()
-                g, h = gradients(spec, f, y)
-                use = np.ones(len(y), dtype=bool)
-                if spec.subsample < 1:
-                    use = _row_luck(pdf["_u"].to_numpy(), spec.seed * 1_000_003 + number) < spec.subsample
-                return use, np.column_stack([np.ones(len(y)), w * g, w * h])
-
-            allowed = None if spec.colsample_bytree >= 1 else [_columns_of_tree(spec, number)]
-            tree = tr.grow(current, 1, row_stats, _gain(spec), n_edges, 3, spec.max_depth, allowed)[0]
-            for n, s in enumerate(tree.stats):
-                if s:
-                    step = -_soft(np.array(s[1]), spec.reg_alpha) / (s[2] + spec.reg_lambda + 1e-12)
-                    if spec.objective == "poisson":
-                        step = np.clip(step, -spec.max_delta_step, spec.max_delta_step)
-                    tree.value[n] = float(step) * spec.learning_rate
-            grown.append(tree)
-        return Booster(spec, grown, edges, base)
+                    drop_dir(spark, stored.pop(0))
+                for b in sent:
+                    b.unpersist()
+                sent = []
+            stop = min(start + lead.refresh, total)
+            if n <= tr.small_rows(p, 4):
+                new = _block_in_tasks(current, specs, sent, bases, start, stop, n_edges)
+                for c, trees in new.items():
+                    grown[c] += trees
+                sent.append(spark.sparkContext.broadcast({c: [t.arrays() for t in trees] for c, trees in new.items()}))
+                continue
+            for number in range(start, stop):
+                new = _round(current, specs, list(sent), bases, number, n_edges, n)
+                for c, tree in new.items():
+                    grown[c].append(tree)
+                sent.append(spark.sparkContext.broadcast({c: [t.arrays()] for c, t in new.items()}))
+        return [Booster(s, t, edges, float(b)) for s, t, b in zip(specs, grown, bases)]
     finally:
         for table in held:
             table.unpersist()
-
-
-def _with_margin(scored: DataFrame, arrays: Sequence, p: int) -> DataFrame:
-    """The rows with more trees added to their scores."""
+        for path in stored:
+            drop_dir(spark, path)
+        for b in sent:
+            b.unpersist()
+
+
+def _slopes(spec: BoosterSpec, number: int, f: np.ndarray, y: np.ndarray, w: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a round and their statistics: count, weighted first and second derivative."""
+    g, h = gradients(spec, f, y)
+    w = row_weights(spec, y, w)
+    use = np.ones(len(y), dtype=bool)
+    if spec.subsample < 1:
+        use = _row_luck(u, spec.seed * 1_000_003 + number) < spec.subsample
+    return use, np.column_stack([np.ones(len(y)), w * g, w * h])
+
+
+def _allowed(spec: BoosterSpec, number: int) -> list[int] | None:
+    return _columns_of_tree(spec, number) if spec.colsample_bytree < 1 else None
+
+
+def _round(current: DataFrame, specs: Sequence[BoosterSpec], recent: Sequence, bases: np.ndarray, number: int, n_edges: Sequence[int], n: int) -> dict[int, tr.Tree]:
+    """One tree of every model that still grows."""
+    active = [c for c, s in enumerate(specs) if number < s.n_estimators]
+
+    def row_stats(pdf, bins, t):
+        c = active[t]
+        return _slopes(specs[c], number, _scores(pdf, bins, recent, bases, c), pdf["_y"].to_numpy(), pdf["_w"].to_numpy(), pdf["_u"].to_numpy())
+
+    own = [specs[c] for c in active]
+    trees = tr.grow(current, len(own), row_stats, [_gain(s) for s in own], n_edges, 3, [s.max_depth for s in own], [_allowed(s, number) for s in own], n_rows=n)
+    for s, tree in zip(own, trees):
+        _set_steps(s, tree)
+    return dict(zip(active, trees))
+
+
+def _block_in_tasks(current: DataFrame, specs: Sequence[BoosterSpec], recent: Sequence, bases: np.ndarray, start: int, stop: int, n_edges: Sequence[int]) -> dict[int, list[tr.Tree]]:
+    """The trees of several rounds of every model that still grows, where a model's rows fit a task."""
+    active = [c for c, s in enumerate(specs) if start < s.n_estimators]
+    p, layout = len(n_edges), tr.Layout(n_edges)
+
+    def deal(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pdf, bins = read_batch(batch, p)
+            y, w, u = (pdf[c].to_numpy() for c in ("_y", "_w", "_u"))
+            rows = [np.column_stack([y, w, _scores(pdf, bins, recent, bases, c)]).tobytes() + u.tobytes() for c in active]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(active)), pa.int32()), pa.array([bins.tobytes()] * len(active), pa.binary()), pa.array(rows, pa.binary())], ["slot", "bins", "stats"])
+
+    def boost(batches):
+        held: dict = {}
+        for batch in batches:
+            for slot, bins, rows in zip(*[batch.column(c).to_pylist() for c in ("slot", "bins", "stats")]):
+                k = len(bins) // p
+                held.setdefault(slot, []).append((np.frombuffer(bins, dtype="uint8").reshape(k, p), np.frombuffer(rows, count=3 * k).reshape(k, 3), np.frombuffer(rows, dtype="int64", offset=24 * k)))
+        for slot, parts in held.items():
+            bins, numbers, u = (np.concatenate(x) for x in zip(*parts))
+            # Rows may arrive in any order; the sums must not depend on it.
+            order = np.lexsort((bins @ np.arange(1.0, p + 1), *numbers.T, u))
+            bins, (y, w, f), u = bins[order], numbers[order].T, u[order]
+            spec = specs[active[slot]]
+            for number in range(start, min(stop, spec.n_estimators)):
+                use, stats = _slopes(spec, number, f, y, w, u)
+                tree = grow_small(layout, bins[use], stats[use], _gain(spec), _allowed(spec, number), spec.max_depth, 2)
+                _set_steps(spec, tree)
+                f = add_trees(f, bins, [tree.arrays()])
+                yield tree_row(slot, number, tree)
+
+    dealt = current.mapInArrow(deal, tr.ROWS_TYPE).repartitionById(len(active), "slot")
+    out: dict[int, list[tr.Tree]] = {c: [] for c in active}
+    for row in sorted(dealt.mapInArrow(boost, tr.SUBTREE_TYPE).toArrow().to_pylist(), key=lambda r: r["number"]):
+        out[active[row["slot"]]].append(tr.tree_of_row(row, 3))
+    if any(len(trees) < min(stop, specs[c].n_estimators) - start for c, trees in out.items()):
+        raise ValueError("there are no rows to fit a model to")
+    return out
+
+
+def _set_steps(spec: BoosterSpec, tree: tr.Tree) -> None:
+    for n, s in enumerate(tree.stats):
+        if s:
+            step = -_soft(np.array(s[1]), spec.reg_alpha) / (s[2] + spec.reg_lambda + 1e-12)
+            if spec.objective == "poisson":
+                step = np.clip(step, -spec.max_delta_step, spec.max_delta_step)
+            tree.value[n] = float(step) * spec.learning_rate
+
+
+def _scores(pdf: pd.DataFrame, bins: np.ndarray, recent: Sequence, bases: np.ndarray, c: int) -> np.ndarray:
+    """Raw scores of model ``c``: those of the table, if it has any, and the trees since."""
+    if "_m" in pdf:
+        f = np.frombuffer(b"".join(pdf["_m"])).reshape(len(pdf), len(bases))[:, c]
+    else:
+        f = np.full(len(pdf), bases[c])
+    return add_trees(f, bins, [a for b in recent for a in b.value.get(c, ())])
+
+
+def _settled(scored: DataFrame, recent: Sequence, bases: np.ndarray, p: int) -> DataFrame:
+    """The rows with the scores of all models in one column."""
 
     def add(batches):
         for pdf in batches:
-            pdf["_m"] = _add_trees(pdf["_m"].to_numpy(), unpack_bins(pdf["bins"], p), arrays)
+            bins = unpack_bins(pdf["bins"], p)
+            scores = np.column_stack([_scores(pdf, bins, recent, bases, c) for c in range(len(bases))])
+            pdf["_m"] = [r.tobytes() for r in scores]
             yield pdf
 
-    return scored.mapInPandas(add, "_y double, _w double, _u bigint, bins binary, _m double")
+    return scored.mapInPandas(add, "_y double, _w double, _u bigint, bins binary, _m binary")
 
 
 def expand_vector(df: DataFrame, names: Sequence[str], vector: str = "features") -> DataFrame:

@@ -178,11 +178,11 @@ def _grow(data: DataFrame, spec: TreeSpec, edges, folds: int) -> list[tr.Tree]:
         return (np.ones(len(pdf), dtype=bool) if t == 0 else pdf["_fold"].to_numpy() != t - 1), _stats(pdf)
 
     total = data.agg(F.sum("_y").alias("y"), F.sum("_e").alias("e"), F.count(F.lit(1)).alias("n")).first()
-    data = tr.fewer_tasks(data, total["n"])
+    data = tr.fewer_tasks(data, total["n"], len(edges))
     prior = _prior(total["y"] or 0.0, total["e"] or 0.0, spec.shrink)
     n_edges = [len(e) for e in edges]
     grown = tr.grow(
-        data, folds + 1, row_stats, _gain(spec.minbucket, prior), n_edges, 4, spec.max_depth, min_rows=2 * spec.minbucket
+        data, folds + 1, row_stats, _gain(spec.minbucket, prior), n_edges, 4, spec.max_depth, min_rows=2 * spec.minbucket, n_rows=total["n"]
     )
     out = []
     for t in grown:

@@ -1,11 +1,13 @@
 """Level-wise histogram trees on DataFrames.
 
-Features are cut once, at 255 edges at most, so that a bin number fits a byte.  For every level one job sends
-the sums per (tree, node, feature, bin) of each task to a shuffle that adds
-them up; the driver sees only that table, whose size depends on nodes,
-features and bins and never on rows.  Where a row stands in a tree is worked
-out again in each job from the small tree, so no row state is shuffled, no
-lineage grows and a lost executor costs only its partitions.
+Features are cut once, at 255 edges at most, so that a bin number fits a byte.  A level
+of all nodes with many rows is one job: each task sends one packed array of sums per
+node, the arrays are added up and searched for the best split where they meet, and the
+driver gets one row per node and block of features, whatever the number of bins or rows.
+Nodes whose rows fit a task are then grown to their ends in one more job, so a tree costs
+as many jobs as it has levels with large nodes, and one.  Where a row stands is worked out
+again in each job from the trees, so no row state is kept, no lineage grows and a lost
+executor costs only its partitions.
 """
 
 from __future__ import annotations
@@ -20,13 +22,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.measures import sketched_quantiles
 
 # Tasks get the code with the job, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_CELLS = 2_000_000
 #: Edges per feature; bin numbers go from 0 to the number of edges.
 MAX_BINS = 255
 
@@ -113,6 +116,28 @@ class Tree:
             ):
                 part.append(new)
 
+    def graft(self, node: int, other: "Tree") -> None:
+        """Put a tree in the place of a leaf."""
+        start, depth = len(self.feature) - 1, self.depth[node]
+        moved = [n + start if n > 0 else n for n in range(len(other.feature))]
+        for part, more in ((self.feature, other.feature), (self.cut, other.cut), (self.gain, other.gain), (self.stats, other.stats), (self.value, other.value)):
+            part[node], rest = more[0], more[1:]
+            part += rest
+        for part, more in ((self.left, other.left), (self.right, other.right)):
+            part[node], *rest = [moved[n] if n > 0 else -1 for n in more]
+            part += rest
+        self.depth += [d + depth for d in other.depth[1:]]
+
+    def level_order(self) -> "Tree":
+        """The same tree with its nodes numbered level by level."""
+        order = [0]
+        for n in order:
+            if self.feature[n] >= 0:
+                order += [self.left[n], self.right[n]]
+        place = {n: i for i, n in enumerate(order)} | {-1: -1}
+        own = {k: [getattr(self, k)[n] for n in order] for k in ("feature", "cut", "depth", "gain", "stats", "value")}
+        return Tree(**own, left=[place[self.left[n]] for n in order], right=[place[self.right[n]] for n in order])
+
     def leaves(self) -> list[int]:
         """Leaves that can be reached from the root."""
         out, stack = [], [0]
@@ -125,7 +150,8 @@ class Tree:
         return out
 
     def arrays(self):
-        return tuple(np.array(x) for x in (self.feature, self.cut, self.left, self.right, self.value))
+        kinds = ("int32", "int32", "int32", "int32", "float64")
+        return tuple(np.array(x, dtype=k) for x, k in zip((self.feature, self.cut, self.left, self.right, self.value), kinds))
 
 
 def route(arrays, bins: np.ndarray) -> np.ndarray:
@@ -142,119 +168,299 @@ def route(arrays, bins: np.ndarray) -> np.ndarray:
         node = np.where(inner, np.where(go_left, left[node], right[node]), node)
 
 
-ROWS_PER_TASK = 200_000
+def add_trees(score: np.ndarray, bins: np.ndarray, arrays: Sequence) -> np.ndarray:
+    """Scores with the values of more trees added."""
+    for a in arrays:
+        score = score + a[4][route(a, bins)]
+    return score
+
+
+#: Bytes of binned rows a task reads, and those that are worth a task of their own.
+TASK_BYTES, LEAST_BYTES = 64 << 20, 1 << 20
+#: A node whose rows take no more bytes than this is grown to its end in one task.
+SMALL_BYTES = 16 << 20
+#: Sums a task keeps for a level, and sums of a block of features that is added up by itself.
+TASK_CELLS, BLOCK_CELLS = 2_000_000, 4096
+#: Rows whose sums are made at a time.
+SUMMED_ROWS = 1 << 14
 
 
-def fewer_tasks(data: DataFrame, rows: int) -> DataFrame:
-    """Put small partitions together, without a shuffle: never fewer tasks than cores, nor more rows than fit one."""
+def fewer_tasks(data: DataFrame, rows: int, p: int) -> DataFrame:
+    """Put small partitions together, without a shuffle: tasks of a fair number of bytes."""
+    size = int(rows) * (p + 32)
     cores = data.sparkSession.sparkContext.defaultParallelism
-    return data.coalesce(max(cores, -(-int(rows) // ROWS_PER_TASK), 1))
+    return data.coalesce(max(min(cores, -(-size // LEAST_BYTES)), -(-size // TASK_BYTES), 1))
 
 
-# (batch, tree number) -> (use row?, stats matrix); the first stat is the row count.
+# (batch, bins, tree number) -> (use row?, stats matrix); the first stat is the row count.
 RowStats = Callable[[pd.DataFrame, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
+# (left stats, right stats, all stats) -> gain, −inf where the split is not allowed.
+Gain = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def _types(schema: pa.Schema) -> tuple[pa.Schema, StructType]:
+    return schema, from_arrow_schema(schema)
+
+
+# Rows between the tasks and to the driver, with their Spark types made once.
+_reals, _wholes = pa.list_(pa.float64()), pa.list_(pa.int32())
+_, SUMS_TYPE = _types(pa.schema({"task": pa.int32(), "key": pa.int64(), "sums": pa.binary()}))
+_, ROWS_TYPE = _types(pa.schema({"slot": pa.int32(), "bins": pa.binary(), "stats": pa.binary()}))
+SPLIT, SPLIT_TYPE = _types(pa.schema({"slot": pa.int32(), "gain": pa.float64(), "feature": pa.int32(), "cut": pa.int32(), "lefts": _reals, "alls": _reals}))
+SUBTREE, SUBTREE_TYPE = _types(
+    pa.schema({"slot": pa.int32(), "number": pa.int32(), **{n: _wholes for n in ("feature", "cut", "left", "right", "depth")}, "gain": _reals, "value": _reals, "stats": _reals})
+)
+_LISTS = SUBTREE.names[2:-1]
+
+
+def tree_row(slot: int, number: int, tree: Tree) -> pa.RecordBatch:
+    row = {"slot": slot, "number": number, **{n: getattr(tree, n) for n in _LISTS}, "stats": [x for node in tree.stats for x in node]}
+    return pa.RecordBatch.from_pylist([row], schema=SUBTREE)
 
 
-def level_sums(data: DataFrame, trees: Sequence[Tree], active: Sequence[tuple[int, int]], row_stats: RowStats, p: int, n_bins: int, n_stats: int) -> np.ndarray:
-    """Sums per (active node, feature, bin) over all rows: one job."""
-    slots = [np.full(len(t.feature), -1, dtype="int64") for t in trees]
-    for s, (t, n) in enumerate(active):
+def tree_of_row(row: dict, n_stats: int) -> Tree:
+    stats = np.array(row["stats"]).reshape(-1, n_stats)
+    return Tree(**{n: row[n] for n in _LISTS}, stats=[tuple(x) for x in stats])
+
+
+def small_rows(p: int, n_stats: int) -> int:
+    """Rows that fit a task as a whole."""
+    return SMALL_BYTES // (p + 8 * n_stats)
+
+
+class Layout:
+    """Where the sums of a node lie: one cell for a feature with one edge, ``n_bins`` for one with more.
+
+    Of a feature with one edge only the left side is kept; features without an edge
+    have no cells.  One more row of sums holds the node's totals.
+    """
+
+    def __init__(self, n_edges: Sequence[int], features: Sequence[int] | None = None):
+        n = np.asarray(n_edges, dtype="int64")
+        chosen = np.arange(len(n)) if features is None else np.asarray(features, dtype="int64")
+        self.single, self.wide = chosen[n[chosen] == 1], chosen[n[chosen] > 1]
+        self.n_bins = int(n[self.wide].max(initial=0)) + 1
+        self.cells = len(self.single) + self.n_bins * len(self.wide)
+        # Candidate splits.
+        self.feature = np.concatenate([self.single, np.repeat(self.wide, self.n_bins)])
+        self.cut = np.concatenate([np.zeros(len(self.single), "int64"), np.tile(np.arange(self.n_bins), len(self.wide))])
+        self.valid = self.cut < n[self.feature]
+
+    def sums(self, bins: np.ndarray, stats: np.ndarray) -> np.ndarray:
+        """Sums of the rows' statistics per cell, and their totals; rows are taken in parts of bounded size."""
+        k, s, u = stats.shape[1], len(self.single), len(self.wide)
+        out = np.zeros((self.cells + 1, k))
+        for start in range(0, len(bins), SUMMED_ROWS):
+            part, x = bins[start : start + SUMMED_ROWS], stats[start : start + SUMMED_ROWS]
+            out[:s] -= part[:, self.single].T.astype("float64") @ x
+            out[-1] += x.sum(axis=0)
+            place = (part[:, self.wide] + self.n_bins * np.arange(u)).ravel()
+            out[s:-1, 0] += np.bincount(place, minlength=self.n_bins * u)
+            for j in range(1, k):
+                out[s:-1, j] += np.bincount(place, weights=np.repeat(x[:, j], u), minlength=self.n_bins * u)
+        out[:s] += out[-1]
+        return out
+
+    def best(self, sums: np.ndarray, gain: Gain, allowed: Sequence[int] | None):
+        """(gain, feature, cut, sums of the left side) of the best split, or None; ties go to the first feature and cut."""
+        k, end = sums.shape[1], len(self.single)
+        left = np.concatenate([sums[:end], sums[end:-1].reshape(-1, self.n_bins, k).cumsum(axis=1).reshape(-1, k)])
+        g = np.where(self.valid, gain(left, sums[-1] - left, sums[-1]), -np.inf)
+        if allowed is not None:
+            g[~np.isin(self.feature, allowed)] = -np.inf
+        top = g.max(initial=-np.inf)
+        if not top > 0:
+            return None
+        ties = np.flatnonzero(g == top)
+        i = ties[np.lexsort((self.cut[ties], self.feature[ties]))[0]]
+        return float(top), int(self.feature[i]), int(self.cut[i]), left[i]
+
+
+def grow_small(layout: Layout, bins: np.ndarray, stats: np.ndarray, gain: Gain, allowed, max_depth: int, min_rows: float) -> Tree:
+    """The tree of rows that fit a task; only the smaller child of a split is summed up, the other is the rest."""
+    tree, sums = Tree(), layout.sums(bins, stats)
+    tree.stats[0] = tuple(sums[-1])
+    queue = [(0, np.arange(len(stats)), sums)]
+    for node, rows, sums in queue:
+        found = layout.best(sums, gain, allowed) if tree.depth[node] < max_depth else None
+        if found is None:
+            continue
+        g, f, cut, left = found
+        tree.split(node, f, cut, g, tuple(left), tuple(sums[-1] - left))
+        if tree.depth[node] + 1 == max_depth:
+            continue
+        goes_left = bins[rows, f] <= cut
+        sides = rows[goes_left], rows[~goes_left]
+        small = int(len(sides[1]) < len(sides[0]))
+        if len(sides[1 - small]) < min_rows:
+            continue
+        own = layout.sums(bins[sides[small]], stats[sides[small]])
+        for side, child in enumerate((tree.left[node], tree.right[node])):
+            if len(sides[side]) >= min_rows:
+                queue.append((child, sides[side], own if side == small else sums - own))
+    return tree
+
+
+def _slots(trees: Sequence[Tree], nodes: Sequence[tuple[int, int]]) -> tuple[dict, dict]:
+    """Per tree the slot of each node (−1 where none) and the arrays that lead a row to its node."""
+    slots = {t: np.full(len(trees[t].feature), -1, dtype="int64") for t, _ in nodes}
+    for s, (t, n) in enumerate(nodes):
         slots[t][n] = s
-    used = sorted({t for t, _ in active})
-    frozen = {t: trees[t].arrays() for t in used}
-    cells = len(active) * p * n_bins
-    offsets = np.arange(p, dtype="int64") * n_bins
+    return slots, {t: trees[t].arrays() for t in slots}
+
+
+def level_splits(data: DataFrame, trees: Sequence[Tree], nodes: Sequence[tuple[int, int]], row_stats: RowStats, gains: Sequence[Gain], n_edges: Sequence[int], n_stats: int, allowed) -> dict:
+    """Best split of each node, {place in ``nodes``: (gain, feature, cut, left sums, all sums)}: one job.
+
+    A task sends one array of sums per node and block of features; they are added up and
+    searched where they meet, and one row per node and block comes back.
+    """
+    slots, frozen = _slots(trees, nodes)
+    p = len(n_edges)
+    blocks = [Layout(n_edges, part) for part in feature_blocks(n_edges)]
+    of_slot = [t for t, _ in nodes]
+    tasks = min(len(nodes) * len(blocks), 4 * data.sparkSession.sparkContext.defaultParallelism)
 
     def partial(batches):
-        total = np.zeros((n_stats, cells))
+        total: dict = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
             pdf, bins = read_batch(batch, p)
-            for t in used:
+            for t, arrays in frozen.items():
                 use, stats = row_stats(pdf, bins, t)
-                slot = slots[t][route(frozen[t], bins)]
-                pick = np.flatnonzero(use & (slot >= 0))
-                if not len(pick):
-                    continue
-                index = (slot[pick, None] * (p * n_bins) + offsets + bins[pick]).ravel()
-                for k in range(n_stats):
-                    total[k] += np.bincount(index, weights=np.repeat(stats[pick, k], p), minlength=cells)
-        seen = np.flatnonzero(total[0])
-        yield pa.RecordBatch.from_pydict({"cell": seen, **{f"s{k}": total[k, seen] for k in range(n_stats)}})
-
-    names = [f"s{k}" for k in range(n_stats)]
-    parts = data.mapInArrow(partial, "cell bigint, " + ", ".join(f"{n} double" for n in names))
-    # At most ``cells`` rows, which MAX_CELLS bounds.
-    summed = parts.groupBy("cell").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
-    out = np.zeros((cells, n_stats))
-    place = summed.column("cell").to_numpy()
-    for k, n in enumerate(names):
-        out[place, k] = summed.column(n).to_numpy()
-    return out.reshape(len(active), p, n_bins, n_stats)
+                slot = np.where(use, slots[t][route(arrays, bins)], -1)
+                for s in np.unique(slot[slot >= 0]):
+                    rows = slot == s
+                    for b, layout in enumerate(blocks):
+                        key = int(s) * len(blocks) + b
+                        sums = layout.sums(bins[rows], stats[rows])
+                        total[key] = total[key] + sums if key in total else sums
+        keys = list(total)
+        yield pa.RecordBatch.from_pydict(
+            {"task": pa.array([k % tasks for k in keys], pa.int32()), "key": pa.array(keys, pa.int64()), "sums": pa.array([total[k].tobytes() for k in keys], pa.binary())}
+        )
+
+    def settle(batches):
+        total: dict = {}
+        for batch in batches:
+            for key, sums in zip(batch.column("key").to_pylist(), batch.column("sums").to_pylist()):
+                sums = np.frombuffer(sums).reshape(-1, n_stats)
+                total[key] = total[key] + sums if key in total else sums
+        rows = []
+        for key, sums in total.items():
+            s, b = divmod(key, len(blocks))
+            found = blocks[b].best(sums, gains[of_slot[s]], None if allowed is None else allowed[of_slot[s]])
+            gain, f, cut, left = found or (0.0, -1, 0, sums[-1])
+            rows.append((s, gain, f, cut, left.tolist(), sums[-1].tolist()))
+        yield pa.RecordBatch.from_pylist([dict(zip(SPLIT.names, r)) for r in rows], schema=SPLIT)
+
+    parts = data.mapInArrow(partial, SUMS_TYPE).repartitionById(tasks, "task")
+    found = parts.mapInArrow(settle, SPLIT_TYPE).toArrow().to_pylist()
+    out: dict = {}
+    for r in sorted(found, key=lambda r: (r["slot"], -r["gain"], r["feature"], r["cut"])):
+        out.setdefault(r["slot"], (r["gain"], r["feature"], r["cut"], np.array(r["lefts"]), np.array(r["alls"])))
+    return out
 
 
-# (left stats, right stats, all stats) -> gain, −inf where the split is not allowed.
-Gain = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+def feature_blocks(n_edges: Sequence[int]) -> list[list[int]]:
+    """Features in blocks of about ``BLOCK_CELLS`` cells."""
+    blocks, cells = [[]], 0
+    for f, n in enumerate(n_edges):
+        if cells + n + 1 > BLOCK_CELLS and blocks[-1]:
+            blocks.append([])
+            cells = 0
+        blocks[-1].append(f)
+        cells += n + 1
+    return blocks
+
+
+def small_trees(data: DataFrame, trees: Sequence[Tree], nodes: Sequence[tuple[int, int]], row_stats: RowStats, gains: Sequence[Gain], n_edges: Sequence[int], n_stats: int, depths: Sequence[int], allowed, min_rows: float) -> dict[int, Tree]:
+    """Whole subtrees below small nodes, {place in ``nodes``: subtree}: one job in which each node's rows meet in a task."""
+    slots, frozen = _slots(trees, nodes)
+    p, layout = len(n_edges), Layout(n_edges)
+    of_slot = [(t, depths[t] - trees[t].depth[n]) for t, n in nodes]
+
+    def deal(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pdf, bins = read_batch(batch, p)
+            out = []
+            for t, arrays in frozen.items():
+                use, stats = row_stats(pdf, bins, t)
+                slot = np.where(use, slots[t][route(arrays, bins)], -1)
+                for s in np.unique(slot[slot >= 0]):
+                    rows = slot == s
+                    out.append((int(s), bins[rows].tobytes(), stats[rows].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[i] for o in out], pa.binary()) for i in (1, 2)]], ["slot", "bins", "stats"])
+
+    def finish(batches):
+        held: dict = {}
+        for batch in batches:
+            for s, bins, stats in zip(*[batch.column(c).to_pylist() for c in ("slot", "bins", "stats")]):
+                held.setdefault(s, []).append((bins, stats))
+        for s, parts in held.items():
+            t, depth = of_slot[s]
+            bins = np.frombuffer(b"".join(b for b, _ in parts), dtype="uint8").reshape(-1, p)
+            stats = np.frombuffer(b"".join(x for _, x in parts)).reshape(-1, n_stats)
+            # Rows may arrive in any order; the sums must not depend on it.
+            order = np.lexsort(stats.T)
+            tree = grow_small(layout, bins[order], stats[order], gains[t], None if allowed is None else allowed[t], depth, min_rows)
+            yield tree_row(s, 0, tree)
+
+    parts = data.mapInArrow(deal, ROWS_TYPE).repartitionById(len(nodes), "slot")
+    return {r["slot"]: tree_of_row(r, n_stats) for r in parts.mapInArrow(finish, SUBTREE_TYPE).toArrow().to_pylist()}
 
 
 def grow(
     data: DataFrame,
     n_trees: int,
     row_stats: RowStats,
-    gain: Gain,
+    gain: Gain | Sequence[Gain],
     n_edges: Sequence[int],
     n_stats: int,
-    max_depth: int,
-    allowed: Sequence[Sequence[int]] | None = None,
+    max_depth: int | Sequence[int],
+    allowed: Sequence[Sequence[int] | None] | None = None,
     min_rows: float = 2,
+    n_rows: int | None = None,
 ) -> list[Tree]:
-    """Grow several trees over the same rows, all levels of all trees together."""
-    p, n_bins = len(n_edges), int(max(n_edges, default=0)) + 1
+    """Grow several trees over the same rows together; gains, depths and features may differ from tree to tree.
+
+    All nodes of a level with many rows are split by one job.  Nodes whose rows fit a
+    task wait until no others are left; then one job grows all of them to their ends.
+    Both ways search the same sums, so where a node is grown does not change the tree.
+    """
     trees = [Tree() for _ in range(n_trees)]
-    usable = np.array([[b < n for b in range(n_bins)] for n in n_edges])
-    if p * n_bins > MAX_CELLS:
-        raise ValueError(f"{p} features with {n_bins} bins make more than {MAX_CELLS} sums a node; use fewer bins")
-    chunk = max(1, MAX_CELLS // max(1, p * n_bins))
-
-    def best_split(t: int, n: int, sums: np.ndarray) -> bool:
-        whole = sums[0].sum(axis=0)
-        if not trees[t].stats[n]:
-            trees[t].stats[n] = tuple(whole)
-        left = sums.cumsum(axis=1)
-        g = np.where(usable, gain(left, whole - left, whole), -np.inf)
-        if allowed is not None:
-            mask = np.zeros(p, dtype=bool)
-            mask[list(allowed[t])] = True
-            g[~mask] = -np.inf
-        f, b = divmod(int(np.argmax(g)), n_bins)
-        if not g[f, b] > 0:
-            return False
-        trees[t].split(n, f, b, float(g[f, b]), tuple(left[f, b]), tuple(whole - left[f, b]))
-        return True
-
-    # (tree, node to sum up, nodes to split, parent's sums)
-    work: list[tuple] = [(t, 0, [0], None) for t in range(n_trees)]
-    for _ in range(max_depth):
-        following = []
-        for start in range(0, len(work), chunk):
-            part = work[start : start + chunk]
-            sums = level_sums(data, trees, [(t, n) for t, n, _, _ in part], row_stats, p, n_bins, n_stats)
-            for (t, small, nodes, parent), own in zip(part, sums):
-                for n in nodes:
-                    cells = own if n == small else parent - own
-                    if not best_split(t, n, cells):
-                        continue
-                    sides = (trees[t].left[n], trees[t].right[n])
-                    rows = [trees[t].stats[c][0] for c in sides]
-                    open_ = [c for c, r in zip(sides, rows) if r >= min_rows]
-                    if open_:
-                        # Rows of the smaller side are summed up, the other side is the rest of the parent.
-                        following.append((t, sides[int(rows[1] < rows[0])], open_, cells))
-        work = following
-        if not work:
-            break
-    return trees
+    gains = [gain] * n_trees if callable(gain) else list(gain)
+    depths = [max_depth] * n_trees if isinstance(max_depth, int) else list(max_depth)
+    fit = small_rows(len(n_edges), n_stats)
+    chunk = max(1, TASK_CELLS // max(1, Layout(n_edges).cells))
+    small: list[tuple[int, int]] = []
+    large: list[tuple[int, int]] = []
+
+    def open_(t: int, n: int, rows: float | None) -> None:
+        if trees[t].depth[n] < depths[t] and (rows is None or rows >= min_rows):
+            (large if rows is None or rows > fit else small).append((t, n))
+
+    for t in range(n_trees):
+        open_(t, 0, n_rows)
+    while large:
+        level, large = large, []
+        for start in range(0, len(level), chunk):
+            part = level[start : start + chunk]
+            found = level_splits(data, trees, part, row_stats, gains, n_edges, n_stats, allowed)
+            for s, (g, f, cut, left, whole) in found.items():
+                t, n = part[s]
+                trees[t].stats[n] = trees[t].stats[n] or tuple(whole)
+                if f >= 0:
+                    trees[t].split(n, f, cut, g, tuple(left), tuple(whole - left))
+                    open_(t, trees[t].left[n], left[0])
+                    open_(t, trees[t].right[n], whole[0] - left[0])
+    if small:
+        for s, subtree in small_trees(data, trees, small, row_stats, gains, n_edges, n_stats, depths, allowed, min_rows).items():
+            trees[small[s][0]].graft(small[s][1], subtree)
+    return [t.level_order() for t in trees]
 
 
 # --- tables and expressions

@@ -42,11 +42,11 @@ def test_boosters_are_full_size(spark, monkeypatch, query):
 def test_sweep_fits_registers_and_activates_all(spark, monkeypatch):
     fitted = []
 
-    def cheap(kind, params, df, features, label, seed=42):
-        fitted.append((kind, params))
-        return bo.fit_booster(df, bo.BoosterSpec(tuple(features), label, "squared", n_estimators=len(fitted), max_depth=1))
+    def cheap(configs, df, features, label, seed=42):
+        fitted.extend(configs)
+        return bo.fit_boosters(df, [bo.BoosterSpec(tuple(features), label, "squared", n_estimators=i + 1, max_depth=1) for i in range(len(configs))])
 
-    monkeypatch.setattr(se, "fit_kind", cheap)
+    monkeypatch.setattr(se, "fit_kinds", cheap)
     rows = QUERIES["j15_j16_sweep"](spark, SMALL).orderBy("place").collect()
     assert fitted == list(se.SWEEP) and [r["model"] for r in rows] == [se.label_of(*c) for c in se.SWEEP]
     assert [r["version"] for r in rows] == ["1", "2", "3", "4", "5", "6"]
@@ -69,7 +69,7 @@ def test_two_stages_are_full_size_weighted_and_oversampled(spark, monkeypatch):
 
     monkeypatch.setattr(ts, "fit_booster", cheap)
     table = QUERIES["j21_stage_importance"](spark, SMALL)
-    (yes, first), (size, second) = fits
+    (yes, first), (size, second) = sorted(fits, key=lambda x: x[1].objective)
     assert (first.objective, second.objective) == ("logistic", "tweedie") and len(first.features) > 40
     assert all((spec.n_estimators, spec.max_depth) == (100, 5) for spec in (first, second))
     assert yes.where(F.col("_yes") == 1).select("_pw").distinct().first()[0] == 20

@@ -215,3 +215,33 @@ def test_more_edges_than_a_byte_can_number_are_refused(spark):
         tr.bin_rows(spark.range(3).selectExpr("double(id) as x"), ["x"], [tr.np.arange(256.0)], ["x"])
     with pytest.raises(ValueError, match="max_bins"):
         tr.fit_edges(spark.range(3).selectExpr("double(id) as x"), ["x"], 256)
+
+
+def shapes(models):
+    return [(t.feature, t.cut, [round(v, 9) for v in t.value]) for m in models for t in m.trees]
+
+
+def test_models_fitted_together_equal_single_fits_wherever_nodes_are_grown(rows, monkeypatch):
+    """Ten points of a search at once, one by one, with all nodes split on the cluster, and with small subtrees in tasks."""
+    df, _ = rows
+    base = bo.BoosterSpec(("a", "b", "rare"), "yes", "logistic", key="id", refresh=3)
+    points = [{**p, "n_estimators": 2 + i, "max_depth": 1 + i % 4} for i, p in enumerate(se.candidates(se.CLASSIFIER_SPACE, 5))]
+    specs = [bo.with_params(base, **p) for p in points]
+    together = bo.fit_boosters(df, specs)
+    assert shapes(together) == shapes([bo.fit_booster(df, s) for s in specs]) and [len(m.trees) for m in together] == [2, 3, 4, 5, 6]
+    assert any(len(t.feature) > 3 for m in together for t in m.trees)
+    for small, cells in ((0, 4), (0, 4096), (40_000, 4096)):
+        monkeypatch.setattr(tr, "SMALL_BYTES", small)
+        monkeypatch.setattr(tr, "BLOCK_CELLS", cells)
+        assert shapes(bo.fit_boosters(df.repartition(5), specs)) == shapes(together)
+    with pytest.raises(ValueError, match="same"):
+        bo.fit_boosters(df, [base, bo.BoosterSpec(("a",), "yes", "logistic", key="id")])
+
+
+def test_poisson_tree_is_the_same_wherever_nodes_are_grown(rows, monkeypatch):
+    df, _ = rows
+    whole = pt.fit_poisson_tree(df, SPEC)
+    for small in (0, 60_000):
+        monkeypatch.setattr(tr, "SMALL_BYTES", small)
+        part = pt.fit_poisson_tree(df, SPEC)
+        assert sorted(part.rules()) == sorted(whole.rules()) and part.tree.leaves()
