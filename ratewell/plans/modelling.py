@@ -14,8 +14,6 @@ from ..workflow import feature_columns
 from .base import Registry, clean, r6, scored, with_clean, with_scored
 from .summaries import UNIT_SQL
 
-FEATURES = ("SEAM_HEIGHT", "AVG_EMP_TOTAL", "PCT_HRS_UNDERGROUND", "PCT_HRS_STRIP", "PCT_HRS_OFFICE")
-
 
 def level_glm(s, d):
     rows = clean(s, d).select("MINE_ID", "COMMODITY", "NUM_INJURIES", "EMP_HRS_TOTAL")
@@ -63,7 +61,7 @@ FULL_SPEC = glm.GlmSpec(glm.full_model_terms(kind="COMMODITY"), tol=1e-12)
 
 
 def _parts(s, d):
-    rows = clean(s, d).select("MINE_ID", "YEAR", "US_STATE", "NUM_INJURIES", "INJ_RATE_PER2K", "EMP_HRS_TOTAL", *FEATURES)
+    rows = clean(s, d).select("MINE_ID", "YEAR", "US_STATE", "NUM_INJURIES", "INJ_RATE_PER2K", "EMP_HRS_TOTAL")
     return sp.random_split(rows, "MINE_ID", 0.75, 42)
 
 
@@ -128,6 +126,106 @@ def first_split_sql(objective, label):
     )
 
 
+# --- trees grown level by level in SQL; a node's path is 1 for the root, 2n and 2n + 1 below n
+
+
+def node_paths(trees, edges, features, leaf=r6):
+    """Inner nodes with their splits and leaves with their values, by path."""
+    rows = []
+    for number, tree in enumerate(trees):
+        stack = [(0, 1)]
+        while stack:
+            n, path = stack.pop()
+            f = tree.feature[n]
+            inner = f >= 0
+            if inner:
+                stack += [(tree.left[n], 2 * path), (tree.right[n], 2 * path + 1)]
+            rows.append((number, path, features[f] if inner else None, float(edges[f][tree.cut[n]]) if inner else None, tree.gain[n] if inner else None, None if inner else tree.value[n], int(tree.stats[n][0])))
+    return rows, "tree int, path bigint, feature string, threshold double, gain double, step double, n bigint"
+
+
+def grown_rows(s, trees, edges, features):
+    rows, schema = node_paths(trees, edges, features)
+    return s.createDataFrame(rows, schema).withColumns({"gain": F.round("gain", 4), "step": F.round("step", 6)})
+
+
+def grown_sql(source, tree, depth, sums, gain, allowed):
+    """CTEs ``t{tree}_{level}`` of rows with their node, ``b{tree}_{level}`` of best splits; ``sums`` name columns of the source."""
+    out = [(f"t{tree}_0", f"SELECT *, 1 AS node FROM {source}")]
+    for k in range(depth):
+        rows = f"(SELECT * FROM t{tree}_{k} WHERE node >= {2**k})"
+        sides = ", ".join(f"coalesce(sum({c}) FILTER (x <= t), 0) AS l{c}, coalesce(sum({c}) FILTER (x > t), 0) AS r{c}" for c in sums)
+        parts = " UNION ALL ".join(
+            f"""SELECT node, '{f}' AS feature, {i} AS place, CAST(t AS DOUBLE) AS threshold, {sides} FROM (SELECT *, {f} AS x FROM {rows})
+            JOIN (SELECT DISTINCT node, {f} AS t FROM {rows}) USING (node) GROUP BY node, t"""
+            for i, f in enumerate(SPLIT_FEATURES)
+        )
+        out.append((f"b{tree}_{k}", f"""SELECT * FROM (SELECT *, {gain} AS gain FROM ({parts}) WHERE {allowed}) WHERE gain > 1e-9
+            QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, place, threshold) = 1"""))
+        side = "CASE b.feature " + " ".join(f"WHEN '{f}' THEN r.{f}" for f in SPLIT_FEATURES) + " END <= b.threshold"
+        out.append((f"t{tree}_{k + 1}", f"""SELECT r.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN r.node WHEN {side} THEN 2 * r.node ELSE 2 * r.node + 1 END AS node
+            FROM t{tree}_{k} r LEFT JOIN b{tree}_{k} b ON r.node = b.node"""))
+    return out
+
+
+def grown_nodes_sql(tree, depth, step):
+    inner = " UNION ALL ".join(
+        f"SELECT {tree} AS tree, CAST(node AS BIGINT) AS path, feature, threshold, round(gain, 4) AS gain, CAST(NULL AS DOUBLE) AS step, CAST(ln + rn AS BIGINT) AS n FROM b{tree}_{k}"
+        for k in range(depth)
+    )
+    return f"""{inner} UNION ALL SELECT {tree}, CAST(node AS BIGINT), NULL, NULL, NULL, round({step}, 6), CAST(sum(n) AS BIGINT) FROM t{tree}_{depth} GROUP BY node"""
+
+
+POISSON_TERM = "(CASE WHEN {y} > 0 AND {e} > 0 THEN {y} * ln({y} / {e}) ELSE 0 END - {y})"
+LEVELS, TREES = 3, 3
+
+
+def poisson_levels(s, d):
+    spec = pt.TreeSpec(SPLIT_FEATURES, cp=0.0, max_depth=LEVELS, max_bins=tr.MAX_BINS)
+    model = pt.fit_poisson_tree(clean(s, d), spec)
+    return grown_rows(s, [model.tree], model.edges, SPLIT_FEATURES)
+
+
+def poisson_levels_sql():
+    l, r, both = (POISSON_TERM.format(y=y, e=e) for y, e in (("ly", "le"), ("ry", "re"), ("(ly + ry)", "(le + re)")))
+    parts = grown_sql("targets", 0, LEVELS, ("n", "y", "e"), f"2 * ({l} + {r} - {both})", "ln >= 25 AND rn >= 25")
+    targets = f"SELECT {', '.join(SPLIT_FEATURES)}, 1 AS n, CAST(NUM_INJURIES AS DOUBLE) AS y, EMP_HRS_TOTAL / 2000 AS e FROM clean"
+    return with_clean(grown_nodes_sql(0, LEVELS, "sum(y) / sum(e)"), targets=targets, **dict(parts))
+
+
+def boosted_levels(objective, label):
+    """Several trees, each on the scores that those before it leave."""
+
+    def run(s, d):
+        rows = clean(s, d).withColumn("any_event", lb.any_event("NUM_INJURIES"))
+        spec = bo.BoosterSpec(SPLIT_FEATURES, label, objective, n_estimators=TREES, max_depth=LEVELS, max_bins=tr.MAX_BINS, learning_rate=0.3)
+        model = bo.fit_booster(rows, spec)
+        return grown_rows(s, model.trees, model.edges, SPLIT_FEATURES)
+
+    return run
+
+
+# Link of the mean and its inverse.
+_LINKS = {"squared": ("avg(y)", "f"), "logistic": ("ln(avg(y) / (1 - avg(y)))", "1 / (1 + exp(-f))"), "poisson": ("ln(avg(y))", "exp(f)"), "tweedie": ("ln(avg(y))", "exp(f)")}
+
+
+def boosted_levels_sql(objective, label):
+    y = {"any_event": "CAST(NUM_INJURIES > 0 AS DOUBLE)"}.get(label, f"CAST({label} AS DOUBLE)")
+    (g, h), (link, mean) = _SLOPES[objective], _LINKS[objective]
+    columns = ", ".join(SPLIT_FEATURES)
+    step = "-sum(g) / (sum(h) + 1)"
+    if objective == "poisson":
+        step = f"greatest(-0.7::DOUBLE, least(0.7::DOUBLE, {step}))"
+    step += " * 0.3::DOUBLE"
+    gain = "(lg * lg / (lh + 1) + rg * rg / (rh + 1) - (lg + rg) * (lg + rg) / (lh + rh + 1)) / 2"
+    parts = {"targets": f"SELECT {columns}, {y} AS y FROM clean", "f0": f"SELECT *, (SELECT {link} FROM targets) AS f FROM targets"}
+    for t in range(TREES):
+        parts[f"s{t}"] = f"SELECT {columns}, y, f, 1 AS n, {g} AS g, {h} AS h FROM (SELECT *, {mean} AS m FROM f{t})"
+        parts |= dict(grown_sql(f"s{t}", t, LEVELS, ("n", "g", "h"), gain, "lh >= 1 AND rh >= 1"))
+        parts[f"f{t + 1}"] = f"SELECT {columns}, y, f + step AS f FROM t{t}_{LEVELS} JOIN (SELECT node, {step} AS step FROM t{t}_{LEVELS} GROUP BY node) USING (node)"
+    return with_clean(" UNION ALL ".join(grown_nodes_sql(t, LEVELS, step) for t in range(TREES)), **parts)
+
+
 def register(reg: Registry) -> None:
     # --- linear models
     reg.add(
@@ -238,19 +336,35 @@ def register(reg: Registry) -> None:
             FROM ({sides}) WHERE ln >= 25 AND rn >= 25 ORDER BY 3 DESC LIMIT 1"""
         ),
     )
-    reg.add(
-        "j7_poisson_tree",
-        lambda s, d: pt.fit_poisson_tree(clean(s, d), pt.TreeSpec(FEATURES, cp=0.0005)).nodes().select(
-            "node", "depth", "feature", r6("threshold"), r6("value"), r6("gain"), "rows"
-        ),
-    )
+    def poisson_tree(s, d):
+        rows, columns, names = _encoded(s, d)
+        return rows, pt.fit_poisson_tree(rows, pt.TreeSpec(columns, cp=0.0005)), dict(zip(columns, names))
+
+    def poisson_nodes(s, d):
+        _, model, names = poisson_tree(s, d)
+        named = s.createDataFrame(list(names.items()), "feature string, name string")
+        return model.nodes().join(named, "feature", "left").select("node", "depth", F.col("name").alias("feature"), r6("threshold"), r6("value"), r6("gain"), "rows")
+
+    reg.add("j7_poisson_tree", poisson_nodes)
+    reg.add("j7_poisson_levels", poisson_levels, poisson_levels_sql())
 
     def complexity(s, d):
-        spec = pt.TreeSpec(FEATURES, cp=0.0005)
-        return pt.fit_with_complexity(clean(s, d), spec, "MINE_ID", folds=10)[1].table()
+        rows, columns, _ = _encoded(s, d)
+        return pt.fit_with_complexity(rows, pt.TreeSpec(columns, cp=0.0005), "MINE_ID", folds=10)[1].table()
 
     reg.add("j8_complexity_table", complexity)
 
+    def pruned(s, d):
+        """The tree of the least cross-validated error, and that of the second row: in each, the leaves' events add up."""
+        rows, columns, _ = _encoded(s, d)
+        model, table = pt.fit_with_complexity(rows, pt.TreeSpec(columns, cp=0.0005), "MINE_ID", folds=10)
+        chosen = {"least_xerror": model.pruned(table.best_cp()), "second_row": model.pruned(table.cp_at(2)), "root": model.pruned(1.0)}
+        scores = rows.select("dataset", F.lit(0).alias("_"), *[(m.rate() * F.col("EMP_HRS_TOTAL") / 2000).alias(n) for n, m in chosen.items()])
+        return scores.agg(*[F.round(F.sum(n), 4).alias(n) for n in chosen], F.count(F.lit(1)).alias("n"))
+
+    total = "round(CAST(sum(NUM_INJURIES) AS DOUBLE), 4)"
+    reg.add("j8_pruned_trees", pruned, with_clean(f"SELECT {total} AS least_xerror, {total} AS second_row, {total} AS root, count(*) AS n FROM clean"))
+
     def fixed_tree(s, d):
         import numpy as np
 
@@ -271,18 +385,36 @@ def register(reg: Registry) -> None:
     )
     reg.add(
         "j10_tree_rules",
-        lambda s, d: s.createDataFrame(
-            list(enumerate(pt.fit_poisson_tree(clean(s, d), pt.TreeSpec(FEATURES, cp=0.0005)).rules())), "line int, rule string"
-        ),
+        lambda s, d: s.createDataFrame(list(enumerate(poisson_tree(s, d)[1].rules())), "line int, rule string"),
     )
 
     # --- library trees and boosters
     def weighted(s, d):
-        rows = _parts(s, d).withColumn("w", F.col("EMP_HRS_TOTAL") / 2000)
-        return rows, se.weighted_tree(FEATURES, "NUM_INJURIES", "w").fit(rows.where("dataset = 'train'"))
+        rows, columns, names = _encoded(s, d)
+        rows = rows.withColumn("w", F.col("EMP_HRS_TOTAL") / 2000)
+        return rows, se.weighted_tree(columns, "NUM_INJURIES", "w").fit(rows.where("dataset = 'train'")), dict(zip(columns, names))
 
     reg.add("j11_weighted_tree", lambda s, d: (lambda r: r[1].predict(r[0]).groupBy("dataset", r6("prediction")).agg(F.count(F.lit(1)).alias("n")))(weighted(s, d)))
-    reg.add("h3_top_importance", lambda s, d: weighted(s, d)[1].importance().limit(10))
+
+    def weighted_totals(s, d):
+        """In the training part a leaf is the weighted mean of its rows, so the weighted totals agree."""
+        rows, model, _ = weighted(s, d)
+        gap = F.sum(F.col("w") * F.col("prediction"))
+        return model.predict(rows).where("dataset = 'train'").agg(F.count(F.lit(1)).alias("n"), F.round(gap, 3).alias("weighted_total"))
+
+    reg.add(
+        "j11_weighted_totals",
+        weighted_totals,
+        with_clean(f"SELECT count(*) AS n, round(sum(EMP_HRS_TOTAL / 2000 * NUM_INJURIES), 3) AS weighted_total FROM clean WHERE {UNIT_SQL.format(key='MINE_ID', seed=42)} < 0.75"),
+    )
+
+    def top_importance(s, d):
+        _, model, names = weighted(s, d)
+        named = s.createDataFrame(list(names.items()), "feature string, name string")
+        top = model.importance().join(named, "feature").select(F.col("name").alias("feature"), "importance")
+        return top.orderBy(F.desc("importance"), "feature").limit(10)
+
+    reg.add("h3_top_importance", top_importance)
 
     def boosted(objective, label, **params):
         def run(s, d):
@@ -308,6 +440,7 @@ def register(reg: Registry) -> None:
         ("j15_squared_first_split", "squared", "INJ_RATE_PER2K"),
     ):
         reg.add(name, first_split(objective, label), first_split_sql(objective, label))
+        reg.add(name.replace("first_split", "levels"), boosted_levels(objective, label), boosted_levels_sql(objective, label))
 
     def swept(s, d):
         rows, columns, _ = _encoded(s, d)
