@@ -1,15 +1,17 @@
 """Generalised linear models of counts with an exposure offset.
 
-A model is a list of terms.  A term is a numeric column, a categorical column
-with a reference level, or the product of two numeric columns; stepwise
-selection drops whole terms.
+A model is a list of terms, given as such or as text (``formula``).  A term is a numeric
+column, a categorical column with a reference level, or a product of columns of
+either kind; stepwise selection drops whole terms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from itertools import combinations
 
 import numpy as np
 from pyspark import StorageLevel
@@ -31,6 +33,12 @@ class Term:
     columns: tuple[str, ...]
     reference: str | None = None
     categorical: bool = False
+    #: Categorical columns of a product.
+    factors: tuple[str, ...] = ()
+
+    @property
+    def categories(self) -> tuple[str, ...]:
+        return self.columns if self.categorical else self.factors
 
     @property
     def name(self) -> str:
@@ -45,8 +53,55 @@ def category(column: str, reference: str | None = None) -> Term:
     return Term((column,), reference, True)
 
 
-def product(left: str, right: str) -> Term:
-    return Term((left, right))
+def product(*columns: str, factors: Sequence[str] = ()) -> Term:
+    return Term(columns, factors=tuple(c for c in columns if c in factors))
+
+
+NAME = r"[A-Za-z_][A-Za-z0-9_]*"
+
+
+def formula(text: str, columns: Sequence[str] = (), categories: Sequence[str] = (), references: Mapping[str, str] | None = None, **settings) -> "GlmSpec":
+    """A model from text such as ``y ~ . - a + b:c + d * e + offset(log(hours))``.
+
+    Terms are added and taken away from left to right; ``.`` stands for all of
+    ``columns`` but the response and the exposure, ``a * b`` for ``a + b + a:b``.  Columns among
+    ``categories`` enter by their levels, less the reference level (the first one unless
+    ``references`` names it), in products, too.  Other settings are those of ``GlmSpec``.
+    """
+    bare = re.sub(r"\s+", "", text)
+    shape = re.fullmatch(rf"({NAME})~(.+)", bare)
+    if not shape:
+        raise ValueError(f"not a formula: {text}")
+    response, right = shape.groups()
+    exposure, terms = None, {}
+
+    def term(names: Sequence[str]) -> Term:
+        if len(names) == 1 and names[0] in categories:
+            return category(names[0], (references or {}).get(names[0]))
+        return product(*names, factors=categories)
+
+    parts = [m.groups() for m in re.finditer(rf"([+-]?)(offset\(log\({NAME}\)\)|\.|{NAME}(?:[:*]{NAME})*)", right)]
+    if "".join(sign + body for sign, body in parts) != right or any(not sign for sign, _ in parts[1:]):
+        raise ValueError(f"not a formula: {text}")
+    for _, body in parts:
+        if body.startswith("offset"):
+            exposure = body[len("offset(log(") : -2]
+    for sign, body in parts:
+        if body.startswith("offset"):
+            continue
+        if body == ".":
+            new = [(c,) for c in columns if c not in (response, exposure)]
+        elif "*" in body:
+            names = body.split("*")
+            new = [c for size in range(1, len(names) + 1) for c in combinations(names, size)]
+        else:
+            new = [tuple(body.split(":"))]
+        for names in new:
+            if sign == "-":
+                terms.pop(frozenset(names), None)
+            else:
+                terms.setdefault(frozenset(names), term(names))
+    return GlmSpec(tuple(sorted(terms.values(), key=lambda t: len(t.columns))), count=response, exposure=exposure, **settings)
 
 
 @dataclass(frozen=True)
@@ -128,19 +183,18 @@ class FittedGlm:
 
 def model_levels(df: DataFrame, terms: Sequence[Term]) -> dict[str, list[str]]:
     """Levels of the categorical terms, reference first."""
-    categorical = [t for t in terms if t.categorical]
-    found = fit_levels(df, [t.columns[0] for t in categorical])
-    return {t.columns[0]: ordered_levels(found[t.columns[0]], t.reference) for t in categorical}
+    references = {t.columns[0]: t.reference for t in terms if t.categorical}
+    names = list(dict.fromkeys(c for t in terms for c in t.categories))
+    found = fit_levels(df, names)
+    return {c: ordered_levels(found[c], references.get(c)) for c in names}
 
 
 def _columns(term: Term, levels: dict[str, list[str]]):
-    if term.categorical:
-        c = term.columns[0]
-        return [(f"{c}_{v}", fx.level_flag(c, v).cast("double")) for v in levels[c][1:]]
-    out = F.col(term.columns[0]).cast("double")
-    for c in term.columns[1:]:
-        out = out * F.col(c)
-    return [(term.name, out)]
+    out = [("", None)]
+    for c in term.columns:
+        flags = [(f"{c}_{v}", fx.level_flag(c, v).cast("double")) for v in levels[c][1:]] if c in term.categories else [(c, F.col(c).cast("double"))]
+        out = [(f"{a}:{b}" if a else b, x if y is None else y * x) for a, y in out for b, x in flags]
+    return out
 
 
 def feature_names(terms: Sequence[Term], levels: dict[str, list[str]]) -> list[str]:

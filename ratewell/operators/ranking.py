@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from ..functions.measures import sketched_quantiles
-from .relational import salted_lookup
+from .relational import counted_lookup
 
 BUCKETS = 1024
 _STEPS = [2**i for i in range(10, -1, -1)]
@@ -164,11 +164,11 @@ def percent_rank_average(df: DataFrame, value: str, by: Sequence[str] = (), out:
     """Rank within the group over its size; tied rows share the mean of their ranks."""
     key = F.struct(*[F.col(c) for c in (*by, value)])
     ranks = cumulative_counts(df, value, by).select(
-        key.alias("_tied"), ((F.col("n_to") - F.col("n") + (F.col("n") + 1) / 2) / F.col("n_all")).alias(out)
+        key.alias("_tied"), F.col("n").alias("_n"), ((F.col("n_to") - F.col("n") + (F.col("n") + 1) / 2) / F.col("n_all")).alias(out)
     )
-    # A value that many rows share is spread over tasks, and rows without value stay out of the lookup.
+    # Rows of a value that many share stay where they are, and rows without value stay out of the lookup.
     rows = df.withColumn("_tied", key)
-    ranked = salted_lookup(rows.where(F.col(value).isNotNull()), ranks, "_tied", F.struct(*df.columns))
+    ranked = counted_lookup(rows.where(F.col(value).isNotNull()), ranks, "_tied", "_n")
     missing = rows.where(F.col(value).isNull()).withColumn(out, F.lit(None).cast("double"))
     return ranked.select(*df.columns, out).unionByName(missing.select(*df.columns, out))
 

@@ -86,6 +86,21 @@ def salted_lookup(rows: DataFrame, groups: DataFrame, key: str, spread: Column,
     return left.join(right, on).drop("_salt", "_lookup_salt", "_lookup_key")
 
 
+def counted_lookup(rows: DataFrame, groups: DataFrame, key: str, count: str, share: int = 1024) -> DataFrame:
+    """Join a one-row-per-key table that holds each key's number of rows to those rows.
+
+    At most ``share`` keys can have a 1/``share`` part of all rows each: these are
+    broadcast, so their rows stay where they are.  The rows of all other keys take
+    an ordinary shuffle in which no key is heavy.  Null keys meet null keys.
+    """
+    groups = groups.withColumnRenamed(key, "_lookup_key")
+    total = groups.agg(F.sum(count)).scalar()
+    hot, cold = (groups.where(c).drop(count) for c in (F.col(count) * share >= total, F.col(count) * share < total))
+    on = F.col(key).eqNullSafe(F.col("_lookup_key"))
+    rest = rows.join(F.broadcast(hot.select("_lookup_key")), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on)).drop("_lookup_key")
+
+
 def _label_list(labels: DataFrame, column: str, most: int) -> Column:
     """All labels as one array; the table has one row per label already."""
     listed = labels.limit(most + 1).agg(

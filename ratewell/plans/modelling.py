@@ -37,13 +37,33 @@ def fitted_totals(s, d, kind):
     """Per coefficient of the full model the sum of its column times the fitted counts: at the maximum of the
     likelihood that of the counts themselves, and only there."""
     rows = _glm_rows(s, d).withColumn("MINE_CHAR", fx.joined_levels("TYPE_OF_MINE", "COMMODITY"))
-    fitted = glm.fit_glm(rows, glm.GlmSpec(glm.full_model_terms(kind=kind), tol=1e-12))
+    return totals_of_fit(rows, glm.fit_glm(rows, glm.GlmSpec(glm.full_model_terms(kind=kind), tol=1e-12)))
+
+
+def totals_of_fit(rows, fitted):
     columns = {n: c for t in fitted.spec.terms for n, c in glm._columns(t, fitted.levels)} | {"(Intercept)": F.lit(1.0)}
     sums = fitted.predict(rows).agg(*[F.sum(c * F.col("prediction")).alias(f"s{i}") for i, c in enumerate(columns.values())])
     pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.round(F.col(f"s{i}"), 2).alias("total")) for i, n in enumerate(columns)])
     return sums.select(F.explode(pairs).alias("p")).select("p.*")
 
 
+def formula_totals(s, d):
+    """The same for a model given as text, with a category in a product and a column taken away again."""
+    rows = _glm_rows(s, d)
+    columns = ("NUM_INJURIES", "SEAM_HEIGHT", "AVG_EMP_TOTAL", "PCT_HRS_OFFICE", "COMMODITY", "EMP_HRS_TOTAL")
+    spec = glm.formula("NUM_INJURIES ~ . - AVG_EMP_TOTAL + LOG_AVG_EMP_TOTAL * COMMODITY + offset(log(EMP_HRS_TOTAL))", columns, ["COMMODITY"], tol=1e-12)
+    return totals_of_fit(rows, glm.fit_glm(rows, spec))
+
+
+def formula_totals_sql():
+    total = "round(CAST(sum(NUM_INJURIES * {x}) AS DOUBLE), 2) AS total FROM clean"
+    plain = {"SEAM_HEIGHT": "SEAM_HEIGHT", "PCT_HRS_OFFICE": "PCT_HRS_OFFICE", "LOG_AVG_EMP_TOTAL": "ln(AVG_EMP_TOTAL)", "(Intercept)": "1"}
+    parts = [f"SELECT '{n}' AS name, {total.format(x=x)}" for n, x in plain.items()]
+    for prefix, x in (("COMMODITY_", "1"), ("LOG_AVG_EMP_TOTAL:COMMODITY_", "ln(AVG_EMP_TOTAL)")):
+        parts.append(f"SELECT '{prefix}' || COMMODITY AS name, {total.format(x=x)} WHERE COMMODITY <> (SELECT min(COMMODITY) FROM clean) GROUP BY COMMODITY")
+    return with_clean(" UNION ALL ".join(parts))
+
+
 def totals_of_counts_sql(kind, level):
     size = "ln(AVG_EMP_TOTAL)"
     columns = {
@@ -552,4 +572,5 @@ def register(reg: Registry) -> None:
         return out.groupBy("cls", "synthetic").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("x1"), "x1"))
 
     reg.add("e9_adaptive_oversampling", oversampled)
+    reg.add("d10_formula_text", formula_totals, formula_totals_sql())
     reg.add("d10_formula_terms", lambda s, d: fitted_totals(s, d, "COMMODITY"), totals_of_counts_sql("COMMODITY", "COMMODITY"))

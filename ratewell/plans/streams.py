@@ -57,6 +57,28 @@ def register(reg: Registry) -> None:
         + " UNION ALL SELECT window_start, version, '+Inf', n, n, total FROM t",
     )
 
+    def totals(s, d):
+        """Counters over the life of the stream; a version without requests stands at 0."""
+        counted = updates(s, jobs.usage_total(events_stream(s, d), "event_type"), ["version"])
+        known = table(s, d, "events").select(F.concat(F.lit("new "), "event_type").alias("version")).distinct()
+        return jobs.with_known(counted, known)
+
+    reg.add(
+        "l2_usage_total",
+        totals,
+        "SELECT event_type AS version, count(*) AS n FROM events GROUP BY 1 UNION ALL SELECT DISTINCT 'new ' || event_type, 0 FROM events",
+    )
+    reg.add(
+        "l3_latency_total",
+        lambda s, d: updates(s, jobs.latency_total(events_stream(s, d), "event_type", F.col("value") / 10.0), ["version", "le"]).withColumn("total", r6("total")),
+        """WITH l AS (SELECT event_type AS version, value / 10 AS x FROM events), t AS (SELECT version, count(x) AS n, round(sum(x), 6) AS total FROM l GROUP BY 1) """
+        + " UNION ALL ".join(
+            f"SELECT version, '{b}' AS le, count(*) FILTER (x <= {b}::DOUBLE) AS cumulative, any_value(n) AS n, any_value(total) AS total FROM l JOIN t USING (version) GROUP BY 1"
+            for b in les
+        )
+        + " UNION ALL SELECT version, '+Inf', n, n, total FROM t",
+    )
+
     def deduplicated(s, d):
         log = events_stream(s, d).select("ts", F.floor(F.col("event_id") / 3).cast("bigint").alias("request_id"))
         path = scratch_dir(s, "unique")

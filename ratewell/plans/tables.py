@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import features as fx, labels as lb
 from ..functions.hashing import hash_unit
-from ..operators import encode as en, evaluate as ev, relational as rel
+from .. import workflow as wf
+from ..operators import encode as en, evaluate as ev, features as ft, relational as rel, splits as sp
 from ..roles import SHARE_COLUMNS
 from ..session import scratch_dir
 from ..sources import requests as rq, runlog as rl, tables as tb, versions as vs
@@ -28,6 +29,15 @@ def metric_log(s, d):
     )
 
 
+#: Exported columns and what they are in SQL.
+EXPORTED = {
+    **{c: c for c in ("SEAM_HEIGHT", "AVG_EMP_TOTAL", *SHARE_COLUMNS)},
+    **{f"COMMODITY_{c}": f"CAST(COMMODITY = '{c}' AS INTEGER)" for c in ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")},
+    "label_NUM_INJURIES": "NUM_INJURIES",
+    "label_any_event": "CAST(NUM_INJURIES > 0 AS INTEGER)",
+    "label_class": "CASE WHEN INJ_RATE_PER2K >= 3 THEN 3 WHEN INJ_RATE_PER2K IN (1, 2) THEN INJ_RATE_PER2K ELSE 0 END",
+}
+
 METRIC_LOG_SQL = """SELECT strftime(ts, '%Y-%m-%d') AS run_id, event_type AS metric, epoch_us(ts) // 1000 AS ts_ms, value,
   event_id AS step FROM events"""
 
@@ -194,7 +204,26 @@ def register(reg: Registry) -> None:
         tb.write_snapshot(out, path)
         return tb.read_snapshot(s, path)
 
+    def export_all_features(s, d):
+        """Totals of the exported columns that have a plain form in SQL; the file holds all features."""
+        rows = ft.build_features(sp.random_split(clean(s, d), "MINE_ID", 0.75, 11))
+        groups = en.feature_groups(rows)
+        kinds = [[c for c in groups[k] if c not in ("MINE_ID", "dataset")] for k in ("categorical", "numeric", "labels")]
+        fitted = en.Preprocessor(*kinds, scale=False).fit(rows)
+        out = wf.export_test_set(rows, fitted, scratch_dir(s, "export"))
+        if set(fitted.names) - set(out.columns):
+            raise ValueError("a feature is missing in the export")
+        sums = out.agg(*[F.round(F.sum(F.col(f"`{c}`").cast("double")), 4).alias(c) for c in EXPORTED], F.count(F.lit(1)).cast("double").alias("rows"))
+        return sums.unpivot([], [*EXPORTED, "rows"], "name", "total")
+
     unit = UNIT_SQL.format(key="MINE_ID", seed=11)
+    reg.add(
+        "a13_export_all_features",
+        export_all_features,
+        with_clean(
+            " UNION ALL ".join(f"SELECT '{n}' AS name, round(CAST(sum({x}) AS DOUBLE), 4) AS total FROM clean WHERE {unit} >= 0.75" for n, x in (EXPORTED | {"rows": "1"}).items())
+        ),
+    )
     reg.add(
         "a13_export_test_set",
         export_test_set,

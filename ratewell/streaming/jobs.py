@@ -66,6 +66,23 @@ def latency_per_window(log: DataFrame, version: str, latency: Column, ts: str =
     return latency_long(flat, ["window_start", "version"])
 
 
+def usage_total(log: DataFrame, version: str) -> DataFrame:
+    """Predictions per version since the stream began; a restart goes on from its checkpoint."""
+    return log.groupBy(F.col(version).alias("version")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def latency_total(log: DataFrame, version: str, latency: Column) -> DataFrame:
+    """Cumulative latency buckets per version since the stream began."""
+    return latency_long(log.groupBy(F.col(version).alias("version")).agg(*latency_aggregates(latency)), ["version"])
+
+
+def with_known(totals: DataFrame, known: DataFrame, key: str = "version") -> DataFrame:
+    """Counters of all known keys: those that never came stand at 0."""
+    numbers = [f.name for f in totals.schema if f.name != key]
+    every = known.select(key).union(totals.select(key)).distinct()
+    return every.join(totals, key, "left").na.fill(0, numbers)
+
+
 def without_repeats(log: DataFrame, keys: Sequence[str], ts: str = "ts", late: str = "10 minutes") -> DataFrame:
     """First arrival of each request id; ids are remembered as long as repeats may come."""
     return log.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))

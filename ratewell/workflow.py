@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,6 +17,7 @@ from .models.scoring import Scorer
 from .models.two_stage import TwoStage, fit_two_stage, three_parts
 from .operators import clean as cl, encode as en, evaluate as ev, features as ft, splits as sp
 from .roles import MINE, Roles
+from .session import side_by_side
 from .sources import tables as tb
 
 
@@ -25,7 +27,7 @@ class TrainingPlan:
 
     test_size: float = 0.25
     val_size: float = 0.2
-    search_points: int = 0
+    search_points: int = 10
     seed: int = 1234
     n_estimators: int = 100
     max_depth: int = 5
@@ -121,8 +123,8 @@ def prepare(raw: DataFrame, root: str, plan: TrainingPlan = TrainingPlan(), role
 def fit_bundle(parts: DataFrame, stats: dict[str, float], plan: TrainingPlan = TrainingPlan(), roles: Roles = MINE) -> ModelBundle:
     """Encoder fitted on the training part, then one model or two stages on the rate.
 
-    With ``search_points`` the parameters of both stages are first chosen among so many
-    points by their loss on the validation part.
+    The parameters of both stages are first chosen among ``search_points`` points by their
+    loss on the validation part; 0 takes those of the plan.
     """
     featured = ft.build_features(parts, roles, stats=stats)
     train = featured.where(F.col("dataset") == "train")
@@ -160,14 +162,32 @@ def _searched(bundle: ModelBundle, train: DataFrame, parts: DataFrame, spec: Boo
     spec = replace(spec, key=r.key)
     val = bundle.matrix(parts.where(F.col("dataset") == "val")).select(r.key, *columns, r.rate).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yes = se.search(se.classifier_loss(train, val, r.rate, spec), se.candidates(se.CLASSIFIER_SPACE, plan.search_points, plan.seed, se.CLASSIFIER_START)).best
         some = [x.where(F.col(r.rate) > 0) for x in (train, val)]
-        size = se.search(se.regressor_loss(*some, r.rate, spec), se.candidates(se.REGRESSOR_SPACE, plan.search_points, plan.seed, se.REGRESSOR_START)).best
+        losses = se.classifier_loss(train, val, r.rate, spec), se.regressor_loss(*some, r.rate, spec)
+        spaces = (se.CLASSIFIER_SPACE, se.CLASSIFIER_START), (se.REGRESSOR_SPACE, se.REGRESSOR_START)
+        points = [se.candidates(space, plan.search_points, plan.seed, start) for space, start in spaces]
+        yes, size = (found.best for found in side_by_side([partial(se.search, loss, p) for loss, p in zip(losses, points)]))
     finally:
         val.unpersist()
     return with_params(spec, **yes), with_params(spec, **size), yes["scale_pos_weight"]
 
 
+def export_test_set(parts: DataFrame, fitted: en.FittedPreprocessor, path: str, roles: Roles = MINE, part: str = "test") -> DataFrame:
+    """Key, all encoded features by name and the labels of one part, stored at ``path`` and read back.
+
+    ``parts`` holds the features' columns and ``dataset``; the labels are the count, whether there is
+    any event, and the class of the rate.
+    """
+    columns = feature_columns(len(fitted.names))
+    wide = expand_vector(fitted.transform(parts.where(F.col("dataset") == part)), columns)
+    out = wide.select(
+        roles.key, *[F.col(c).alias(n) for c, n in zip(columns, fitted.names)],
+        F.col(roles.count).alias(f"label_{roles.count}"), lb.any_event(roles.count).alias("label_any_event"), lb.class_from_equal(roles.rate).alias("label_class"),
+    )
+    tb.write_snapshot(out, path)
+    return tb.read_snapshot(parts.sparkSession, path)
+
+
 def evaluate(bundle: ModelBundle, parts: DataFrame, plan: TrainingPlan = TrainingPlan()) -> DataFrame:
     """(metric, value) over all parts; for two stages also ranks and, if asked for, the best threshold.
 

@@ -112,3 +112,29 @@ def test_tweedie_family(counts):
     df, _ = counts
     s = glm.GlmSpec((glm.number("x"),), count="y", exposure="hours", family="tweedie", variance_power=1.1)
     assert glm.fit_glm(df, s).coefficients().where("name = 'x'").first()["estimate"] == pytest.approx(0.4, abs=0.1)
+
+
+def test_formula_text_equals_terms():
+    columns = ("y", "a", "b", "k", "hours")
+    spec = glm.formula("y ~ . - b + a:k + offset(log(hours))", columns, ["k"], {"k": "z"}, unit=1.0)
+    assert spec.terms == (glm.number("a"), glm.category("k", "z"), glm.product("a", "k", factors=["k"]))
+    assert (spec.count, spec.exposure, spec.unit) == ("y", "hours", 1.0)
+    assert {t.name for t in glm.formula("y~a*b*k-a:k-k:a:b").terms} == {"a", "b", "k", "a:b", "b:k"}
+    assert glm.formula("y ~ a + a + a:b + b:a").terms == (glm.number("a"), glm.product("a", "b")) and glm.formula("y ~ a").exposure is None
+    for wrong in ("y", "~ a", "y ~", "y ~ a b:", "y ~ a + + b", "y ~ a ^ 2", "y ~ log(a)"):
+        with pytest.raises(ValueError, match="formula"):
+            glm.formula(wrong)
+
+
+def test_category_in_a_product(spark):
+    """A category, a number and their product fit each level on its own."""
+    rng = np.random.default_rng(2)
+    k, a = rng.integers(0, 3, 900), rng.normal(size=900)
+    y = rng.poisson(np.exp(0.3 + 0.2 * k + (0.1 + 0.2 * k) * a))
+    df = spark.createDataFrame([(int(i), float(j), f"k{c}") for i, j, c in zip(y, a, k)], "y int, a double, k string")
+    spec = glm.formula("y ~ a * k", categories=["k"], tol=1e-12)
+    got = {r["name"]: r["estimate"] for r in glm.fit_glm(df, spec).coefficients().collect()}
+    for level in ("k0", "k1", "k2"):
+        one = {r["name"]: r["estimate"] for r in glm.fit_glm(df.where(F.col("k") == level), glm.formula("y ~ a", tol=1e-12)).coefficients().collect()}
+        assert one["a"] == pytest.approx(got["a"] + got.get(f"a:k_{level}", 0.0), abs=1e-6)
+        assert one["(Intercept)"] == pytest.approx(got["(Intercept)"] + got.get(f"k_{level}", 0.0), abs=1e-6)

@@ -70,3 +70,17 @@ def test_repeats_are_dropped_across_runs(spark, tmp_path):
     assert run() == [5, 6]
     put(inbox, "2.json", log_rows(6, 7))
     assert run() == [5, 6, 7]
+
+
+def test_counters_go_on_after_a_restart_and_known_versions_start_at_zero(spark, tmp_path):
+    """After each trigger, each a restart from the checkpoint, the counters equal those of all rows so far."""
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema, seen = "version string, ms double", []
+    known = spark.createDataFrame([("1",), ("2",), ("9",)], "version string")
+    for part in ([("1", 5.0), ("2", 90.0)], [("1", 7.0)] * 3, [("3", None), (None, 1.0)]):
+        spark.createDataFrame(part, schema).write.mode("append").json(folder)
+        seen += part
+        jobs.run_to_folder(jobs.usage_total(jobs.json_stream(spark, folder, schema), "version"), out, check, "update")
+        got = {r["version"]: r["n"] for r in jobs.with_known(jobs.read_updates(spark, out, ["version"]), known).collect() if r["version"] is not None}
+        want = {v: sum(s[0] == v for s in seen) for v in {"1", "2", "9", *(s[0] for s in seen if s[0])}}
+        assert got == want

@@ -11,7 +11,7 @@ from ratewell.plans.base import mine_year
 @pytest.mark.parametrize("two_stage", [False, True])
 def test_train_register_and_score(spark, tmp_path, two_stage):
     root = str(tmp_path)
-    plan = wf.TrainingPlan(n_estimators=2, max_depth=2, two_stage=two_stage, oversample=False, positive_weight=3.0, optimize_threshold=True, description="small")
+    plan = wf.TrainingPlan(n_estimators=2, max_depth=2, two_stage=two_stage, search_points=0, oversample=False, positive_weight=3.0, optimize_threshold=True, description="small")
     raw = mine_year(spark, SMALL)
     bundle, metrics, version = wf.train(raw, root, plan)
     values = {r["metric"]: r["value"] for r in metrics.collect()}
