@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import features as fx, labels as lb
@@ -92,7 +94,14 @@ def _encoded(s, d):
     kinds = [[c for c in groups[k] if c not in own] for k in ("categorical", "numeric", "labels")]
     fitted = en.Preprocessor(*kinds).fit(rows.where("dataset = 'train'"))
     columns = tuple(feature_columns(len(fitted.names)))
-    return bo.expand_vector(fitted.transform(rows), columns).drop("features"), columns, fitted.names
+    # Models read the encoded rows many times.
+    return stored(s, bo.expand_vector(fitted.transform(rows), columns).drop("features"), "encoded"), columns, fitted.names
+
+
+def stored(s, df, purpose):
+    path = scratch_dir(s, purpose)
+    df.write.parquet(path)
+    return s.read.parquet(path)
 
 
 SPLIT_FEATURES = ("AVG_EMP_TOTAL", "YEAR")
@@ -246,6 +255,25 @@ def boosted_levels_sql(objective, label):
     return with_clean(" UNION ALL ".join(grown_nodes_sql(t, LEVELS, step) for t in range(TREES)), **parts)
 
 
+# --- oversampling by brute force: neighbours of all rare vectors, hardness, and the copies that follow from it
+CLASS_SQL = "CAST(least(floor(NUM_INJURIES), 3) AS INTEGER)"
+QUOTAS_SQL = with_clean(
+    """SELECT cls, FALSE AS synthetic, CAST(sum(m) AS BIGINT) AS n FROM vectors GROUP BY cls
+    UNION ALL SELECT cls, TRUE, CAST(sum(round_even(ratio / t * gap, 0) * m) AS BIGINT) AS n FROM hard JOIN totals USING (cls) JOIN sizes USING (cls)
+    GROUP BY cls HAVING sum(round_even(ratio / t * gap, 0) * m) > 0""",
+    vectors=f"""SELECT EMP_HRS_TOTAL / 10000 AS x1, SEAM_HEIGHT / 20 AS x2, PCT_HRS_UNDERGROUND AS x3, {CLASS_SQL} AS cls, count(*) AS m,
+        min(CAST(MINE_ID AS BIGINT)) AS id FROM clean WHERE NUM_INJURIES > 0 GROUP BY ALL""",
+    sizes="SELECT cls, sum(m) AS size, max(sum(m)) OVER () - sum(m) AS gap FROM vectors GROUP BY cls",
+    settings="SELECT least(5, CASE WHEN min(size) > 1 THEN min(size) - 1 ELSE 1 END) AS k FROM sizes",
+    near="""SELECT a.id, a.cls, a.m, b.cls AS n_cls, b.m - CASE WHEN a.id = b.id THEN 1 ELSE 0 END AS own,
+        row_number() OVER (PARTITION BY a.id ORDER BY (a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2) + (a.x3 - b.x3) * (a.x3 - b.x3), b.id) AS place
+        FROM vectors a JOIN sizes s ON s.cls = a.cls AND s.gap > 0 CROSS JOIN vectors b QUALIFY place <= (SELECT k + 1 FROM settings)""",
+    takes="""SELECT *, greatest(least(own, (SELECT k FROM settings) - coalesce(sum(own) OVER (PARTITION BY id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)), 0) AS take FROM near""",
+    hard="SELECT id, cls, m, CAST(sum(CASE WHEN n_cls <> cls THEN take ELSE 0 END) AS DOUBLE) / (SELECT k FROM settings) AS ratio FROM takes GROUP BY id, cls, m",
+    totals="SELECT cls, sum(m * ratio) AS t FROM hard GROUP BY cls",
+)
+
+
 def register(reg: Registry) -> None:
     # --- linear models
     reg.add(
@@ -572,5 +600,26 @@ def register(reg: Registry) -> None:
         return out.groupBy("cls", "synthetic").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("x1"), "x1"))
 
     reg.add("e9_adaptive_oversampling", oversampled)
+    reg.add("e9_class_quotas", lambda s, d: oversampled(s, d).select("cls", "synthetic", "n"), QUOTAS_SQL)
+
+    def oversampled_features(s, d):
+        """All assembled features; a synthetic row lies between two rows of its class, so inside the class's range."""
+        rows, columns, _ = _encoded(s, d)
+        rows = rows.where("NUM_INJURIES > 0").withColumn("cls", lb.capped_class("NUM_INJURIES"))
+        out = stored(s, rs.adasyn(rows, "MINE_ID", list(columns), "cls", "NUM_INJURIES"), "oversampled")
+        ranges = out.where("NOT synthetic").groupBy("cls").agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))])
+        # Four rows: one per class.
+        made = out.where("synthetic").join(F.broadcast(ranges), "cls")
+        slack = 1e-9
+        outside = reduce(lambda a, b: a | b, [(F.col(c) < F.col(f"lo_{c}") - slack) | (F.col(c) > F.col(f"hi_{c}") + slack) for c in columns])
+        wrong = made.groupBy("cls").agg(F.count_if(outside).alias("outside"))
+        kept = out.groupBy("cls").agg(F.count_if(~F.col("synthetic")).alias("originals"))
+        return kept.join(wrong, "cls", "left").select("cls", "originals", F.coalesce("outside", F.lit(0)).alias("outside"))
+
+    reg.add(
+        "e9_assembled_oversampling",
+        oversampled_features,
+        with_clean(f"SELECT {CLASS_SQL} AS cls, count(*) AS originals, CAST(0 AS BIGINT) AS outside FROM clean WHERE NUM_INJURIES > 0 GROUP BY 1"),
+    )
     reg.add("d10_formula_text", formula_totals, formula_totals_sql())
     reg.add("d10_formula_terms", lambda s, d: fitted_totals(s, d, "COMMODITY"), totals_of_counts_sql("COMMODITY", "COMMODITY"))
