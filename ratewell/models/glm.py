@@ -7,14 +7,17 @@ either kind; stepwise selection drops whole terms.
 
 from __future__ import annotations
 
+import math
 import re
+import sys
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import partial
 from itertools import combinations
 
 import numpy as np
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import StorageLevel, cloudpickle
 from pyspark.errors import UnsupportedOperationException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
@@ -24,6 +27,9 @@ from ..functions import features as fx
 from ..operators.encode import fit_levels
 from ..operators.features import ordered_levels
 from ..roles import MINE, Roles
+from ..session import side_by_side
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass(frozen=True)
@@ -239,35 +245,126 @@ class Step:
     aic: float
 
 
-def step_aic(df: DataFrame, spec: GlmSpec, parallel: int = 4) -> tuple[FittedGlm, list[Step]]:
+def step_aic(df: DataFrame, spec: GlmSpec) -> tuple[FittedGlm, list[Step]]:
     """Drop terms one by one while the AIC falls.
 
-    A main effect stays as long as a product of it is in the model.  The
-    candidate fits of one step run side by side on one cached table.
+    A main effect stays as long as a product of it is in the model.  All candidates of a
+    step are blocks of one design and are refined in common passes, so the jobs
+    of a step do not grow with the number of terms.  Families other than
+    Poisson with the log link are fitted candidate by candidate.
     """
     levels = model_levels(df, spec.terms)
     need = sorted({c for t in spec.terms for c in t.columns} | {spec.count} | {c for c in (spec.exposure, spec.weight) if c})
-    rows = df.select(*need).persist()
+    rows = df.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        best = fit_glm(rows, spec, levels)
-        path = [Step(None, best.aic)]
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            while len(best.spec.terms) > 1:
-                held = {c for t in best.spec.terms if len(t.columns) > 1 for c in t.columns}
-                free = [t.name for t in best.spec.terms if len(t.columns) > 1 or t.columns[0] not in held]
-                fits = list(pool.map(lambda n: fit_glm(rows, best.spec.without(n), levels), free))
-                if not fits:
-                    break
-                place = min(range(len(fits)), key=lambda i: fits[i].aic)
-                if fits[place].aic >= best.aic:
-                    break
-                best = fits[place]
-                path.append(Step(free[place], best.aic))
-        return best, path
+        if spec.family == "poisson" and spec.link in (None, "log"):
+            measure = CommonPasses(rows, spec, levels)
+        else:
+            measure = lambda specs: side_by_side([partial(lambda s: fit_glm(rows, s, levels).aic, s) for s in specs])
+        best, path = spec, [Step(None, measure([spec])[0])]
+        while len(best.terms) > 1:
+            held = {c for t in best.terms if len(t.columns) > 1 for c in t.columns}
+            free = [t.name for t in best.terms if len(t.columns) > 1 or t.columns[0] not in held]
+            if not free:
+                break
+            aics = measure([best.without(n) for n in free])
+            place = min(range(len(aics)), key=lambda i: aics[i])
+            if aics[place] >= path[-1].aic:
+                break
+            best = best.without(free[place])
+            path.append(Step(free[place], aics[place]))
+        return fit_glm(rows, best, levels), path
     finally:
         rows.unpersist()
 
 
+class CommonPasses:
+    """AIC of several Poisson models that are parts of one design, by Newton steps in common passes.
+
+    A pass sends, for every model that still moves, one packed array a task: X'WX, X'(y − μ) and
+    the log-likelihood.  The arrays are added up on the cluster; the driver solves systems as
+    large as the number of coefficients.
+    """
+
+    def __init__(self, df: DataFrame, spec: GlmSpec, levels: dict[str, list[str]]):
+        pairs = [(t.name, n, c) for t in spec.terms for n, c in _columns(t, levels)]
+        self.terms, self.spec = [t for t, _, _ in pairs], spec
+        offset = F.lit(0.0) if spec.exposure is None else fx.log_exposure(spec.exposure, spec.unit)
+        weight = F.lit(1.0) if spec.weight is None else F.col(spec.weight).cast("double")
+        columns = F.array(F.lit(1.0), *[c for _, _, c in pairs])
+        rows = df.select(columns.alias("x"), F.col(spec.count).cast("double").alias("y"), offset.alias("o"), weight.alias("w"))
+        self.rows = rows
+        sums = rows.agg(F.sum(F.col("w") * F.col("y")).alias("y"), F.sum(F.col("w") * F.exp("o")).alias("e")).first()
+        start = np.zeros(len(pairs) + 1)
+        start[0] = np.log(max(sums["y"] or 0.0, 1e-9) / (sums["e"] or 1.0))
+        self.beta = start
+
+    def __call__(self, specs: Sequence[GlmSpec]) -> list[float]:
+        kept = [{t.name for t in s.terms} for s in specs]
+        places = [np.array([0, *[i + 1 for i, t in enumerate(self.terms) if t in k]]) for k in kept]
+        # Candidates start from the last model that was settled.
+        beta = [self.beta[p] for p in places]
+        before, value, last = [-np.inf] * len(specs), [None] * len(specs), [None] * len(specs)
+        moving = list(range(len(specs)))
+        for _ in range(2 * self.spec.max_iter):
+            sums = self._pass([(places[c], beta[c]) for c in moving])
+            still = []
+            for c, (gram, slope, ll) in zip(moving, sums):
+                if last[c] is not None and not ll >= before[c] - 1e-9 * (abs(before[c]) + 1.0):
+                    # Too long a step: half of it.
+                    beta[c] = (beta[c] + last[c]) / 2
+                    still.append(c)
+                    continue
+                value[c] = ll
+                if abs(ll - before[c]) <= 1e-11 * (abs(ll) + 0.1):
+                    continue
+                before[c], last[c] = ll, beta[c]
+                beta[c] = beta[c] + np.linalg.lstsq(gram, slope, rcond=None)[0]
+                still.append(c)
+            moving = still
+            if not moving:
+                break
+        if len(specs) == 1:
+            self.beta = np.zeros(len(self.terms) + 1)
+            self.beta[places[0]] = beta[0]
+        return [-2.0 * v + 2.0 * len(p) for v, p in zip(value, places)]
+
+    def _pass(self, models: Sequence[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        p = len(self.terms) + 1
+
+        def partial_sums(batches):
+            total = [np.zeros(len(i) ** 2 + len(i) + 1) for i, _ in models]
+            for batch in batches:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+                y, o, w = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 2, 3))
+                counts, which = np.unique(y, return_inverse=True)
+                log_factorial = np.array([math.lgamma(v + 1.0) for v in counts])[which]
+                for s, (i, b) in zip(total, models):
+                    part = x[:, i]
+                    eta = part @ b + o
+                    mu = np.exp(np.minimum(eta, 700.0))
+                    gram = (part * (w * mu)[:, None]).T @ part
+                    s += np.concatenate([gram.ravel(), part.T @ (w * (y - mu)), [(w * (y * eta - mu - log_factorial)).sum()]])
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(models)), pa.int32()), pa.array([s.tobytes() for s in total], pa.binary())], ["model", "sums"])
+
+        def add(batches):
+            total: dict = {}
+            for batch in batches:
+                for m, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    s = np.frombuffer(s)
+                    total[m] = total[m] + s if m in total else s
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([s.tobytes() for s in total.values()], pa.binary())], ["model", "sums"])
+
+        parts = self.rows.mapInArrow(partial_sums, "model int, sums binary").repartitionById(len(models), "model")
+        found = parts.mapInArrow(add, "model int, sums binary").toArrow()
+        sums = dict(zip(found.column("model").to_pylist(), found.column("sums").to_pylist()))
+        out = []
+        for m, (i, _) in enumerate(models):
+            s, k = np.frombuffer(sums[m]), len(i)
+            out.append((s[: k * k].reshape(k, k), s[k * k : -1], float(s[-1])))
+        return out
+
+
 def step_table(path: Sequence[Step]) -> DataFrame:
     rows = [(i, s.removed, s.aic) for i, s in enumerate(path)]
     return SparkSession.active().createDataFrame(rows, "step int, removed string, aic double")

@@ -348,6 +348,29 @@ def register(reg: Registry) -> None:
         return glm.step_table(glm.step_aic(rows, glm.GlmSpec(glm.full_model_terms()))[1])
 
     reg.add("j4_step_aic", stepwise)
+
+    def candidate_aics(s, d):
+        """Models of one design measured in common passes; those of one factor, and of two with their product, have closed forms."""
+        rows = clean(s, d)
+        both = glm.formula("NUM_INJURIES ~ TYPE_OF_MINE * COMMODITY + offset(log(EMP_HRS_TOTAL))", categories=["TYPE_OF_MINE", "COMMODITY"])
+        models = {"both": both, "COMMODITY": both.without("TYPE_OF_MINE").without("TYPE_OF_MINE:COMMODITY"), "TYPE_OF_MINE": both.without("COMMODITY").without("TYPE_OF_MINE:COMMODITY")}
+        aics = glm.CommonPasses(rows, both, glm.model_levels(rows, both.terms))(list(models.values()))
+        values = F.array(*[F.struct(F.lit(n).alias("model"), F.lit(round(a, 3)).alias("aic")) for n, a in zip(models, aics)])
+        return rows.agg(F.count(F.lit(1)).alias("n")).select("n", F.explode(values).alias("m")).select("n", "m.*")
+
+    own_aic = """SELECT count(*) AS n, '{name}' AS model, round(-2 * sum(NUM_INJURIES * ln(w * y / e) - w * y / e - lgamma(NUM_INJURIES + 1)) + 2 * {k}, 3) AS aic
+        FROM (SELECT *, EMP_HRS_TOTAL / 2000 AS w FROM clean) JOIN (SELECT {keys}, sum(NUM_INJURIES) AS y, sum(EMP_HRS_TOTAL) / 2000 AS e FROM clean GROUP BY ALL) USING ({keys})"""
+    levels_of = "(SELECT count(DISTINCT {0}) FROM clean)".format
+    reg.add(
+        "j4_candidate_aics",
+        candidate_aics,
+        with_clean(
+            " UNION ALL ".join(
+                own_aic.format(name=n, keys=", ".join(keys), k=" * ".join(map(levels_of, keys)))
+                for n, keys in (("both", ("TYPE_OF_MINE", "COMMODITY")), ("COMMODITY", ("COMMODITY",)), ("TYPE_OF_MINE", ("TYPE_OF_MINE",)))
+            )
+        ),
+    )
     reg.add(
         "j5_dependent_columns",
         lambda s, d: s.createDataFrame([(c,) for c in glm.dependent_columns(clean(s, d), SHARE_COLUMNS)], "dependent string"),

@@ -138,3 +138,30 @@ def test_category_in_a_product(spark):
         one = {r["name"]: r["estimate"] for r in glm.fit_glm(df.where(F.col("k") == level), glm.formula("y ~ a", tol=1e-12)).coefficients().collect()}
         assert one["a"] == pytest.approx(got["a"] + got.get(f"a:k_{level}", 0.0), abs=1e-6)
         assert one["(Intercept)"] == pytest.approx(got["(Intercept)"] + got.get(f"k_{level}", 0.0), abs=1e-6)
+
+
+@pytest.mark.parametrize("family", ["poisson", "gaussian"])
+def test_common_passes_equal_single_fits(spark, monkeypatch, family):
+    """The path of dropped terms and its AICs, against the library's fit of every candidate; passes do not grow with the terms."""
+    rng = np.random.default_rng(4)
+    n = 1200
+    pdf = pd.DataFrame({c: rng.normal(size=n) for c in "abcd"} | {"k": rng.integers(0, 3, n).astype(str), "hours": rng.uniform(1, 9, n) * 2000, "w": rng.uniform(0.5, 2, n)})
+    pdf["y"] = rng.poisson(np.exp(0.5 * pdf.a - 0.2 * pdf.b + 0.1 * pdf.a * pdf.b + 0.3 * (pdf.k == "2")) * pdf.hours / 2000)
+    df = spark.createDataFrame(pdf).repartition(3)
+    spec = glm.formula("y ~ a * b + c + d + k + c:d + offset(log(hours))", categories=["k"], weight="w", family=family, link="log" if family == "poisson" else "identity", tol=1e-12)
+    passes, once = [], glm.CommonPasses._pass
+    monkeypatch.setattr(glm.CommonPasses, "_pass", lambda self, models: passes.append(len(models)) or once(self, models))
+    best, path = glm.step_aic(df, spec)
+    current, want = glm.fit_glm(df, spec), []
+    want.append((None, current.aic))
+    while True:
+        held = {c for t in current.spec.terms if len(t.columns) > 1 for c in t.columns}
+        fits = [(t.name, glm.fit_glm(df, current.spec.without(t.name))) for t in current.spec.terms if len(t.columns) > 1 or t.columns[0] not in held]
+        name, fit = min(fits, key=lambda f: f[1].aic)
+        if fit.aic >= current.aic:
+            break
+        current = fit
+        want.append((name, fit.aic))
+    assert [s.removed for s in path] == [w[0] for w in want] and [s.aic for s in path] == pytest.approx([w[1] for w in want], abs=1e-5)
+    assert best.aic == pytest.approx(path[-1].aic, abs=1e-5) and len(path) > 1
+    assert not passes if family != "poisson" else len(passes) <= 8 * (len(path) + 1)
