@@ -166,9 +166,9 @@ def percent_rank_average(df: DataFrame, value: str, by: Sequence[str] = (), out:
     ranks = cumulative_counts(df, value, by).select(
         key.alias("_tied"), F.col("n").alias("_n"), ((F.col("n_to") - F.col("n") + (F.col("n") + 1) / 2) / F.col("n_all")).alias(out)
     )
-    # Rows of a value that many share stay where they are, and rows without value stay out of the lookup.
+    # Rows of a value that many share are spread over tasks, and rows without value stay out of the lookup.
     rows = df.withColumn("_tied", key)
-    ranked = counted_lookup(rows.where(F.col(value).isNotNull()), ranks, "_tied", "_n")
+    ranked = counted_lookup(rows.where(F.col(value).isNotNull()), ranks, "_tied", "_n", F.struct(*df.columns))
     missing = rows.where(F.col(value).isNull()).withColumn(out, F.lit(None).cast("double"))
     return ranked.select(*df.columns, out).unionByName(missing.select(*df.columns, out))
 

@@ -86,19 +86,22 @@ def salted_lookup(rows: DataFrame, groups: DataFrame, key: str, spread: Column,
     return left.join(right, on).drop("_salt", "_lookup_salt", "_lookup_key")
 
 
-def counted_lookup(rows: DataFrame, groups: DataFrame, key: str, count: str, share: int = 1024) -> DataFrame:
+def counted_lookup(rows: DataFrame, groups: DataFrame, key: str, count: str, spread: Column, share: int = 1024, salts: int = 32) -> DataFrame:
     """Join a one-row-per-key table that holds each key's number of rows to those rows.
 
-    At most ``share`` keys can have a 1/``share`` part of all rows each: these are
-    broadcast, so their rows stay where they are.  The rows of all other keys take
-    an ordinary shuffle in which no key is heavy.  Null keys meet null keys.
+    At most ``share`` keys can have a 1/``share`` part of all rows each.  These are
+    broadcast, and only their rows are spread over ``salts`` join keys; every other key's
+    row travels once.  Null keys meet null keys.
     """
     groups = groups.withColumnRenamed(key, "_lookup_key")
-    total = groups.agg(F.sum(count)).scalar()
-    hot, cold = (groups.where(c).drop(count) for c in (F.col(count) * share >= total, F.col(count) * share < total))
-    on = F.col(key).eqNullSafe(F.col("_lookup_key"))
-    rest = rows.join(F.broadcast(hot.select("_lookup_key")), on, "left_anti")
-    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on)).drop("_lookup_key")
+    hot = F.col(count) * share >= groups.agg(F.sum(count)).scalar()
+    heavy = F.broadcast(groups.where(hot).select(F.col("_lookup_key").alias("_hot_key"), F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
+    left = rows.join(heavy, F.col(key).eqNullSafe(F.col("_hot_key")), "left").withColumn("_salt", salt).drop("_hot", "_hot_key")
+    every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = groups.withColumn("_lookup_salt", F.explode(every)).drop(count)
+    on = F.col(key).eqNullSafe(F.col("_lookup_key")) & (F.col("_salt") == F.col("_lookup_salt"))
+    return left.join(right, on).drop("_salt", "_lookup_salt", "_lookup_key")
 
 
 def _label_list(labels: DataFrame, column: str, most: int) -> Column:

@@ -172,11 +172,12 @@ def test_hot_values_and_nulls(spark):
     assert numbered == {row[2]: i + 1 for i, row in enumerate(order)}
 
 
-def test_counted_lookup_keeps_hot_keys_in_place(spark):
+def test_counted_lookup_spreads_hot_keys_alone(spark):
     rows = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 'hot' ELSE string(id) END AS k")
     groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
-    out = rel.counted_lookup(rows, groups, "k", "n", share=4)
+    out = rel.counted_lookup(rows, groups, "k", "n", F.col("id"), share=4)
     assert out.count() == 5000 and sorted(out.columns) == ["id", "k", "top"]
     assert out.where("k IS NULL AND top <> 4998 OR k = 'hot' AND top <> 4999 OR k NOT IN ('hot') AND top <> id").count() == 0
     # At most `share` keys are broadcast.
     assert groups.where("n * 4 >= 5000").count() == 2
+    assert rel.counted_lookup(rows.where("false"), groups.where("false"), "k", "n", F.col("id")).count() == 0
