@@ -33,25 +33,45 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Edges per feature; bin numbers go from 0 to the number of edges.
 MAX_BINS = 255
 
+#: Features whose sketches are merged in one task.  A task's map side keeps a buffer per block, and
+#: Spark sorts the rows instead beyond 128 of them.
+EDGE_BLOCK = 8
+
 
 # --- binning
 
 
+def _edge_marks(df: DataFrame, features: Sequence[str], max_bins: int) -> DataFrame:
+    """(block, q0, lo0, hi0, …): a row per block of features, whose sketches meet in a task of their own."""
+    blocks = [features[i : i + EDGE_BLOCK] for i in range(0, len(features), EDGE_BLOCK)]
+    none = F.lit(None).cast("double")
+    structs = []
+    for b, own in enumerate(blocks):
+        values = [F.col(f).cast("double") for f in own] + [none] * (EDGE_BLOCK - len(own))
+        structs.append(F.struct(F.lit(b).alias("block"), *[v.alias(f"v{j}") for j, v in enumerate(values)]))
+    rows = df.select(F.explode(F.array(*structs)).alias("b")).select("b.*")
+    marks = []
+    for j in range(min(EDGE_BLOCK, len(features))):
+        marks += [sketched_quantiles(f"v{j}", max_bins, 100 * max_bins).alias(f"q{j}"), F.min(f"v{j}").alias(f"lo{j}"), F.max(f"v{j}").alias(f"hi{j}")]
+    return rows.groupBy("block").agg(*marks)
+
+
 def fit_edges(df: DataFrame, features: Sequence[str], max_bins: int = 64) -> list[np.ndarray]:
     """Candidate thresholds per feature: sketched quantiles plus the minimum, without the maximum.
 
     A rare indicator keeps its one threshold, since the minimum is always there.
+    The tasks' sketches of a block of features are merged apart from those of all others.
     """
     if not 2 <= max_bins <= MAX_BINS:
         raise ValueError(f"max_bins must be 2 to {MAX_BINS}")
-    columns = []
-    for i, f in enumerate(features):
-        c = F.col(f).cast("double")
-        columns += [sketched_quantiles(f, max_bins, 100 * max_bins).alias(f"q{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-    row = df.agg(*columns).first()
+    if not features:
+        return []
+    table = _edge_marks(df, features, max_bins).toArrow().to_pylist()
+    found = {row["block"]: row for row in table}
     edges = []
     for i in range(len(features)):
-        marks = {row[f"lo{i}"], *(row[f"q{i}"] or [])} - {row[f"hi{i}"], None}
+        row, j = found.get(i // EDGE_BLOCK, {}), i % EDGE_BLOCK
+        marks = {row.get(f"lo{j}"), *(row.get(f"q{j}") or [])} - {row.get(f"hi{j}"), None}
         edges.append(np.array(sorted(marks), dtype="float64") + 0.0)  # no negative zero
     return edges
 

@@ -1,6 +1,6 @@
 """Fit-and-transform encoders: drop-first indicators, population scaling, label flags.
 
-``Preprocessor.fit`` runs two aggregations (levels and labels, moments) and
+``Preprocessor.fit`` runs one aggregation (levels, labels and moments) and
 returns a ``PipelineModel`` of built-in stages, so transforming
 stays in the JVM and saving needs no code of ours.
 """
@@ -46,7 +46,7 @@ def _bounded(rows: list, what: str, limit: int) -> list:
 
 
 def _tagged(name: str):
-    return lambda v: F.struct(F.lit(name).alias("c"), v.alias("v"))
+    return lambda v: F.struct(F.lit(name).alias("c"), v.alias("v"), F.lit(None).cast("array<double>").alias("x"))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] = (), sep: str = ", ", max_levels: int | None = None) -> dict[str, dict[str, int]]:
@@ -54,23 +54,41 @@ def value_counts(df: DataFrame, columns: Sequence[str], labels: Sequence[str] =
 
     A column with more than ``max_levels`` values (``MAX_LEVELS`` unless given) is refused, not cut.
     """
-    out: dict[str, dict[str, int]] = {c: {} for c in [*columns, *labels]}
-    if not out:
-        return out
-    pairs = [F.array(F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))) for c in columns]
+    return _profile(df, columns, labels, (), sep, max_levels)[0] if columns or labels else {}
+
+
+def _profile(
+    df: DataFrame, columns: Sequence[str], labels: Sequence[str], numbers: Sequence[str], sep: str = ", ", max_levels: int | None = None
+) -> tuple[dict[str, dict[str, int]], dict[str, tuple[float, float]], int]:
+    """Counts of values and labels, mean and population deviation of each number, and the rows, in one aggregate.
+
+    Each row is taken apart into its values, its labels and one entry that holds all its numbers.
+    """
+    held = F.array(*[F.col(c).cast("double") for c in numbers]).cast("array<double>")
+    none = F.lit(None).cast("array<double>")
+    pairs = [F.array(F.struct(F.lit(None).cast("string").alias("c"), F.lit(None).cast("string").alias("v"), held.alias("x")))]
+    pairs += [F.array(F.struct(F.lit(c).alias("c"), F.col(c).alias("v"), none.alias("x"))) for c in columns]
     for c in labels:
         parts = F.coalesce(F.array_distinct(fx.label_array(c, sep)), F.array().cast("array<string>"))
         pairs.append(F.transform(parts, _tagged(c)))
-    rows = df.select(F.explode(F.concat(*pairs)).alias("p")).select("p.c", "p.v")
-    kept = rows.where(F.col("v").isNotNull() & ~(F.col("c").isin(list(labels)) & (F.col("v") == "")))
-    counts = kept.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    rows = df.select(F.explode(F.concat(*pairs)).alias("p")).select("p.*")
+    kept = rows.where(F.col("c").isNull() | (F.col("v").isNotNull() & ~(F.col("c").isin(list(labels)) & (F.col("v") == ""))))
+    stats = [a(F.col("x")[i]).alias(f"{k}{i}") for i in range(len(numbers)) for k, a in (("m", F.avg), ("s", F.stddev_pop))]
+    found = kept.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"), *stats)
     max_levels = MAX_LEVELS if max_levels is None else max_levels
-    limit = max_levels * len(out)
-    for r in _bounded(counts.limit(limit + 1).collect(), "levels", limit):
-        out[r["c"]][r["v"]] = r["n"]
-    for c, found in out.items():
-        _bounded(list(found), f"levels of {c}", max_levels)
-    return out
+    limit = max_levels * (len(columns) + len(labels))
+    counts: dict[str, dict[str, int]] = {c: {} for c in [*columns, *labels]}
+    moments, size = dict.fromkeys(numbers, (0.0, 0.0)), 0
+    entries = found.limit(limit + 2).collect()
+    for r in _bounded([r for r in entries if r["c"] is not None], "levels", limit):
+        counts[r["c"]][r["v"]] = r["n"]
+    for r in entries:
+        if r["c"] is None:
+            size = r["n"]
+            moments = {c: (r[f"m{i}"] or 0.0, r[f"s{i}"] or 0.0) for i, c in enumerate(numbers)}
+    for c, levels in counts.items():
+        _bounded(list(levels), f"levels of {c}", max_levels)
+    return counts, moments, size
 
 
 def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> dict[str, list[str]]:
@@ -80,19 +98,15 @@ def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int | None = N
 
 def fit_moments(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of each column, one aggregate."""
-    return _moments_and_size(df, columns)[0]
-
-
-def _moments_and_size(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, tuple[float, float]], int]:
     pairs = [(F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")) for i, c in enumerate(columns)]
     row = df.agg(F.count(F.lit(1)).alias("n"), *[x for p in pairs for x in p]).first()
-    return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 0.0) for i, c in enumerate(columns)}, row["n"]
+    return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 0.0) for i, c in enumerate(columns)}
 
 
 def fit_labels(df: DataFrame, column: str, sep: str = ", ") -> list[str]:
     """Labels carried by some rows but not by all: a constant flag says nothing."""
-    counts = value_counts(df, [], [column], sep)[column]
-    return _varying(counts, df.count())
+    counts, _, rows = _profile(df, [], [column], [], sep)
+    return _varying(counts[column], rows)
 
 
 def _varying(counts: Mapping[str, int], rows: int) -> list[str]:
@@ -170,9 +184,8 @@ class Preprocessor:
     levels: dict[str, list[str]] = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> FittedPreprocessor:
-        counts = value_counts(df, list(self.categorical), list(self.labels), self.sep)
+        counts, moments, size = _profile(df, list(self.categorical), list(self.labels), list(self.numeric) if self.scale else [], self.sep)
         self.levels = {c: sorted(counts[c]) for c in self.categorical}
-        moments, size = _moments_and_size(df, list(self.numeric) if self.scale else [])
         if not self.scale:
             moments = {c: (0.0, 1.0) for c in self.numeric}
         exprs: list[str] = []

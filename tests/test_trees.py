@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ratewell.functions.measures import sketched_quantiles
 from ratewell.models import booster as bo, poisson_tree as pt, search as se, trees as tr, two_stage as ts
 
 
@@ -60,6 +61,20 @@ def test_a_rare_indicator_keeps_its_threshold(rows):
     assert pt.fit_poisson_tree(df, replace(SPEC, minbucket=1, max_depth=1, features=("rare",))).nodes().count() == 3
 
 
+def test_edges_of_many_features_are_merged_by_blocks(spark):
+    names = [f"f{i}" for i in range(2 * tr.EDGE_BLOCK + 3)]
+    df = spark.range(0, 3000, 1, 7).select(*[(F.col("id") * (i + 1) % (5 + 40 * i)).cast("double").alias(n) for i, n in enumerate(names)])
+    df = df.withColumn("empty", F.lit(None).cast("double")).withColumn("gaps", F.when(F.col("f1") > 9, F.col("f1")))
+    features = [*names, "empty", "gaps"]
+    plan = tr._edge_marks(df, features, 32)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "hashpartitioning(block" in plan
+    edges = tr.fit_edges(df, features, 32)
+    whole = df.agg(*[sketched_quantiles(f, 32, 3200).alias(f) for f in features], *[F.min(f).alias(f"lo {f}") for f in features], *[F.max(f).alias(f"hi {f}") for f in features]).first()
+    for name, own in zip(features, edges):
+        assert own.tolist() == sorted({*(whole[name] or []), whole[f"lo {name}"]} - {whole[f"hi {name}"], None}), name
+    assert tr.fit_edges(df, [], 32) == [] and [len(e) for e in tr.fit_edges(df.limit(0), ["f0", "f1"], 8)] == [0, 0]
+
+
 def test_pruning_is_nested_and_cp_limits_size(rows):
     df, _ = rows
     model = pt.fit_poisson_tree(df, SPEC)
