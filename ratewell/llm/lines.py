@@ -18,9 +18,10 @@ Only DataFrame functions are used.  A very frequent line or run is one row after
 joins with it read written tables, which Spark splits where they are skewed.
 
 Defined cases: null counts as the empty text, which is one empty line; blanks around a line do not
-count; the words of a line are the parts between its spaces, so each has one at least; a null id comes first
-in the order; rows that repeat an id and a text are one document and are changed alike; an empty
-table gives an empty result.
+count; the words of a line are its runs of characters other than white space (space and \\x09 to \\x0D), so an empty
+line has none but is a line of a run like others; a null id comes first in the order; rows that repeat an id and a
+text are one document and are changed alike; an empty table gives an empty result; an input column `gone` stays as
+it is, and the deleted runs are then called `gone_1`.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import written
+from .shared import free_name, written
 
 MIN_WORDS = 50
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _lines_of(text: Column) -> Column:
@@ -42,7 +44,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, h, pos, k1, k2, words): a row per line, with two independent hashes of the line."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), _text_hash(f"`{text_col}`").alias("h"), F.posexplode(_lines_of(F.col(f"`{text_col}`"))).alias("pos", "line"))
     line = F.btrim("line", F.lit(" \t\r"))
-    return rows.select("id", "h", "pos", F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2"), F.size(F.split(line, " ", -1)).cast("bigint").alias("words"))
+    return rows.select("id", "h", "pos", F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2"), F.regexp_count(line, F.lit(WORD)).cast("bigint").alias("words"))
 
 
 def _text_hash(text: str) -> Column:
@@ -87,10 +89,11 @@ def shortest_runs(live: DataFrame, min_words: int) -> DataFrame:
     rows = rows.withColumn("before", F.col("upto") - F.col("words"))
     ahead = Window.partitionBy("id", "h", "island").orderBy("before").rangeBetween(0, min_words - 1)
     back = Window.partitionBy("id", "h", "island").orderBy("upto").rangeBetween(-(min_words - 1), 0)
+    # Lines without words share `before` or `upto` with a neighbour, so a run is told by its outermost line, not by a count.
     rows = rows.select(
         "id", "h", "pos",
-        F.count("*").over(ahead).alias("n_ahead"), F.sum("words").over(ahead).alias("w_ahead"),
-        F.count("*").over(back).alias("n_back"), F.sum("words").over(back).alias("w_back"),
+        (F.max("pos").over(ahead) - F.col("pos") + 1).cast("bigint").alias("n_ahead"), F.sum("words").over(ahead).alias("w_ahead"),
+        (F.col("pos") - F.min("pos").over(back) + 1).cast("bigint").alias("n_back"), F.sum("words").over(back).alias("w_back"),
     )
     runs = F.filter(
         F.array(
@@ -132,8 +135,13 @@ def deleted_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return written(runs.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("gone")), "deleted-runs")
 
 
+def runs_column(docs: DataFrame) -> str:
+    """What the column of deleted runs is called: `gone`, unless the documents have a column of that name."""
+    return free_name(docs, "gone")
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns with the text left, and `gone`, the deleted runs of lines (empty where nothing was deleted)."""
+    """All columns with the text left, and the deleted runs of lines (empty where nothing was deleted) in the column `runs_column(docs)`."""
     runs = deleted_runs(docs, id_col, text_col, min_words).toDF("id of a changed row", "hash of a changed row", "gone lines of a changed row")
     same = docs[f"`{id_col}`"].eqNullSafe(runs["id of a changed row"]) & (_text_hash(f"`{text_col}`") == runs["hash of a changed row"])
     gone = F.col("gone lines of a changed row")
@@ -141,4 +149,4 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.when(gone.isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(left, "\n"))
     # A merge join at every size: whether the deleted runs are few depends on the data.
     out = docs.join(runs.hint("merge"), same, "left").withColumn(text_col, text)
-    return out.withColumn("gone", F.coalesce(gone, F.expr("cast(array() as array<struct<a: bigint, b: bigint>>)"))).drop("id of a changed row", "hash of a changed row", "gone lines of a changed row")
+    return out.withColumn(runs_column(docs), F.coalesce(gone, F.expr("cast(array() as array<struct<a: bigint, b: bigint>>)"))).drop("id of a changed row", "hash of a changed row", "gone lines of a changed row")

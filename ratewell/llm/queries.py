@@ -40,8 +40,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines deleted from every document because a run of 50 words or more with them occurs earlier."""
-    out = lines.deduplicate(table(spark, sf_dir, "documents"))
-    removed = F.aggregate("gone", F.lit(0).cast("bigint"), lambda total, run: total + run["b"] - run["a"])
+    docs = table(spark, sf_dir, "documents")
+    out = lines.deduplicate(docs)
+    removed = F.aggregate(lines.runs_column(docs), F.lit(0).cast("bigint"), lambda total, run: total + run["b"] - run["a"])
     return out.select("doc_id", removed.alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars_left"))
 
 
@@ -50,16 +51,17 @@ WITH rows AS (
     SELECT doc_id, generate_subscripts(parts, 1) - 1 AS pos, unnest(parts) AS line
     FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
 ),
-words AS (SELECT doc_id, pos, line, trim(line, ' ' || chr(9) || chr(13)) AS bare, len(string_split(trim(line, ' ' || chr(9) || chr(13)), ' ')) AS w FROM rows),
+words AS (SELECT doc_id, pos, line, trim(line, ' ' || chr(9) || chr(13)) AS bare, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS w FROM rows),
+texts AS (SELECT doc_id, list(bare ORDER BY pos) AS bares FROM words GROUP BY doc_id),
 sums AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY pos) AS upto, sum(w) OVER (PARTITION BY doc_id ORDER BY pos) - w AS before FROM words),
 runs AS (
-    SELECT DISTINCT doc_id, start, run FROM (
-        SELECT doc_id, pos AS start, list(bare) OVER ahead AS run, sum(w) OVER ahead AS total FROM sums
+    SELECT DISTINCT doc_id, start, bares[start + 1 : last + 1] AS run FROM (
+        SELECT doc_id, pos AS start, max(pos) OVER ahead AS last, sum(w) OVER ahead AS total FROM sums
         WINDOW ahead AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
         UNION ALL
-        SELECT doc_id, pos - len(list(bare) OVER back) + 1, list(bare) OVER back, sum(w) OVER back FROM sums
+        SELECT doc_id, min(pos) OVER back, pos, sum(w) OVER back FROM sums
         WINDOW back AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
-    ) WHERE total >= 50
+    ) JOIN texts USING (doc_id) WHERE total >= 50
 ),
 later AS (SELECT doc_id, start, len(run) AS n FROM runs QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, start) > 1),
 gone AS (SELECT DISTINCT doc_id, unnest(generate_series(start, start + n - 1)) AS pos FROM later),

@@ -17,3 +17,10 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 def folder(spark: SparkSession, purpose: str) -> str:
     return scratch_dir(spark, purpose)
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """The wanted name of a new column, or it with the first number that no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    names = [wanted, *(f"{wanted}_{i}" for i in range(1, len(taken) + 1))]
+    return next(n for n in names if n.lower() not in taken)

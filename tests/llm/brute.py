@@ -82,7 +82,7 @@ def without_later_runs(texts, least):
     for d in sorted(texts):
         lines = (texts[d] or "").split("\n")
         bare = [x.strip(" \t\r") for x in lines]
-        words = [len(x.split(" ")) for x in bare]
+        words = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in bare]
         spans = set()
         for i in range(len(lines)):
             for step in (1, -1):

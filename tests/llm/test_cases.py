@@ -180,6 +180,31 @@ def test_line_runs_of_several_lines(spark):
         assert got == brute.without_later_runs(texts, least)
 
 
+def test_words_of_lines_are_runs_between_white_space(spark):
+    tabs, blanks = "\t".join(f"t{i}" for i in range(61)), "\n" * 45 + " ".join(f"b{i}" for i in range(10))
+    columns = "\n".join("  ".join(f"c{i}_{j}" for j in range(4)) + "\n" for i in range(14))
+    texts = {1: f"a\n{tabs}\nb", 2: f"c\n{tabs}", 3: f"d\n{blanks}", 4: f"e\n{blanks}", 5: f"f\n\n\n{columns}\n\ng", 6: f"h\n\n\n{columns}\n\n\ni"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in lines.deduplicate(df).collect()}
+    assert got == {**texts, 2: "c", 6: "h\n\ni"} == brute.without_later_runs(texts, 50)
+
+
+def test_line_runs_with_lines_without_words(spark):
+    rng = np.random.default_rng(5)
+    base = ["\t ".join(f"w{x}" for x in rng.integers(0, 3, int(rng.integers(0, 4)))) for _ in range(300)]
+    texts = {d: "\n".join(base[a : a + int(n)]) for d, (a, n) in enumerate(zip(rng.integers(0, 280, 50), rng.integers(1, 40, 50), strict=True))}
+    for least in (1, 2, 5, 12):
+        got = {r.doc_id: r.text for r in lines.deduplicate(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), min_words=least).collect()}
+        assert got == brute.without_later_runs(texts, least), least
+
+
+def test_a_column_of_the_name_of_the_runs_stays(spark):
+    df = spark.createDataFrame([(1, PASSAGE, 5), (2, PASSAGE, 6)], "doc_id bigint, text string, Gone int")
+    out = lines.deduplicate(df)
+    assert out.columns == ["doc_id", "text", "Gone", "gone_1"]
+    assert [(r.doc_id, r.text, r.Gone, len(r.gone_1)) for r in out.orderBy("doc_id").collect()] == [(1, PASSAGE, 5, 0), (2, "", 6, 1)]
+
+
 # ---- 4 and 5
 
 
