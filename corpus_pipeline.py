@@ -24,7 +24,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of line runs of 50 words or more; one of which nothing is left goes."""
-    left = lines.deduplicate(docs).where(~((F.size("gone") > 0) & (F.btrim("text", F.lit(" \t\r\n")) == "")))
+    left = lines.deduplicate(docs).where(~((F.size(lines.runs_column(docs)) > 0) & (F.btrim("text", F.lit(" \t\r\n")) == "")))
     return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
