@@ -1,12 +1,16 @@
 """Main text of web pages by tree scoring.
 
-A page is parsed into a tree.  Elements that are never article text (menus, forms,
-scripts, adverts and the like, by element, role or name) are taken out.  Each
+A page is parsed into a tree.  Elements that are never article text (menus,
+scripts, adverts and the like, by element, role or class) are taken out; a form is, unless it
+holds most of the page's text.  A class speaks against an element only as a whole, as in `share` or
+`cookie-banner`; a mere part of it, as in `share-price`, or an id inside an article (other than that of readers' comments) is a weak
+vote: it takes points off, and the element goes only if it is list-like or full of links.  If nothing is left without
+the elements taken out by class or id, they come back.  Each
 paragraph then gives points for being there, for its commas and for its length
 to its ancestors, less to the more distant ones; an ancestor's points are
 discounted by its link density, the share of its text inside links.  The best
 container is kept, widened to the article or main part it lies in, together with siblings
-that score nearly as well or read like paragraphs.
+that score nearly as well or read like paragraphs; articles side by side are judged by their own points.
 
 Defined cases: null and empty html give the empty text, and so does a page without
 any text in its body; unclosed elements end where HTML ends them, an unclosed svg, math,
@@ -42,7 +46,7 @@ CLOSED_BY = {
     "option": (frozenset(["option"]), frozenset(["select", "datalist"])), "tr": (frozenset(["tr", "td", "th"]), frozenset(["table"])),
     "td": (frozenset(["td", "th"]), frozenset(["tr", "table"])), "th": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
 }
-NEVER = frozenset("head nav footer aside form button select input dialog menu object embed audio video canvas map dir".split())
+NEVER = frozenset("head nav footer aside button select input dialog menu object embed audio video canvas map dir".split())
 NEVER_ROLES = frozenset("navigation banner complementary contentinfo search dialog alertdialog alert menu menubar toolbar tablist form".split())
 KEPT = frozenset("html body article main".split())
 
@@ -53,6 +57,14 @@ NEVER_NAMES = frozenset(
     pagination paywall popup promo promoted promotion recommendations recommended related replies responses rss search share sharebar sharing sidebar
     signup skip social sponsor sponsored subscribe subscription taboola toolbar widget""".split()
 )
+#: Words that may stand beside them in a class that is made of several words.
+NEUTRAL_NAMES = frozenset(
+    """area bar block bottom box button buttons card cell col container content div first form global group header holder icon icons id inline inner
+    item items js last layer left link links list main message meta module outer page panel post posts right row section site slot sm text
+    title top ui unit user view wrap wrapper zone""".split()
+)
+#: Of these a page keeps nothing, whatever else it holds.
+READERS = frozenset("comment commentlist comments disqus replies responses".split())
 GOOD_NAMES = frozenset("article body content entry main post story text".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd section div article main body".split())
 BASE = {"article": 15.0, "main": 10.0, "div": 5.0, "section": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0}
@@ -66,29 +78,49 @@ NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 LEAST_PARAGRAPH = 25
+SENTENCE_END = re.compile("""[.!?:;\u2026\u3002\uff01\uff1f]["'\u2019\u201d\u00bb)]*$""")
 COMMAS = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("children", "commas", "links", "names", "parent", "score", "size", "tag")
+    __slots__ = ("by_name", "children", "commas", "doubted", "links", "names", "parent", "score", "size", "tag")
 
     def __init__(self, tag: str, parent: Node | None, names: frozenset[str] = frozenset()) -> None:
         self.tag, self.parent, self.names = tag, parent, names
+        self.by_name = self.doubted = False
         self.children: list[Node | str] = []
         self.score, self.size, self.links, self.commas = 0.0, 0, 0, 0
 
 
-def _dropped(tag: str, attributes: str, in_article: bool) -> tuple[bool, frozenset[str]]:
-    """Whether an element is never article text, and the words of its class and id."""
-    names: set[str] = set()
-    if attributes and not attributes.isspace():
-        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
-        names = {w.lower() for a in ("class", "id") for w in NAME_WORD.findall(found.get(a, ""))}
-        if tag not in KEPT:
-            hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or INVISIBLE.search(found.get("style", ""))
-            if hidden or found.get("role", "").lower() in NEVER_ROLES or names & NEVER_NAMES or (not in_article and "header" in names):
-                return True, frozenset(names)
-    return tag in NEVER or (tag == "header" and not in_article), frozenset(names)
+def _words(token: str) -> list[str]:
+    return [w.lower() for w in NAME_WORD.findall(token)]
+
+
+def _speaks_against(token: str) -> bool:
+    """Whether a whole class or id is the name of what is no article text: its words are, but for neutral ones."""
+    words = set(_words(token))
+    return bool(words & NEVER_NAMES) and words <= NEVER_NAMES | NEUTRAL_NAMES
+
+
+def _judged(tag: str, attributes: str, in_article: bool) -> tuple[str, frozenset[str]]:
+    """What tag and attributes say of an element ("gone", "named", "doubted" or nothing), and the words of its class and id."""
+    if tag in NEVER or (tag == "header" and not in_article):
+        return "gone", frozenset()
+    if not attributes or attributes.isspace():
+        return "", frozenset()
+    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
+    classes, own = unescape(found.get("class", "")).split(), unescape(found.get("id", "")).split()
+    names = frozenset(w for t in classes + own for w in _words(t))
+    if tag in KEPT:
+        return "", names
+    hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or INVISIBLE.search(found.get("style", ""))
+    if hidden or found.get("role", "").lower() in NEVER_ROLES:
+        return "gone", names
+    if in_article:  # ids of headings are made of their text, but a container of readers' comments is named for them
+        own = [t for t in own if tag in ("div", "section", "ol", "ul") and set(_words(t)) & READERS]
+    if any(map(_speaks_against, classes + own)) or (not in_article and "header" in names):
+        return "named", names
+    return "doubted" if names & NEVER_NAMES else "", names
 
 
 def parse(html: str) -> Node:
@@ -148,9 +180,10 @@ def parse(html: str) -> Node:
             if cut:
                 articles -= sum(n.tag in ("article", "main") for n in stack[cut:])
                 del stack[cut:]
-        gone, names = _dropped(tag, m[3], articles > 0)
+        verdict, names = _judged(tag, m[3], articles > 0)
         node = Node(tag, stack[-1], names)
-        if gone:
+        node.by_name, node.doubted = verdict == "named", verdict == "doubted"
+        if verdict in ("gone", "named") or tag == "form":
             node.score = -1.0
         stack[-1].children.append(node)
         if tag not in VOID:
@@ -174,9 +207,21 @@ def _ordered(root: Node) -> list[Node]:
     return out
 
 
+def _size(node: Node) -> int:
+    """Length of the text of an element and all below it that is not taken out, links left out."""
+    size, todo = 0, [node]
+    while todo:
+        for c in todo.pop().children:
+            if isinstance(c, str):
+                size += len(c.strip())
+            elif c.score >= 0 and c.tag != "a":
+                todo.append(c)
+    return size
+
+
 def _prune(root: Node) -> None:
-    """Take the mark off elements that hold an article or the main part, so only true boilerplate is dropped."""
-    todo = [root]
+    """Take the mark off elements that hold an article or the main part, and off a form with most of the page's text."""
+    todo, forms = [root], []
     while todo:
         node = todo.pop()
         if node.tag in ("article", "main"):
@@ -185,7 +230,28 @@ def _prune(root: Node) -> None:
                 if up.score < 0 and up.tag not in ("nav", "footer", "aside", "head") and not up.names & {"comment", "comments", "related", "sidebar", "recommended"}:
                     up.score = 0.0
                 up = up.parent
+        if node.tag == "form" and node.score < 0 and not node.by_name:
+            forms.append(node)
         todo += [c for c in node.children if not isinstance(c, str)]
+    for form in forms:
+        if 2 * _size(form) > _size(root) + _size(form):
+            form.score = 0.0
+
+
+def _drop_doubted(nodes: list[Node]) -> bool:
+    """Take out the elements with a weak vote against them that are full of links or lists of short items; whether there were any."""
+    found = False
+    for node in nodes:
+        if node.doubted and node.tag not in KEPT and node.size and (density(node) > 0.4 or _list_like(node)):
+            node.score, node.by_name, found = -1.0, True, True
+    return found
+
+
+def _list_like(node: Node) -> bool:
+    items = [c for c in node.children if not isinstance(c, str) and c.score >= 0]
+    inner = [g for c in items if c.tag in ("ul", "ol") for g in c.children if not isinstance(g, str)]
+    items = inner if node.tag not in ("ul", "ol") else items
+    return len(items) >= 2 and sum(i.size for i in items) >= 0.8 * node.size and node.size < 40 * len(items) and node.links > 0
 
 
 def measure(nodes: list[Node]) -> None:
@@ -237,7 +303,7 @@ def best(nodes: list[Node]) -> Node | None:
             share = 1.0 if level == 0 else 0.5 if level == 1 else 1 / (3 * level)
             if id(up) not in points:
                 named[id(up)] = up
-                points[id(up)] = BASE.get(up.tag, 0.0) + (10.0 if up.names & GOOD_NAMES else 0.0)
+                points[id(up)] = BASE.get(up.tag, 0.0) + (10.0 if up.names & GOOD_NAMES else 0.0) - (10.0 if up.doubted else 0.0)
             points[id(up)] += gain * share
             up, level = up.parent, level + 1
     top, most = None, 0.0
@@ -250,22 +316,31 @@ def best(nodes: list[Node]) -> Node | None:
 
 
 def _reads_like_text(node: Node) -> bool:
+    if node.tag in ("div", "section", "blockquote") and not node.doubted:
+        return node.size > 80 and density(node) < 0.25 and bool(SENTENCE_END.search(blocks(node)[-1]))
     return node.tag == "p" and (density(node) < 0.25 if node.size > 80 else node.links == 0 and 0 < node.size)
 
 
+def _beside(part: Node, least: float) -> list[Node]:
+    """An article or main part with the articles beside it that have enough points of their own, in page order."""
+    if part.parent is None or part.tag != "article":
+        return [part]
+    return [c for c in part.parent.children if not isinstance(c, str) and c.score >= 0 and (c is part or (c.tag == "article" and density(c) < 0.25 and c.score - BASE["article"] >= least))]
+
+
 def chosen(root: Node, nodes: list[Node]) -> list[Node]:
     """The elements whose text is the article, in page order."""
     top = best(nodes)
     if top is None:
         return [next((n for n in nodes if n.tag in ("article", "main") and n.size), root)]
+    least = max(10.0, top.score * 0.2)
     up = top
     while up is not None:
         if up.tag in ("article", "main"):
-            return [up]
+            return _beside(up, least)
         up = up.parent
     if top.parent is None:
         return [top]
-    least = max(10.0, top.score * 0.2)
     return [c for c in top.parent.children if not isinstance(c, str) and c.score >= 0 and (c is top or (c.score >= least and density(c) < 0.5) or _reads_like_text(c) or re.fullmatch("h[1-6]", c.tag))]
 
 
@@ -304,8 +379,34 @@ def main_text(html: str | None) -> str:
         return ""
     root = parse(html)
     _prune(root)
+    text = _article(root)
+    if not text and (named := [n for n in _all(root) if n.by_name and not n.names & READERS]):
+        for node in named:
+            node.score, node.by_name, node.doubted = 0.0, False, False
+        text = _article(root)
+    return text
+
+
+def _all(root: Node) -> list[Node]:
+    out, todo = [], [root]
+    while todo:
+        out.append(todo.pop())
+        todo += [c for c in out[-1].children if not isinstance(c, str)]
+    return out
+
+
+def _measured(root: Node) -> list[Node]:
     nodes = _ordered(root)
+    for node in nodes:
+        node.score, node.size, node.links, node.commas = 0.0, 0, 0, 0
     measure(nodes)
+    return nodes
+
+
+def _article(root: Node) -> str:
+    nodes = _measured(root)
+    if any(n.doubted for n in nodes) and _drop_doubted(nodes):
+        nodes = _measured(root)
     return "\n".join(text for node in chosen(root, nodes) for text in blocks(node))
 
 

@@ -97,6 +97,50 @@ def test_an_unclosed_element_is_empty(tag):
     assert html.main_text(f"<article><p>before</p><{tag}><p>after</p></article>") == "before\nafter"
 
 
+STORY = [f"Sentence {i}, with some commas, and quite a few words to be scored by." for i in range(6)]
+PARTS = "".join(f"<p>{x}</p>" for x in STORY)
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<h2 id="search">{}</h2>', '<section id="notice-period"><p>{}</p></section>', '<p class="share-price">{}</p>', '<div class="social-history">{}</div>',
+        '<h2 id="related-work">{}</h2>', '<section id="modal-verbs"><h3>{}</h3></section>', '<h2 id="comments">{}</h2>', '<p class="ad-hoc">{}</p>',
+    ],
+)
+def test_a_name_in_part_or_an_id_takes_nothing_from_an_article(part):
+    assert html.main_text(f"<body><article>{PARTS}{part.format('A word of it')}</article></body>").split("\n") == [*STORY, "A word of it"]
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="share">{}</div>', '<div class="ad">{}</div>', '<div class="box cookie-banner">{}</div>', '<section class="comments"><p>{}</p></section>',
+        '<div class="userComments"><p>{}</p></div>', '<form><p>{}</p></form>', '<div class="newsletter-signup">{}</div>', '<p class="notice">{}</p>',
+        '<ul class="share-price-links"><li><a href=1>{}</a><li><a href=2>Other</a></ul>', '<div class="related_posts">{}</div>', '<aside>{}</aside>', '<div id="comments"><p>{}</p></div>',
+    ],
+)
+def test_a_whole_name_takes_an_element_out(part):
+    assert html.main_text(f"<body><article>{PARTS}{part.format('Five words, no article text.')}</article></body>").split("\n") == STORY
+
+
+def test_pages_without_article_or_main():
+    lead = "A lead paragraph in a small part of its own, which says in a sentence what the page is about."
+    menu = "<ul><li><a href=1>Home</a><li><a href=2>News</a></ul>"
+    assert html.main_text(f"<body>{menu}<div><div>{lead}</div><div>{PARTS}</div><div><a href=3>More of the same kind of text, all of it inside a link to somewhere.</a></div></div></body>").split("\n") == [lead, *STORY]
+    page = f"<body><form action=x>{menu}<div>{PARTS}<input name=q><button>Go</button></div></form></body>"
+    assert html.main_text(page).split("\n") == STORY
+    assert html.main_text(f"<body><div class='modal'><p>{lead}</p></div></body>") == lead
+    assert html.main_text(f"<body><div class='comments'><p>{lead}</p></div></body>") == ""
+    assert html.main_text(f"<body><div>{PARTS}</div><form><p>{lead}</p><input></form></body>").split("\n") == STORY
+
+
+def test_articles_side_by_side():
+    teaser = "<article class=card><h3>Other</h3><p>Some words on another story, which is told elsewhere.</p></article>"
+    page = f"<body><main><article>{PARTS * 2}</article>{teaser}<article>{PARTS}{PARTS}</article></main></body>"
+    assert html.main_text(page).split("\n") == STORY * 4
+
+
 def test_pages(spark, nothing):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (1, "u", "<p>x"), (None, None, None)], "page_id bigint, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
     assert sorted(map(tuple, html.extract(pages).collect()), key=str) == [(1, "u", "x", 1), (1, "u", "x", 1), (None, None, "", 0)]
