@@ -82,16 +82,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Weights of all coordinates, learnt from at most `most` labelled rows.
 
     Rows without id or label, and held-out rows, are not learnt from.  Without any
-    labelled row all weights are 0.  A label for a repeated id counts for each of its texts.
+    labelled row all weights are 0.  A label for a repeated id counts for each of its different texts, once for
+    each; shards are dealt by id and text, so an id on very many rows is spread over all of them.
     """
     usable = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("label")).where("id is not null and label is not null")
     chosen = written(usable.where(~held_out("id")).orderBy(F.xxhash64("id"), "id").limit(most), "labelled")
-    shards = max(1, math.ceil(chosen.count() / SHARD_ROWS))
     rows = docs.select(docs[f"`{id_col}`"].alias("id"), docs[f"`{text_col}`"].alias("text")).join(F.broadcast(chosen), "id")
-    rows = rows.select("label", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(shards)).cast("int").alias("shard"), F.xxhash64("id", F.lit(11)).alias("turn"), "text")
+    rows = rows.select("label", F.xxhash64("id", "text", F.lit(7)).alias("same"), F.xxhash64("id", "text", F.lit(11)).alias("turn"), "text")
 
     def listed(batches):
+        met = set()  # rows of this task, so that copies of one row do not travel
         for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True))
+            fresh = [i for i, key in enumerate(keys) if key not in met and not met.add(key)]
+            batch = batch.take(pa.array(fresh, pa.int64()))
             lists, first, size = [], 0, 0
             for i, own in enumerate(texts_features(batch.column(3))):
                 lists.append(own)
@@ -99,10 +103,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 if size > 1 << 18 or i + 1 == batch.num_rows:
                     at = pa.array(np.cumsum([0] + [len(x) for x in lists]).astype(np.int32))
                     kept = [batch.column(k).slice(first, len(lists)) for k in range(3)]
-                    yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(at, pa.array(np.concatenate(lists)))], names=["label", "shard", "turn", "at"])
+                    yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(at, pa.array(np.concatenate(lists)))], names=["label", "same", "turn", "at"])
                     lists, first, size = [], i + 1, 0
 
-    rows = written(rows.mapInArrow(listed, "label double, shard int, turn bigint, at array<int>"), "toxic-features")
+    rows = written(rows.mapInArrow(listed, "label double, same bigint, turn bigint, at array<int>"), "toxic-features")
+    shards = max(1, math.ceil(rows.count() / SHARD_ROWS))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("same", "turn"), F.lit(shards)).cast("int"))
     learnt = rows.groupBy("shard").applyInArrow(_learner(), "at int, z float, n float")
     mixed = learnt.groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).where(F.abs("z") > L1).toArrow()
     out = np.zeros(1 << HASH_BITS)
@@ -113,7 +119,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def _learner():
     def learnt(table: pa.Table) -> pa.Table:
         model = Ftrl()
-        table = table.sort_by("turn")
+        table = table.sort_by([("turn", "ascending"), ("same", "ascending"), ("label", "ascending")])
+        turn, same, given = (table.column(c).to_numpy() for c in ("turn", "same", "label"))
+        fresh = np.ones(len(turn), dtype=bool)  # copies of a row from several tasks count once
+        fresh[1:] = (turn[1:] != turn[:-1]) | (same[1:] != same[:-1]) | (given[1:] != given[:-1])
+        table = table.filter(pa.array(fresh))
         column, label = table.column("at").combine_chunks(), table.column("label").to_numpy()
         flat, cut = np.asarray(column.values), np.asarray(column.offsets)
         for _ in range(PASSES):

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -352,6 +353,64 @@ def test_toxic_words_get_weight(spark):
     assert min(s for d, s in scores.items() if d % 4 == 0) > 0.5 > max(s for d, s in scores.items() if d % 4)
 
 
+def test_ftrl_equals_a_plain_loop():
+    """Per-coordinate rates and L1 worked out with a dictionary and one coordinate at a time."""
+    rng = np.random.default_rng(7)
+    rows = [(np.unique(rng.integers(0, 60, rng.integers(0, 12))).astype(np.int32), float(rng.integers(0, 2))) for _ in range(400)]
+    model, z, n = toxicity.Ftrl(), {}, {}
+
+    def weight(j):
+        if abs(z.get(j, 0.0)) <= toxicity.L1:
+            return 0.0
+        sign = 1 if z[j] > 0 else -1
+        return -(z[j] - sign * toxicity.L1) / ((toxicity.BETA + n[j] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for at, label in rows * 3:
+        model.learn(at, label)
+        own = sorted({0, *at.tolist()})
+        before = {j: weight(j) for j in own}
+        gradient = 1 / (1 + math.exp(-sum(before.values()))) - label
+        for j in own:
+            rate = ((n.get(j, 0.0) + gradient**2) ** 0.5 - n.get(j, 0.0) ** 0.5) / toxicity.ALPHA
+            z[j] = z.get(j, 0.0) + gradient - rate * before[j]
+            n[j] = n.get(j, 0.0) + gradient**2
+    got = toxicity.weights(model.z[:60], model.n[:60])
+    assert np.allclose(got, [weight(j) for j in range(60)]) and 0 < np.count_nonzero(got) < 60
+
+
+def test_a_labelled_id_on_very_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    rows = [(i, " ".join([f"w{i}", "bad" if i % 4 == 0 else "fine", "plain"])) for i in range(400)]
+    labels = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("doc_id", "int(doc_id % 4 = 0) as toxic")
+    once = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), labels)
+    copied = spark.createDataFrame(rows + rows[5:6] * 1000, "doc_id bigint, text string").coalesce(1)
+    assert np.array_equal(once, toxicity.fit(copied, labels)) and once.any()
+    texts = spark.createDataFrame(rows + [(5, f"other {i}") for i in range(900)], "doc_id bigint, text string")
+    assert toxicity.fit(texts, labels).any()
+
+
+def test_densities_equal_plain_covariances():
+    """Scores from cached factors against log densities by determinant and inverse, with the same shrinkage."""
+    rng, d = np.random.default_rng(9), len(quality.STATISTICS)
+    x = [rng.normal(size=(80 + 40 * c, d)) @ rng.normal(size=(d, d)) + c for c in (0, 1)]
+    total = np.stack([np.concatenate(([len(y)], y.sum(axis=0), (y.T @ y).ravel())) for y in x])
+    both = np.concatenate(x)
+    centre, scale = both.mean(axis=0), both.std(axis=0)
+    own = [(y - centre) / scale for y in x]
+    cov = [np.cov(y.T, bias=True) for y in own]
+    share = np.array([len(y) for y in x]) / len(both)
+    pooled = share[0] * cov[0] + share[1] * cov[1]
+    new = (rng.normal(size=(50, d)) * both.std(axis=0)) / scale
+    logs = []
+    for c in (0, 1):
+        s = (1 - quality.TO_POOLED) * cov[c] + quality.TO_POOLED * pooled
+        s = (1 - quality.TO_DIAGONAL) * s + quality.TO_DIAGONAL * np.diag(np.diag(s)) + quality.FLOOR * np.eye(d)
+        away = new - own[c].mean(axis=0)
+        logs.append(np.log(share[c]) - 0.5 * np.linalg.slogdet(s)[1] - 0.5 * np.einsum("ij,jk,ik->i", away, np.linalg.inv(s), away))
+    want = 1 / (1 + np.exp(-np.clip(logs[1] - logs[0], -35, 35)))
+    assert np.allclose(quality.discriminant(total).score(new * scale + centre), want, atol=1e-8)
+
+
 def test_quality(messy, nothing, labels):
     got = quality.scored(messy, labels).collect()
     assert len(got) == len(TEXTS) and all(0 <= r.score <= 1 for r in got)
