@@ -1,8 +1,8 @@
 """Benchmark passages in training texts by a positional inverted index.
 
-The index is sharded by document: one row holds the sorted list of a document's
+The index is sharded by document: one row holds the sorted list of all of a document's
 distinct terms and, for each of them, its sorted positions (the postings).  It is written
-to the shared folder and can be searched again.  A search knows how often each test term
+to the shared folder and can be searched again, by any other benchmark.  A search knows how often each test term
 occurs in the whole index.  For every passage it starts with the postings of the
 rarest term, shifts them by the term's offset in the passage, and keeps the shifted
 positions that the list of the next rarer term, shifted by its own offset, has too.  All terms
@@ -13,7 +13,8 @@ a search moves no postings between tasks.
 Passages are searched in blocks of items with a bounded number of words, so what is
 sent to the tasks is bounded whatever the size of the benchmark.  Frequencies of all test
 terms are counted on the cluster, and a block gets those of its own terms; its hits are
-written before the next block is sent.
+written before the next block is sent.  Each block reads the index once, so a search takes
+time in proportion to the index times the blocks.
 """
 
 from __future__ import annotations
@@ -35,8 +36,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW = 10
 #: Words of items sent to the tasks at a time, at about 60 bytes each.
 BLOCK_WORDS = 200_000
-#: Distinct test terms up to which the index is limited to them; beyond, it holds every term.
-MOST_TERMS = 1_000_000
 #: Number of a document in the index.
 ROW = "row of the index"
 #: Positions that a task works on at a time.
@@ -55,16 +54,18 @@ def terms_of(items: DataFrame, text_col: str) -> DataFrame:
     return items.select(items[f"`{text_col}`"].alias("t")).mapInArrow(run, "term bigint").distinct()
 
 
-INDEX = [("n_words", "bigint"), ("terms", "array<bigint>"), ("counts", "array<int>"), ("positions", "array<int>")]
+# Columns of the index, of names that no kept column has.
+TERMS, COUNTS, POSITIONS = "terms of the row", "postings of each term", "positions of the postings"
+INDEX = [("n_words", "bigint"), (TERMS, "array<bigint>"), (COUNTS, "array<int>"), (POSITIONS, "array<int>")]
 
 
-def build_index(docs: DataFrame, terms: np.ndarray | None = None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, `n_words`, the postings `terms`, `counts` and `positions`, and a number (ROW) of every document.
+def build_index(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns, `n_words`, the postings of all terms (TERMS, COUNTS, POSITIONS), and a number (ROW) of every document.
 
-    `terms` (sorted hashes) limits the postings to those terms; None stores all.
-    Null and empty texts have no words and no postings.
+    Null and empty texts have no words and no postings.  Kept columns must not have the names of the results.
     """
-    wanted = None if terms is None else docs.sparkSession.sparkContext.broadcast(terms)
+    if clash := {c.lower() for c in keep} & {"n_words", "spans", "items"}:
+        raise ValueError(f"columns {sorted(clash)} of the documents would be mixed up with results: rename them first")
 
     def run(batches):
         for batch in batches:
@@ -74,11 +75,6 @@ def build_index(docs: DataFrame, terms: np.ndarray | None = None, text_col: str
                 doc = np.repeat(np.arange(last - first), np.diff(start))
                 pos = np.arange(len(hashed)) - start[doc]
                 n_words = np.diff(start)
-                if wanted is not None and len(hashed):
-                    place = np.searchsorted(wanted.value, hashed)
-                    place[place == len(wanted.value)] = 0
-                    known = wanted.value[place] == hashed if len(wanted.value) else np.zeros(len(hashed), bool)
-                    doc, pos, hashed = doc[known], pos[known], hashed[known]
                 term = hashed.view(np.int64)
                 order = np.lexsort((term, doc))  # stable: positions stay in order
                 doc, pos, term = doc[order], pos[order], term[order]
@@ -204,7 +200,7 @@ class Shard:
 
 
 def _shards(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Shard]]:
-    terms, counts, positions = (batch.column(c) for c in ("terms", "counts", "positions"))
+    terms, counts, positions = (batch.column(c) for c in (TERMS, COUNTS, POSITIONS))
     at_t, at_p = (np.asarray(x.offsets).astype(np.int64) for x in (terms, positions))
     flat_t, flat_c, flat_p = (np.asarray(x.values) for x in (terms, counts, positions))
     at_c = np.asarray(counts.offsets).astype(np.int64)
@@ -221,12 +217,12 @@ def frequencies(index: DataFrame, items: DataFrame, text_col: str = "text") -> D
 
     def run(batches):
         for batch in batches:
-            found, counts = (np.asarray(batch.column(c).flatten()) for c in ("terms", "counts"))
+            found, counts = (np.asarray(batch.column(c).flatten()) for c in (TERMS, COUNTS))
             term, place = np.unique(found, return_inverse=True)
             total = np.bincount(place, weights=counts, minlength=len(term)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(total)], names=["term", "n"])
 
-    counted = index.select("terms", "counts").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = index.select(TERMS, COUNTS).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     return written(counted.join(terms_of(items, text_col), "term", "left_semi"), "frequencies")
 
 
@@ -254,7 +250,7 @@ def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col
     so many words from its rarest one, and a span is then the rarest term's word.
     """
     frequency = frequencies(index, items, text_col)
-    keep = [c for c in index.columns if c not in ("terms", "counts", "positions", ROW)]
+    keep = [c for c in index.columns if c not in (TERMS, COUNTS, POSITIONS, ROW)]
     spans, names = "array<struct<a: bigint, b: bigint>>", f"array<{items.schema[id_col].dataType.simpleString()}>"
     schema = f"`{ROW}` bigint, spans {spans}, items {names}"
     kind = to_arrow_type(items.schema[id_col].dataType)
@@ -264,7 +260,7 @@ def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col
         known = frequency.join(terms_of(own, "text"), "term", "left_semi").toArrow()
         counts = dict(zip(known.column("term").to_pylist(), known.column("n").to_pylist(), strict=True))
         passages = index.sparkSession.sparkContext.broadcast(Passages(rows, counts, window))
-        index.select(ROW, "terms", "counts", "positions").mapInArrow(_searched(passages, distance, kind), schema).write.mode("append").parquet(path)
+        index.select(ROW, TERMS, COUNTS, POSITIONS).mapInArrow(_searched(passages, distance, kind), schema).write.mode("append").parquet(path)
         passages.destroy()
     hits = index.sparkSession.read.schema(schema).parquet(path).groupBy(ROW)
     hits = hits.agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items")).mapInArrow(_joined, schema)
@@ -283,11 +279,13 @@ def _searched(passages, distance: int | None, kind: pa.DataType):
             for first, _, shard in _shards(batch):
                 doc, window, at = shard.matches(passages.value, distance)
                 length = passages.value.length[window] if distance is None else np.ones(len(window), np.int64)
-                for d in np.unique(doc).tolist():
-                    own = doc == d
+                by = np.argsort(doc, kind="stable")
+                doc, window, at, length = doc[by], window[by], at[by], length[by]
+                hit, cut = np.unique(doc, return_index=True)
+                for d, x, y in zip(hit.tolist(), cut.tolist(), [*cut[1:].tolist(), len(doc)], strict=True):
                     rows.append(number[first + d].as_py())
-                    spans.append(merged([], at[own], at[own] + length[own]))
-                    items.append(_sorted({passages.value.names[k] for w in np.unique(window[own]).tolist() for k in passages.value.owners[w]}))
+                    spans.append(merged([], at[x:y], at[x:y] + length[x:y]))
+                    items.append(_sorted({passages.value.names[k] for w in np.unique(window[x:y]).tolist() for k in passages.value.owners[w]}))
             columns = [pa.array(rows, pa.int64()), pa.array(spans, SPANS), pa.array(items, pa.list_(kind))]
             yield pa.RecordBatch.from_arrays(columns, names=[ROW, "spans", "items"])
 
@@ -327,10 +325,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "item_id", te
     under the id null.  Repeated rows are searched each; a repeated item id is one item.
     Empty tables give empty or unhit results.
     """
-    test_terms, terms = terms_of(items, text_col), None
-    if test_terms.count() <= MOST_TERMS:
-        terms = np.sort(np.asarray(test_terms.toArrow().column("term").combine_chunks()).astype(np.int64).view(np.uint64))
-    index = written(build_index(docs, terms, doc_text, keep), "postings")
+    index = written(build_index(docs, doc_text, keep), "postings")
     return search(index, items, id_col, text_col, window, distance)
 
 

@@ -170,8 +170,24 @@ def test_blocks_of_items_give_what_one_block_gives(spark, messy, monkeypatch):
     whole = sorted(map(str, decontaminate.contamination(messy, items).collect()))
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 25)
     assert sorted(map(str, decontaminate.contamination(messy, items).collect())) == whole
-    monkeypatch.setattr(decontaminate, "MOST_TERMS", 3)  # the index then holds every term
-    assert sorted(map(str, decontaminate.contamination(messy, items).collect())) == whole
+
+
+def test_one_index_is_searched_by_two_benchmarks(spark, messy):
+    index = decontaminate.written(decontaminate.build_index(messy), "postings")
+    first = spark.createDataFrame([(i, f"common{i} common{i + 1} common{i + 2}") for i in range(5)], "item_id bigint, text string")
+    second = spark.createDataFrame([("a", "one two three four five six seven eight nine ten eleven"), ("b", "w3x3 w4x4 w5x5")], "name string, passage string")
+    for items, names in ((first, ("item_id", "text")), (second, ("name", "passage"))):
+        got = sorted(map(str, decontaminate.search(index, items, *names).collect()))
+        assert got == sorted(map(str, decontaminate.contamination(messy, items, *names).collect())) and any("Row(a=" in row for row in got)
+
+
+def test_kept_columns_of_inner_names(spark):
+    docs = spark.createDataFrame([(1, "alpha beta", 5, "x", 2)], "doc_id bigint, text string, terms int, counts string, positions int")
+    items = spark.createDataFrame([(1, "beta")], "item_id bigint, text string")
+    (row,) = decontaminate.contamination(docs, items, keep=("doc_id", "terms", "counts", "positions")).collect()
+    assert (row.doc_id, row.terms, row.counts, row.positions, row.n_words, row["items"]) == (1, 5, "x", 2, 2, [1])
+    with pytest.raises(ValueError, match="rename them"):
+        decontaminate.contamination(docs.withColumnRenamed("terms", "Spans"), items, keep=("doc_id", "Spans"))
 
 
 def test_proximity(spark):
@@ -186,8 +202,7 @@ def test_proximity_starts_from_the_rarest_term_at_every_size(spark, monkeypatch)
     near = [(i, f"a{i} x x x b{i} x x x c{i}") for i in range(8)]
     docs = spark.createDataFrame(near + [(10 + i, f"a{i} c{i}") for i in range(8)], "doc_id bigint, text string")
     items = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(8)], "item_id bigint, text string")
-    for most, words_ in ((decontaminate.MOST_TERMS, 1000), (3, 1000), (3, 5)):
-        monkeypatch.setattr(decontaminate, "MOST_TERMS", most)
+    for words_ in (1000, 5):
         monkeypatch.setattr(decontaminate, "BLOCK_WORDS", words_)
         got = {r.doc_id: ([(s.a, s.b) for s in r.spans], r["items"]) for r in decontaminate.contamination(docs, items, distance=5).collect()}
         assert got == {i: ([(4, 5)], [i]) for i in range(8)} | {10 + i: ([], []) for i in range(8)}
