@@ -282,7 +282,7 @@ def _searched(passages, distance: int | None, kind: pa.DataType):
                 by = np.argsort(doc, kind="stable")
                 doc, window, at, length = doc[by], window[by], at[by], length[by]
                 hit, cut = np.unique(doc, return_index=True)
-                for d, x, y in zip(hit.tolist(), cut.tolist(), [*cut[1:].tolist(), len(doc)], strict=True):
+                for d, x, y in zip(hit.tolist(), cut.tolist(), np.append(cut, len(doc))[1:].tolist(), strict=True):
                     rows.append(number[first + d].as_py())
                     spans.append(merged([], at[x:y], at[x:y] + length[x:y]))
                     items.append(_sorted({passages.value.names[k] for w in np.unique(window[x:y]).tolist() for k in passages.value.owners[w]}))
