@@ -5,7 +5,7 @@ to be nearer to normal.  Sums and cross products per class are added up in the t
 by a shuffle, so the driver sees two small matrices however many labels there are.  A
 class covariance is shrunk towards the pooled one and then towards its diagonal.  A
 score is the logistic of the difference of the class log-densities (Mahalanobis distances by
-Cholesky factors that are computed once and sent to the tasks) and log-priors.
+Cholesky factors that are computed once and go to the tasks with their code) and log-priors.
 
 Defined cases: null, empty and blank texts have statistics, too, and get a score;
 labels without id or value and held-out rows are not learnt from; of repeated rows each
@@ -19,13 +19,12 @@ import sys
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import words
-from .shared import written
+from .shared import free_name, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -116,14 +115,16 @@ def _raw(column: pa.Array, first: int, last: int) -> np.ndarray:
     return np.frombuffer(part.buffers()[2] or b"", dtype=np.uint8)[at[0] : at[-1]]
 
 
+def _listed(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, len(STATISTICS), dtype=np.int32)), pa.array(values.ravel()))
+
+
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and statistics of every text."""
 
     def run(batches):
         for batch in batches:
-            values = statistics(batch.column(1))
-            at = pa.array(np.arange(0, values.size + 1, len(STATISTICS), dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(at, pa.array(values.ravel()))], names=["id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _listed(statistics(batch.column(1)))], names=["id", "x"])
 
     rows = docs.select(docs[f"`{id_col}`"].alias("id"), docs[f"`{text_col}`"].alias("text"))
     return rows.mapInArrow(run, rows.select("id").schema.add("x", T.ArrayType(T.DoubleType())))
@@ -202,12 +203,10 @@ def discriminant(total: np.ndarray) -> Discriminant:
 
 def score(stats: DataFrame, model: Discriminant) -> DataFrame:
     """id and `score`, the chance of the label 1, of every row of statistics."""
-    sent = stats.sparkSession.sparkContext.broadcast(model)
-
     def run(batches):
         for batch in batches:
             x = np.asarray(batch.column(1).flatten()).reshape(-1, len(STATISTICS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sent.value.score(x))], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x))], names=["id", "score"])
 
     return stats.select("id", "x").mapInArrow(run, stats.select("id").schema.add("score", "double"))
 
@@ -219,13 +218,21 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with a score of at least `least`, with all columns; the model is fitted first, so each text is scored where it lies."""
-    model = fit(written(measured(docs, id_col, text_col), "statistics"), labels, id_col)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    """The documents with a score of at least `least`, with all columns.
+
+    Rows are written with their statistics beside them, so that each text is read by Python
+    once and the decision needs no join: the model fitted on them is applied to the written rows.
+    """
+    x = free_name(docs, "statistics")
 
-    @F.pandas_udf("double")
-    def good(texts: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.score(statistics(pa.array(texts, pa.string()))))
+    @F.arrow_udf("array<double>")
+    def beside(texts: pa.Array) -> pa.Array:
+        return _listed(statistics(texts))
 
-    return docs.where(good(docs[f"`{text_col}`"]) >= least)
+    rows = written(docs.withColumn(x, beside(docs[f"`{text_col}`"])), "statistics")
+    model = fit(rows.select(rows[f"`{id_col}`"].alias("id"), rows[x].alias("x")), labels, id_col)
+    @F.arrow_udf("double")
+    def chance(x: pa.Array) -> pa.Array:
+        return pa.array(model.score(np.asarray(x.flatten()).reshape(-1, len(STATISTICS))))
 
+    return rows.where(chance(rows[x]) >= least).select([rows[f"`{c}`"] for c in docs.columns])

@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from ratewell.llm import bpe, components, counts, decontaminate, exact, html, lines, near, quality, queries, toxicity, warc, words
@@ -434,6 +435,19 @@ def test_quality(messy, nothing, labels):
     assert quality.scored(nothing, labels).collect() == []
     kept = quality.keep_good(messy, labels.where("quality = 1"), 0.3)
     assert kept.columns == messy.columns and kept.count() == len(TEXTS)
+    assert quality.keep_good(nothing, labels, 0.3).collect() == []
+    clashing = messy.withColumnRenamed("x", "statistics")
+    assert quality.keep_good(clashing, labels.where("quality = 1"), 0.3).columns == clashing.columns
+
+
+def test_kept_rows_are_those_with_the_score(messy, labels):
+    """The filter decides as the scores of `scored` do, row by row, repeated ids and rows without id included."""
+    ids = messy.withColumn("doc_id", F.monotonically_increasing_id())
+    known = ids.select("doc_id", F.pmod("doc_id", F.lit(2)).cast("int").alias("quality"))
+    score = {r.id: r.score for r in quality.scored(ids, known).collect()}
+    middle = sorted(score.values())[len(score) // 2]
+    kept = {r.doc_id for r in quality.keep_good(ids, known, middle).select("doc_id").collect()}
+    assert kept == {d for d, v in score.items() if v >= middle} and 0 < len(kept) < len(score)
 
 
 def test_statistics_do_not_depend_on_the_batch():
