@@ -7,9 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_dir
 
 
+#: Bytes of an Arrow batch between Spark and Python, where the session names no bound: rows here are whole texts.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small, in Spark's direct memory and in Python alike; a bound set by the user stays."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in the shared folder: later reads do not depend on the executors that made it."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
