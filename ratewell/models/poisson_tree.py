@@ -8,7 +8,7 @@ from copy import deepcopy
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,7 +16,7 @@ from ..functions.hashing import hash_unit
 from . import trees as tr
 
 # Task code names functions, not the module: a module is looked up on the executor.
-from .trees import route, unpack_bins
+from .trees import read_blocks, route
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -159,14 +159,14 @@ def _prepare(df: DataFrame, spec: TreeSpec, fold: Column) -> tuple[DataFrame, li
         *spec.features,
         F.col(spec.count).cast("double").alias("_y"),
         (F.col(spec.exposure) / F.lit(spec.unit)).cast("double").alias("_e"),
-        fold.cast("int").alias("_fold"),
+        fold.cast("double").alias("_fold"),
     )
     edges = tr.fit_edges(rows, spec.features, spec.max_bins)
-    return tr.bin_rows(rows, spec.features, edges, ["_y", "_e", "_fold"]), edges
+    return tr.bin_blocks(rows, spec.features, edges, ["_y", "_e", "_fold"]), edges
 
 
-def _stats(pdf: pd.DataFrame) -> np.ndarray:
-    y, e = pdf["_y"].to_numpy(), pdf["_e"].to_numpy()
+def _stats(columns: dict) -> np.ndarray:
+    y, e = columns["_y"], columns["_e"]
     own = np.where(y > 0, y * np.log(np.where(y > 0, y, 1.0) / e), 0.0)
     return np.column_stack([np.ones(len(y)), y, e, own])
 
@@ -174,12 +174,12 @@ def _stats(pdf: pd.DataFrame) -> np.ndarray:
 def _grow(data: DataFrame, spec: TreeSpec, edges, folds: int) -> list[tr.Tree]:
     """The tree on all rows, then one tree per fold without that fold's rows."""
 
-    def row_stats(pdf, bins, t):
-        return (np.ones(len(pdf), dtype=bool) if t == 0 else pdf["_fold"].to_numpy() != t - 1), _stats(pdf)
+    def row_stats(columns, bins, t):
+        return (np.ones(len(bins), dtype=bool) if t == 0 else columns["_fold"] != t - 1), _stats(columns)
 
-    total = data.agg(F.sum("_y").alias("y"), F.sum("_e").alias("e"), F.count(F.lit(1)).alias("n")).first()
+    total = tr.block_sums(data, len(edges), lambda c: {"y": c["_y"], "e": c["_e"]})
     data = tr.fewer_tasks(data, total["n"], len(edges))
-    prior = _prior(total["y"] or 0.0, total["e"] or 0.0, spec.shrink)
+    prior = _prior(total["y"], total["e"], spec.shrink)
     n_edges = [len(e) for e in edges]
     grown = tr.grow(
         data, folds + 1, row_stats, _gain(spec.minbucket, prior), n_edges, 4, spec.max_depth, min_rows=2 * spec.minbucket, n_rows=total["n"]
@@ -244,9 +244,8 @@ def fit_with_complexity(df: DataFrame, spec: TreeSpec, key: str, folds: int = 10
 
         def score(batches):
             sums = np.zeros((len(typical), 2))
-            for pdf in batches:
-                bins = unpack_bins(pdf["bins"], p)
-                y, e, own, rows_fold = pdf["_y"].to_numpy(), pdf["_e"].to_numpy(), _stats(pdf)[:, 3], pdf["_fold"].to_numpy()
+            for columns, bins in (block for batch in batches for block in read_blocks(batch, p)):
+                y, e, own, rows_fold = columns["_y"], columns["_e"], _stats(columns)[:, 3], columns["_fold"]
                 for k in range(len(variants)):
                     mine = rows_fold == k
                     if not mine.any():
@@ -257,9 +256,9 @@ def fit_with_complexity(df: DataFrame, spec: TreeSpec, key: str, folds: int = 10
                         mu = np.maximum(rate * e[mine], 1e-6)
                         dev = 2 * (own[mine] - np.where(y[mine] > 0, y[mine] * np.log(mu / e[mine]), 0.0) - (y[mine] - mu))
                         sums[i] += (dev.sum(), (dev * dev).sum())
-            yield pd.DataFrame({"i": np.arange(len(typical)), "d": sums[:, 0], "dd": sums[:, 1]})
+            yield pa.RecordBatch.from_pydict({"i": pa.array(np.arange(len(typical), dtype="int32")), "d": pa.array(sums[:, 0]), "dd": pa.array(sums[:, 1])})
 
-        scored = {r["i"]: (r["d"], r["dd"]) for r in data.mapInPandas(score, "i int, d double, dd double").groupBy("i").agg(F.sum("d").alias("d"), F.sum("dd").alias("dd")).collect()}
+        scored = {r["i"]: (r["d"], r["dd"]) for r in data.mapInArrow(score, "i int, d double, dd double").groupBy("i").agg(F.sum("d").alias("d"), F.sum("dd").alias("dd")).collect()}
         n = full.stats[0][0]
         rows = []
         for i, t in enumerate(subtrees):

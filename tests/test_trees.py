@@ -260,3 +260,30 @@ def test_poisson_tree_is_the_same_wherever_nodes_are_grown(rows, monkeypatch):
         monkeypatch.setattr(tr, "SMALL_BYTES", small)
         part = pt.fit_poisson_tree(df, SPEC)
         assert sorted(part.rules()) == sorted(whole.rules()) and part.tree.leaves()
+
+
+def test_sums_of_many_nodes_at_once_equal_those_of_each():
+    rng = np.random.default_rng(5)
+    edges = [1] * 19 + [0, 4, 30]
+    bins = np.column_stack([rng.integers(0, n + 1, 700) for n in edges]).astype("uint8")
+    stats = np.column_stack([np.ones(700), rng.normal(size=700), rng.random(700)])
+    slot = rng.integers(0, 6, 700)
+    for layout in (tr.Layout(edges), tr.Layout(edges, [2, 5]), tr.Layout(edges, [20, 21])):
+        together = layout.node_sums(bins, stats, slot, 7)
+        for s in range(7):
+            assert together[s] == pytest.approx(layout.sums(bins[slot == s], stats[slot == s]), abs=1e-9)
+
+
+def test_training_rows_travel_in_blocks(spark):
+    """One row a block, with the bins that rows had one by one; values without number are above all edges."""
+    df = spark.range(0, 5000, 1, 2).selectExpr("id", "double(id % 2) as a", "if(id % 7 = 0, null, double(id % 50)) as b", "if(id % 9 = 0, null, double(id)) as y", "id * 3 as u")
+    edges = [np.array([0.0]), np.arange(5.0, 45.0, 5.0)]
+    blocks = tr.bin_blocks(df, ["a", "b"], edges, ["y", "u"])
+    assert blocks.count() == 2
+    got = [(c, b) for batch in blocks.toArrow().to_batches() for c, b in tr.read_blocks(batch, 2, ["u"])]
+    u, y, bins = (np.concatenate(x) for x in zip(*[(c["u"], c["y"], b) for c, b in got]))
+    rows = tr.bin_rows(df, ["a", "b"], edges, ["u"]).toPandas()
+    assert dict(zip(u.tolist(), map(bytes, bins))) == dict(zip(rows["u"].tolist(), map(bytes, rows["bins"])))
+    assert np.isnan(y).sum() == 556
+    assert tr.block_sums(spark.range(1).where("false").selectExpr("cast(null as binary) as y", "cast(null as binary) as bins"), 2, lambda c: {"y": c["y"]}) == {"n": 0, "y": 0.0}
+    assert tr.block_sums(blocks.drop("u"), 2, lambda c: {"s": c["y"]}) == {"n": 5000, "s": sum(i for i in range(5000) if i % 9)}
