@@ -619,6 +619,8 @@ def register(reg: Registry) -> None:
     def oversampled(s, d):
         rows = clean(s, d).where("NUM_INJURIES > 0").withColumn("cls", lb.capped_class("NUM_INJURIES"))
         rows = rows.withColumns({"x1": F.col("EMP_HRS_TOTAL") / 10000, "x2": F.col("SEAM_HEIGHT") / 20, "x3": F.col("PCT_HRS_UNDERGROUND")})
+        # Sizes, vectors, targets and originals are all read from the rows.
+        rows = stored(s, rows.select("MINE_ID", "NUM_INJURIES", "cls", "x1", "x2", "x3"), "rare")
         out = rs.adasyn(rows, "MINE_ID", ["x1", "x2", "x3"], "cls", "NUM_INJURIES")
         return out.groupBy("cls", "synthetic").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("x1"), "x1"))
 
