@@ -287,3 +287,27 @@ def test_training_rows_travel_in_blocks(spark):
     assert np.isnan(y).sum() == 556
     assert tr.block_sums(spark.range(1).where("false").selectExpr("cast(null as binary) as y", "cast(null as binary) as bins"), 2, lambda c: {"y": c["y"]}) == {"n": 0, "y": 0.0}
     assert tr.block_sums(blocks.drop("u"), 2, lambda c: {"s": c["y"]}) == {"n": 5000, "s": sum(i for i in range(5000) if i % 9)}
+
+
+def test_large_fits_stay_in_memory_and_give_the_same_trees(rows, monkeypatch):
+    """All rounds are one job without score tables; the level jobs and models in tasks of their own give the same trees."""
+    df, _ = rows
+    base = bo.BoosterSpec(("a", "b", "rare"), "yes", "logistic", key="id", refresh=3)
+    specs = [bo.with_params(base, **{**p, "n_estimators": 3 + i, "max_depth": 2 + i}) for i, p in enumerate(se.candidates(se.CLASSIFIER_SPACE, 3))]
+    together = bo.fit_boosters(df, specs)
+    monkeypatch.setattr(tr, "SMALL_BYTES", 0)
+    monkeypatch.setattr(tr, "LEAST_BYTES", 1 << 10)
+    monkeypatch.setattr(tr, "GATHERED_BYTES", 1 << 10)
+    with monkeypatch.context() as m:
+        m.setattr(bo, "_round", None)
+        m.setattr(bo, "scratch_dir", None)
+        assert shapes(bo.fit_boosters(df, specs)) == shapes(together)
+        m.setattr(tr, "MODEL_BYTES", 0)
+        for parts in (1, 7):
+            held = bo.fit_boosters(df.repartition(parts), specs)
+            assert shapes(held) == shapes(together) and [len(x.trees) for x in held] == [3, 4, 5]
+            for one, other in zip(held, together):
+                assert [t.value for t in one.trees] == [pytest.approx(t.value) for t in other.trees]
+    monkeypatch.setattr(tr, "HELD_NODES", 0)
+    monkeypatch.setattr(tr, "MODEL_BYTES", 0)
+    assert shapes(bo.fit_boosters(df, specs)) == shapes(together)
