@@ -311,3 +311,39 @@ def test_large_fits_stay_in_memory_and_give_the_same_trees(rows, monkeypatch):
     monkeypatch.setattr(tr, "HELD_NODES", 0)
     monkeypatch.setattr(tr, "MODEL_BYTES", 0)
     assert shapes(bo.fit_boosters(df, specs)) == shapes(together)
+
+
+def test_indicators_are_not_sketched(spark, monkeypatch):
+    names = [f"f{i}" for i in range(2 * tr.EDGE_BLOCK + 2)]
+    df = spark.range(0, 3000, 1, 5).select(*[(F.col("id") % (i + 7) == 0).cast("double").alias(n) for i, n in enumerate(names)], "id")
+    df = df.withColumns(
+        {
+            "third": F.when(F.col("id") == 2900, 0.5).otherwise(F.col("f1")),
+            # Each task sees one value, all of them three.
+            "parts": F.floor(F.col("id") / 1200).cast("double"),
+            "odd": F.when(F.col("f1") > 0, F.lit(float("nan"))).otherwise(1.0),
+            "one": F.lit(4.0), "gaps": F.when(F.col("f2") > 0, F.col("f3")), "empty": F.lit(None).cast("double"),
+        }
+    )
+    features = [*names, "third", "parts", "odd", "one", "gaps", "empty"]
+    asked, sketch = [], tr._edge_marks
+    monkeypatch.setattr(tr, "_edge_marks", lambda d, own, b: (asked.append(list(own)), sketch(d, own, b))[1])
+    edges = dict(zip(features, tr.fit_edges(df, features, 32)))
+    assert asked == [["third", "parts", "odd"]]
+    assert all(edges[n].tolist() == [0.0] for n in (*names, "gaps"))
+    assert edges["third"].tolist()[0] == 0.0 and edges["parts"].tolist() == [0.0, 1.0]
+    assert edges["one"].tolist() == [] and edges["empty"].tolist() == []
+
+
+def test_a_node_is_summed_by_columns_or_by_rows_alike(monkeypatch):
+    rng = np.random.default_rng(8)
+    bins = np.column_stack([rng.integers(0, n + 1, 3000) for n in (1, 7, 1, 0, 12, 1)]).astype("uint8")
+    y = rng.integers(0, 5, 3000) + 2.0 * bins[:, 1] + bins[:, 2]
+    stats, layout = np.column_stack([np.ones(3000), -y, np.ones(3000)]), tr.Layout([1, 7, 1, 0, 12, 1])
+    gain = bo._gain(bo.BoosterSpec(("a",), "y"))
+    trees = []
+    for least in (1, 10_000):
+        monkeypatch.setattr(tr, "COLUMN_ROWS", least)
+        trees.append(tr.grow_small(layout, bins, stats, gain, None, 4, 2))
+    assert trees[0].feature == trees[1].feature and trees[0].cut == trees[1].cut and len(trees[0].feature) > 15
+    np.testing.assert_allclose(trees[0].stats, trees[1].stats)
