@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 import sys
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import partial
 from itertools import combinations
@@ -253,35 +253,47 @@ def step_aic(df: DataFrame, spec: GlmSpec) -> tuple[FittedGlm, list[Step]]:
     of a step do not grow with the number of terms.  Families other than
     Poisson with the log link are fitted candidate by candidate.
     """
-    levels = model_levels(df, spec.terms)
     need = sorted({c for t in spec.terms for c in t.columns} | {spec.count} | {c for c in (spec.exposure, spec.weight) if c})
     rows = df.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        levels = model_levels(rows, spec.terms)
         if spec.family == "poisson" and spec.link in (None, "log"):
-            measure = CommonPasses(rows, spec, levels)
+            # The packed rows go before the last fit holds its own.
+            with CommonPasses(rows, spec, levels) as passes:
+                best, path = _drop_terms(spec, passes)
         else:
-            measure = lambda specs: side_by_side([partial(lambda s: fit_glm(rows, s, levels).aic, s) for s in specs])
-        best, path = spec, [Step(None, measure([spec])[0])]
-        while len(best.terms) > 1:
-            held = {c for t in best.terms if len(t.columns) > 1 for c in t.columns}
-            free = [t.name for t in best.terms if len(t.columns) > 1 or t.columns[0] not in held]
-            if not free:
-                break
-            aics = measure([best.without(n) for n in free])
-            place = min(range(len(aics)), key=lambda i: aics[i])
-            if aics[place] >= path[-1].aic:
-                break
-            best = best.without(free[place])
-            path.append(Step(free[place], aics[place]))
+            best, path = _drop_terms(spec, lambda specs: side_by_side([partial(lambda s: fit_glm(rows, s, levels).aic, s) for s in specs]))
         return fit_glm(rows, best, levels), path
     finally:
         rows.unpersist()
 
 
+def _drop_terms(spec: GlmSpec, measure: Callable[[Sequence[GlmSpec]], list[float]]) -> tuple[GlmSpec, list[Step]]:
+    best, path = spec, [Step(None, measure([spec])[0])]
+    while len(best.terms) > 1:
+        held = {c for t in best.terms if len(t.columns) > 1 for c in t.columns}
+        free = [t.name for t in best.terms if len(t.columns) > 1 or t.columns[0] not in held]
+        if not free:
+            break
+        aics = measure([best.without(n) for n in free])
+        place = min(range(len(aics)), key=lambda i: aics[i])
+        if aics[place] >= path[-1].aic:
+            break
+        best = best.without(free[place])
+        path.append(Step(free[place], aics[place]))
+    return best, path
+
+
+#: Rows of the design in a packed block.
+BLOCK = 8192
+PACKED = "full binary, dense binary, at binary, value binary, y double, e double, constant double"
+
+
 class CommonPasses:
     """AIC of several Poisson models that are parts of one design, by Newton steps in common passes.
 
-    A pass sends, for every model that still moves, one packed array a task: X'WX, X'(y − μ) and
+    The design is evaluated once, packed in blocks of rows and held until ``release``.  A pass reads the blocks
+    and sends, for every model that still moves, one packed array a task: X'WX, X'(y − μ) and
     the log-likelihood.  The arrays are added up on the cluster; the driver solves systems as
     large as the number of coefficients.
     """
@@ -293,41 +305,80 @@ class CommonPasses:
         weight = F.lit(1.0) if spec.weight is None else F.col(spec.weight).cast("double")
         columns = F.array(F.lit(1.0), *[c for _, _, c in pairs])
         rows = df.select(columns.alias("x"), F.col(spec.count).cast("double").alias("y"), offset.alias("o"), weight.alias("w"))
-        self.rows = rows
-        sums = rows.agg(F.sum(F.col("w") * F.col("y")).alias("y"), F.sum(F.col("w") * F.exp("o")).alias("e")).first()
-        start = np.zeros(len(pairs) + 1)
-        start[0] = np.log(max(sums["y"] or 0.0, 1e-9) / (sums["e"] or 1.0))
-        self.beta = start
+        self.blocks = rows.mapInArrow(partial(_packed, len(pairs) + 1), PACKED).persist(StorageLevel.MEMORY_AND_DISK)
+        sums = self.blocks.agg(*[F.sum(c).alias(c) for c in ("y", "e", "constant")]).first()
+        self.start = np.zeros(len(pairs) + 1)
+        self.start[0] = np.log(max(sums["y"] or 0.0, 1e-9) / (sums["e"] or 1.0))
+        self.constant = sums["constant"] or 0.0
+        #: AIC, log-likelihood, places, coefficients and X'WX of the models of the last call.
+        self.settled: list[tuple[float, float, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def release(self) -> None:
+        self.blocks.unpersist()
+
+    def __enter__(self) -> "CommonPasses":
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.release()
+
+    def _begin(self, places: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, float] | None]:
+        """Where a model starts: at the best settled model that holds it, less the terms it lacks.
+
+        That model's X'WX tells how the others change when those terms become zero, so no pass is needed for this
+        step.  With it come the coefficients without the step, and the log-likelihood below which they are taken.
+        """
+        for _, ll, held, beta, gram in sorted(self.settled, key=lambda m: m[0]):
+            if set(places.tolist()) <= set(held.tolist()):
+                kept = np.isin(held, places)
+                lost = beta[~kept]
+                pull = gram[np.ix_(kept, ~kept)] @ lost
+                move = np.linalg.lstsq(gram[np.ix_(kept, kept)], pull, rcond=None)[0]
+                loss = float(lost @ gram[np.ix_(~kept, ~kept)] @ lost - pull @ move) / 2
+                return beta[kept] + move, (beta[kept], ll - 2.0 * loss - 1.0)
+        return self.start[places], None
 
     def __call__(self, specs: Sequence[GlmSpec]) -> list[float]:
         kept = [{t.name for t in s.terms} for s in specs]
         places = [np.array([0, *[i + 1 for i, t in enumerate(self.terms) if t in k]]) for k in kept]
-        # Candidates start from the last model that was settled.
-        beta = [self.beta[p] for p in places]
-        before, value, last = [-np.inf] * len(specs), [None] * len(specs), [None] * len(specs)
+        begun = [self._begin(p) for p in places]
+        beta, jumps = [b for b, _ in begun], [j for _, j in begun]
+        before, value, last, grams = [-np.inf] * len(specs), [None] * len(specs), [None] * len(specs), [None] * len(specs)
         moving = list(range(len(specs)))
         for _ in range(2 * self.spec.max_iter):
             sums = self._pass([(places[c], beta[c]) for c in moving])
             still = []
             for c, (gram, slope, ll) in zip(moving, sums):
+                jump, jumps[c] = jumps[c], None
+                if jump is not None and not ll >= jump[1]:
+                    # The terms matter too much for that step: begin without it.
+                    beta[c] = jump[0]
+                    still.append(c)
+                    continue
                 if last[c] is not None and not ll >= before[c] - 1e-9 * (abs(before[c]) + 1.0):
                     # Too long a step: half of it.
                     beta[c] = (beta[c] + last[c]) / 2
                     still.append(c)
                     continue
-                value[c] = ll
-                if abs(ll - before[c]) <= 1e-11 * (abs(ll) + 0.1):
+                value[c], grams[c] = ll, gram
+                least = 1e-11 * (abs(ll) + 0.1)
+                if abs(ll - before[c]) <= least:
                     continue
                 before[c], last[c] = ll, beta[c]
-                beta[c] = beta[c] + np.linalg.lstsq(gram, slope, rcond=None)[0]
+                move = np.linalg.lstsq(gram, slope, rcond=None)[0]
+                beta[c] = beta[c] + move
+                gain = float(slope @ move) / 2
+                if gain <= least:
+                    # The step adds no more than that, so no pass is needed to see it.
+                    value[c] = ll + gain
+                    continue
                 still.append(c)
             moving = still
             if not moving:
                 break
-        if len(specs) == 1:
-            self.beta = np.zeros(len(self.terms) + 1)
-            self.beta[places[0]] = beta[0]
-        return [-2.0 * v + 2.0 * len(p) for v, p in zip(value, places)]
+        aics = [-2.0 * v + 2.0 * len(p) for v, p in zip(value, places)]
+        self.settled = list(zip(aics, value, places, beta, grams))
+        return aics
 
     def _pass(self, models: Sequence[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray, float]]:
         p = len(self.terms) + 1
@@ -335,16 +386,13 @@ class CommonPasses:
         def partial_sums(batches):
             total = [np.zeros(len(i) ** 2 + len(i) + 1) for i, _ in models]
             for batch in batches:
-                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
-                y, o, w = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 2, 3))
-                counts, which = np.unique(y, return_inverse=True)
-                log_factorial = np.array([math.lgamma(v + 1.0) for v in counts])[which]
-                for s, (i, b) in zip(total, models):
-                    part = x[:, i]
-                    eta = part @ b + o
-                    mu = np.exp(np.minimum(eta, 700.0))
-                    gram = (part * (w * mu)[:, None]).T @ part
-                    s += np.concatenate([gram.ravel(), part.T @ (w * (y - mu)), [(w * (y * eta - mu - log_factorial)).sum()]])
+                for x, y, o, w in _unpacked(p, batch):
+                    for s, (i, b) in zip(total, models):
+                        part = x if len(i) == p else x[i]
+                        eta = b @ part + o
+                        mu = np.exp(np.minimum(eta, 700.0))
+                        gram = (part * (w * mu)) @ part.T
+                        s += np.concatenate([gram.ravel(), part @ (w * (y - mu)), [(w * (y * eta - mu)).sum()]])
             yield pa.RecordBatch.from_arrays([pa.array(range(len(models)), pa.int32()), pa.array([s.tobytes() for s in total], pa.binary())], ["model", "sums"])
 
         def add(batches):
@@ -355,16 +403,49 @@ class CommonPasses:
                     total[m] = total[m] + s if m in total else s
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([s.tobytes() for s in total.values()], pa.binary())], ["model", "sums"])
 
-        parts = self.rows.mapInArrow(partial_sums, "model int, sums binary").repartitionById(len(models), "model")
+        parts = self.blocks.mapInArrow(partial_sums, "model int, sums binary").repartitionById(len(models), "model")
         found = parts.mapInArrow(add, "model int, sums binary").toArrow()
         sums = dict(zip(found.column("model").to_pylist(), found.column("sums").to_pylist()))
         out = []
         for m, (i, _) in enumerate(models):
             s, k = np.frombuffer(sums[m]), len(i)
-            out.append((s[: k * k].reshape(k, k), s[k * k : -1], float(s[-1])))
+            out.append((s[: k * k].reshape(k, k), s[k * k : -1], float(s[-1]) - self.constant))
         return out
 
 
+def _packed(p: int, batches):
+    """Blocks of a design with ``p`` columns: those mostly filled as they are, one after the other, then
+    response, offset and weight; of all others the places and values that are not zero."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK):
+            some = batch.slice(at, BLOCK)
+            x = some.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p).T
+            y, o, w = (some.column(c).to_numpy(zero_copy_only=False) for c in (1, 2, 3))
+            filled = 2 * np.count_nonzero(x, axis=1) > x.shape[1]
+            full, thin = np.flatnonzero(filled).astype(np.int32), np.flatnonzero(~filled)
+            column, row = np.nonzero(x[thin])
+            places = (thin[column] * x.shape[1] + row).astype(np.int32)
+            counts, which = np.unique(y, return_inverse=True)
+            log_factorial = np.array([math.lgamma(v + 1.0) for v in counts])[which]
+            parts = [full, np.concatenate([x[full], [y, o, w]]), places, x[thin[column], row]]
+            sums = [(w * y).sum(), (w * np.exp(o)).sum(), (w * log_factorial).sum()]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([v.tobytes()], pa.binary()) for v in parts], *[pa.array([v], pa.float64()) for v in sums]],
+                ["full", "dense", "at", "value", "y", "e", "constant"],
+            )
+
+
+def _unpacked(p: int, batch):
+    """Design (a line for each column), response, offset and weight of each block."""
+    for block in range(batch.num_rows):
+        full, dense, at, value = (np.frombuffer(batch.column(c)[block].as_buffer(), t) for c, t in enumerate(("i4", "f8", "i4", "f8")))
+        dense = dense.reshape(len(full) + 3, -1)
+        x = np.zeros((p, dense.shape[1]))
+        x[full] = dense[:-3]
+        x.reshape(-1)[at] = value
+        yield x, *dense[-3:]
+
+
 def step_table(path: Sequence[Step]) -> DataFrame:
     rows = [(i, s.removed, s.aic) for i, s in enumerate(path)]
     return SparkSession.active().createDataFrame(rows, "step int, removed string, aic double")

@@ -355,7 +355,8 @@ def register(reg: Registry) -> None:
         rows = clean(s, d)
         both = glm.formula("NUM_INJURIES ~ TYPE_OF_MINE * COMMODITY + offset(log(EMP_HRS_TOTAL))", categories=["TYPE_OF_MINE", "COMMODITY"])
         models = {"both": both, "COMMODITY": both.without("TYPE_OF_MINE").without("TYPE_OF_MINE:COMMODITY"), "TYPE_OF_MINE": both.without("COMMODITY").without("TYPE_OF_MINE:COMMODITY")}
-        aics = glm.CommonPasses(rows, both, glm.model_levels(rows, both.terms))(list(models.values()))
+        with glm.CommonPasses(rows, both, glm.model_levels(rows, both.terms)) as passes:
+            aics = passes(list(models.values()))
         values = F.array(*[F.struct(F.lit(n).alias("model"), F.lit(round(a, 3)).alias("aic")) for n, a in zip(models, aics)])
         return rows.agg(F.count(F.lit(1)).alias("n")).select("n", F.explode(values).alias("m")).select("n", "m.*")
 

@@ -1,5 +1,8 @@
+import math
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -165,3 +168,64 @@ def test_common_passes_equal_single_fits(spark, monkeypatch, family):
     assert [s.removed for s in path] == [w[0] for w in want] and [s.aic for s in path] == pytest.approx([w[1] for w in want], abs=1e-5)
     assert best.aic == pytest.approx(path[-1].aic, abs=1e-5) and len(path) > 1
     assert not passes if family != "poisson" else len(passes) <= 8 * (len(path) + 1)
+
+
+def test_stepwise_reads_its_rows_once(spark):
+    """Levels, passes and the last fit share one evaluation of the input; nothing of it stays behind."""
+    rng = np.random.default_rng(6)
+    n = 900
+    pdf = pd.DataFrame({c: rng.normal(size=n) for c in "abc"} | {"k": rng.integers(0, 3, n).astype(str), "hours": rng.uniform(1, 9, n) * 2000})
+    pdf["y"] = rng.poisson(np.exp(0.5 * pdf.a + 0.3 * (pdf.k == "2")) * pdf.hours / 2000)
+    read, source = spark.sparkContext.accumulator(0), spark.createDataFrame(pdf).repartition(3)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = glm.formula("y ~ a * b + c + k + offset(log(hours))", categories=["k"])
+    _, path = glm.step_aic(source.mapInArrow(counted, source.schema), model)
+    assert len(path) > 1 and read.value == n
+    with glm.CommonPasses(source.mapInArrow(counted, source.schema), model, {"k": ["0", "1", "2"]}) as passes:
+        assert passes([model]) == pytest.approx([path[0].aic], abs=1e-6) and len(passes([model.without("a:b"), model.without("c")])) == 2
+    assert read.value == 2 * n and spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+def test_packed_design_is_whole(monkeypatch):
+    """Blocks give back every cell: mostly filled columns, thin ones, empty ones and missing values."""
+    monkeypatch.setattr(glm, "BLOCK", 7)
+    rng = np.random.default_rng(7)
+    x = np.column_stack([np.ones(40), rng.normal(size=40), rng.integers(0, 2, 40) * 3.5, np.zeros(40), np.eye(40, 2, -25)])
+    x[3, 1] = x[9, 4] = np.nan
+    y, o, w = rng.integers(0, 4, 40) * 1.0, rng.normal(size=40), rng.uniform(size=40)
+    batch = pa.record_batch([pa.array(list(x), pa.list_(pa.float64())), y, o, w], ["x", "y", "o", "w"])
+    packed = list(glm._packed(x.shape[1], [batch.slice(0, 30), batch.slice(30)]))
+    got = [part for block in packed for part in glm._unpacked(x.shape[1], block)]
+    assert len(packed) == 7
+    for want, parts in zip((x.T, y, o, w), zip(*got)):
+        assert np.array_equal(np.concatenate(parts, axis=-1), want, equal_nan=True)
+    sums = [sum(block.column(c)[0].as_py() for block in packed) for c in ("y", "e", "constant")]
+    assert sums == pytest.approx([w @ y, w @ np.exp(o), sum(a * math.lgamma(b + 1) for a, b in zip(w, y))])
+
+
+def test_candidates_far_from_the_full_model(spark, monkeypatch):
+    """Dropping a term that explains nearly all counts ends where a fit from nothing does; one that explains none takes few passes."""
+    rng = np.random.default_rng(8)
+    n = 600
+    pdf = pd.DataFrame({c: rng.normal(size=n) for c in "abc"})
+    pdf["b"] = (pdf.b > 0) * 1.0
+    pdf["y"] = rng.poisson(np.exp(2.5 * pdf.a + 1.5 * pdf.a * pdf.b))
+    model, sizes, once = glm.formula("y ~ a + b + c + a:b", tol=1e-12), [], glm.CommonPasses._pass
+    monkeypatch.setattr(glm.CommonPasses, "_pass", lambda self, models: sizes.append(len(models)) or once(self, models))
+    df = spark.createDataFrame(pdf).repartition(2)
+    with glm.CommonPasses(df, model, {}) as passes:
+        candidates = [model.without("a"), model.without("a:b"), model.without("a").without("a:b"), model.without("b")]
+        alone = passes(candidates)
+        full = passes([model])
+        assert full == pytest.approx([glm.fit_glm(df, model).aic], abs=1e-5) and max(alone) > 1000 * full[0]
+        assert passes(candidates) == pytest.approx(alone, rel=1e-9)
+        passes([model])
+        sizes.clear()
+        passes([model.without("c")])
+        assert len(sizes) <= 3
