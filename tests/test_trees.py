@@ -1,3 +1,7 @@
+import os
+import time
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -347,3 +351,52 @@ def test_a_node_is_summed_by_columns_or_by_rows_alike(monkeypatch):
         trees.append(tr.grow_small(layout, bins, stats, gain, None, 4, 2))
     assert trees[0].feature == trees[1].feature and trees[0].cut == trees[1].cut and len(trees[0].feature) > 15
     np.testing.assert_allclose(trees[0].stats, trees[1].stats)
+
+
+def test_tasks_side_by_side_exchange_sums_through_the_shared_folder(rows, monkeypatch):
+    """An exchange through Spark takes a second; deep trees stay in these tasks too, and their small nodes end in one of them."""
+    from ratewell.session import shared_root
+
+    df, _ = rows
+    base = bo.BoosterSpec(("a", "b", "rare"), "yes", "logistic", key="id", max_bins=32, min_child_weight=0.5)
+    specs = [replace(base, n_estimators=30, max_depth=3), replace(base, n_estimators=2, max_depth=10, subsample=0.7, colsample_bytree=0.7)]
+    together = bo.fit_boosters(df, specs)
+    monkeypatch.setattr(tr, "LEAST_BYTES", 1 << 10)
+    monkeypatch.setattr(tr, "MODEL_BYTES", 0)
+    monkeypatch.setattr(bo, "_round", None)
+    real, asked = tr.small_rows, []
+    monkeypatch.setattr(tr, "small_rows", lambda p, k: (asked.append(k), 0 if len(asked) == 1 else real(p, k))[1])
+    start = time.time()
+    held = bo.fit_boosters(df.repartition(6), specs)
+    assert time.time() - start < 60 and asked == [4, 4]
+    assert shapes(held) == shapes(together)
+    assert not [x for x in os.listdir(shared_root(df.sparkSession)) if x.startswith("sums-")]
+    # Without a folder that all tasks reach they exchange through Spark.
+    fewer = [replace(s, n_estimators=1, max_depth=min(s.max_depth, 4)) for s in specs]
+    for folder in (None, "/nowhere"):
+        del asked[:]
+        monkeypatch.setattr(bo, "meeting_folder", lambda spark: folder)
+        monkeypatch.setattr(bo, "drop_dir", lambda spark, path: None)
+        assert [t.cut for m in bo.fit_boosters(df, fewer) for t in m.trees][0] == together[0].trees[0].cut
+
+
+def test_features_numbered_together_have_the_sums_of_each():
+    rng = np.random.default_rng(3)
+    edges = [1] * 15 + [0, 4, 30, 63, 63, 2]
+    bins = np.column_stack([rng.integers(0, n + 1, 5000) for n in edges]).astype("uint8")
+    bins[:, 19] = bins[:, 18]
+    slopes = [rng.normal(size=5000), rng.random(5000)]
+    layouts = [tr.Layout(edges, own) for own in ([0, 2, 5, 17, 19], [i for i in range(21) if i not in (0, 2, 5, 17, 19)], [])]
+    same = [*range(19), 18, 20]
+    held = tr.HeldRows(np.ascontiguousarray(bins.T), edges, same, layouts)
+    assert 19 not in [f for pack in held.packs for f in pack] and len(held.packs) < 7
+    for rows in (np.arange(5000), np.arange(0, 5000, 3), np.zeros(0, dtype="int64")):
+        out = [np.zeros((x.cells + 1, 3)) for x in layouts]
+        held.add_sums(out, rows, slopes)
+        for layout, own in zip(layouts, out):
+            expected = layout.sums(bins[rows], np.column_stack([np.ones(len(rows)), *[s[rows] for s in slopes]]))
+            np.testing.assert_allclose(own, expected, atol=1e-9)
+    # Columns that are the same tie to the last digit.
+    assert layouts[0].wide.tolist() == [17, 19] and layouts[1].wide.tolist() == [16, 18, 20]
+    first, second = ([out[j][len(x.single) + i * x.n_bins :][:64] for j, i, x in ((0, 1, layouts[0]), (1, 1, layouts[1]))])
+    assert (first == second).all()
