@@ -229,3 +229,25 @@ def test_candidates_far_from_the_full_model(spark, monkeypatch):
         sizes.clear()
         passes([model.without("c")])
         assert len(sizes) <= 3
+
+
+def test_numbers_are_not_taken_apart_and_features_become_columns_without_a_vector(spark, monkeypatch):
+    df = spark.range(0, 400, 1, 3).selectExpr(
+        "id", "if(id % 9 = 0, null, concat('k', id % 3)) as kind", "concat_ws(', ', 'all', if(id % 2 = 0, 'even', null), if(id % 5 = 0, '', null)) as labels",
+        "double(id % 7) as x", "int(3) as same", "struct(id) as `_stats`",
+    )
+    explode, taken = F.explode, []
+    monkeypatch.setattr(F, "explode", lambda c: (taken.append(str(c)), explode(c))[1])
+    fitted = en.Preprocessor(["kind"], ["x", "same"], ["labels"]).fit(df)
+    assert len(taken) == 1 and "double" not in taken[0].lower()
+    assert fitted.names == ["kind_k1", "kind_k2", "x", "same", "labels_even"]
+    names = [f"f{i}" for i in range(5)]
+    wide = fitted.expand(df, names)
+    assert "vector" not in wide._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert wide.columns == [*df.columns, *names]
+    vectors = {r["id"]: r["features"].toArray().tolist() for r in fitted.transform(df).select("id", "features").collect()}
+    assert {r["id"]: [r[n] for n in names] for r in wide.collect()} == vectors and len(vectors) == 400
+    for broken in ("if(id = 7, null, x)", "if(id = 7, double('NaN'), x)"):
+        with pytest.raises(Exception, match="feature x is missing"):
+            fitted.expand(df.withColumn("x", F.expr(broken)), names).select("f2").collect()
+    assert en.Preprocessor([], ["x"], []).fit(df.where("id < 0")).names == ["x"]
